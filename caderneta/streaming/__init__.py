@@ -1,0 +1 @@
+"""No streaming operators: the report data has no stream surface to match."""
