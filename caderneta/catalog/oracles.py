@@ -72,8 +72,8 @@ TEXT_DATE = "* REPLACE (CAST(data_emissao AS VARCHAR) AS data_emissao)"
 
 FILE = "'vendas_' || l_returnflag || '.rel'"
 ITEM_CODE = "printf('%06d', l_partkey % 1000000)"
-ORDER = """l_partkey // 1024, l_orderkey // 1024, l_partkey, l_orderkey, l_linenumber,
-    l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, l_shipdate"""
+ORDER = """l_linenumber // 6, l_orderkey // 4096, l_partkey // 1048576,
+    l_partkey, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, l_shipdate"""
 
 
 def br(number: str) -> str:

@@ -73,7 +73,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consolidate(_items(spark, sf_dir))
+    return standardize(consolidate(tables.sales_items(spark, sf_dir)))
 
 
 # --- sources -----------------------------------------------------------------
@@ -241,7 +241,7 @@ def rel_purchase_items(spark, sf_dir):
 @query
 def split_product(spark, sf_dir):
     """Products with and without a separator, and null ones."""
-    lines = tables.load(spark, sf_dir, "lineitem")
+    lines = tables.line_items(spark, sf_dir)
     part = tables.load(spark, sf_dir, "part")
     key = F.col("l_partkey")
     raw = (
@@ -285,7 +285,7 @@ def validation_missing_column(spark, sf_dir):
 
 @query
 def consolidated(spark, sf_dir):
-    return _clean(spark, sf_dir)
+    return consolidate(_items(spark, sf_dir))
 
 
 @query
@@ -414,7 +414,7 @@ def br_numbers(spark, sf_dir):
         .when(key % 11 == 0, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".000")))
         .otherwise(tables.br_text(price))
     )
-    lines = tables.load(spark, sf_dir, "lineitem")
+    lines = tables.line_items(spark, sf_dir)
     return lines.select("l_orderkey", "l_linenumber", br_number(text).alias("valor"))
 
 
@@ -473,5 +473,5 @@ def seasonality_index(spark, sf_dir):
 @query
 def reprocess_idempotent(spark, sf_dir):
     """Consolidating all files twice over leaves what one pass leaves."""
-    items = _items(spark, sf_dir)
-    return consolidate(items.unionByName(items))
+    items = tables.sales_items(spark, sf_dir)
+    return standardize(consolidate(items.unionByName(items)))

@@ -2,17 +2,22 @@
 
 ``sales_items`` maps them to items directly; the ``*_lines`` and ``*_grid`` builders
 print the same rows the way the reports do, so that the parsing operators can be
-checked against SQL on the source tables.
+checked against SQL on the source tables.  A printed table is written once per run
+and read back: reports are files to the operators, not a plan to optimise through.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caderneta.functions.text import document_type
 from caderneta.operators.ordered import number_rows
 from caderneta.schemas import CELL, GRID_CELLS
+from caderneta.scratch import work_dir
 
 LINE_COLUMNS = [
     "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
@@ -22,10 +27,42 @@ UNITS = {"A": "UN", "N": "PC", "R": "KG"}
 COPY_FILE = "zz_copy.xlsx"
 
 
+Table = Callable[[SparkSession, str], DataFrame]
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def stored(build: Table) -> Table:
+    """The table as Parquet in the shared work folder, built on first use in a run."""
+
+    @wraps(build)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        if key not in _written:
+            path = work_dir(spark, build.__name__)
+            build(spark, sf_dir).write.parquet(path)
+            _written[key] = path
+        return spark.read.parquet(_written[key])
+
+    return read
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem``; spread over the cores when its files are too few to do so.
+
+    A table of one row group is read by one task.  Big tables have more splits than
+    cores and are left as they are.
+    """
+    lines = load(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < cores:
+        return lines.repartition(cores, "l_orderkey", "l_linenumber")
+    return lines
+
+
 def sold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` with its order, part and supplier."""
     joins = (
@@ -33,7 +70,7 @@ def sold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("part", "l_partkey", "p_partkey"),
         ("supplier", "l_suppkey", "s_suppkey"),
     )
-    lines = load(spark, sf_dir, "lineitem")
+    lines = line_items(spark, sf_dir)
     for table, left, right in joins:
         other = load(spark, sf_dir, table)
         lines = lines.join(other, lines[left] == other[right])
@@ -133,13 +170,18 @@ def _description() -> Column:
 
 
 def _printed(rows: DataFrame, line: Column) -> DataFrame:
-    """Lines by return flag (one file each), in item-range then document-range order.
+    """Lines by return flag (one file each), in two runs of document ranges.
 
-    Each fiftieth order is preceded by a page heading.
+    The late items of an order are printed in a second run, so a document is in more
+    than one block.  Each fiftieth order is preceded by a page heading.
     """
     page = F.array(*[F.lit(text) for text in FURNITURE])
     lines = F.when(_every("l_orderkey", 50), F.concat(page, F.array(line))).otherwise(F.array(line))
-    block = F.expr("(l_partkey div 1024) * 4294967296 + (l_orderkey div 1024)")
+    # (late, order range, item range) packed in order into one number.
+    block = F.expr(
+        "((l_linenumber div 6) * 2147483648 + l_orderkey div 4096) * 4096"
+        " + l_partkey div 1048576"
+    )
     return rows.select(
         F.concat(F.lit("vendas_"), "l_returnflag", F.lit(".rel")).alias("arquivo_origem"),
         block.alias("blk"),
@@ -148,9 +190,10 @@ def _printed(rows: DataFrame, line: Column) -> DataFrame:
     ).select("arquivo_origem", "blk", F.struct(*LINE_COLUMNS, "pos").alias("seq"), "line")
 
 
+@stored
 def synthetic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``report_lines`` of the synthetic layout."""
-    lines = load(spark, sf_dir, "lineitem")
+    lines = line_items(spark, sf_dir)
     part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     rows = lines.join(part, lines.l_partkey == part.p_partkey)
     price = F.col("l_extendedprice")
@@ -171,7 +214,7 @@ def synthetic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_lines(spark: SparkSession, sf_dir: str, date: Column) -> DataFrame:
-    lines = load(spark, sf_dir, "lineitem")
+    lines = line_items(spark, sf_dir)
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     part = load(spark, sf_dir, "part").select("p_partkey", "p_name")
     last = orders.agg(F.max("o_orderkey")).scalar()
@@ -209,11 +252,13 @@ def _printed_date() -> Column:
     )
 
 
+@stored
 def analytic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``report_lines`` of the analytic layout; printed years sometimes go back."""
     return _document_lines(spark, sf_dir, _printed_date())
 
 
+@stored
 def purchase_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``report_lines`` of the purchase layout; some documents print the sentinel."""
     return _document_lines(
@@ -277,6 +322,7 @@ def _headings() -> Column:
     )
 
 
+@stored
 def hierarchical_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_grid`` of yearly ``.xlsx`` files: suppliers, then types, then items."""
     lines = sold_lines(spark, sf_dir).withColumns(
@@ -327,6 +373,7 @@ def hierarchical_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("arquivo_origem", F.col("row_no").cast("bigint"), "cells")
 
 
+@stored
 def flat_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_grid`` of yearly ``.xls`` files; only "row 6 or later" matters there."""
     lines = sold_lines(spark, sf_dir).withColumn(

@@ -16,9 +16,8 @@ def serial_to_date(serial: Column) -> Column:
     return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial.try_cast("int"))
 
 
-def _whole(text: Column) -> Column:
-    trimmed = strip(text)
-    return F.when(F.translate(trimmed, "0123456789+-", "") == "", trimmed.try_cast("int"))
+# Fixed value: three whole numbers between slashes.  Nine digits always fit an int.
+BR_DATE = r"^[+-]?[0-9]{1,9}\s*/\s*[+-]?[0-9]{1,9}\s*/\s*[+-]?[0-9]{1,9}$"
 
 
 def br_date_parts(text: Column) -> Column:
@@ -29,14 +28,11 @@ def br_date_parts(text: Column) -> Column:
     """
     trimmed = strip(text)
     parts = F.split(trimmed, "/")
-    numbers = [_whole(F.get(parts, F.lit(i))) for i in range(3)]
-    usable = (F.length(trimmed) >= 8) & (F.size(parts) == 3)
-    for number in numbers:
-        usable = usable & number.isNotNull()
-    return F.when(
-        usable,
-        F.struct(*[n.alias(name) for n, name in zip(numbers, ("dia", "mes", "aa"))]),
-    )
+    numbers = [
+        F.get(parts, F.lit(i)).try_cast("int").alias(name)
+        for i, name in enumerate(("dia", "mes", "aa"))
+    ]
+    return F.when((F.length(trimmed) >= 8) & trimmed.rlike(BR_DATE), F.struct(*numbers))
 
 
 def valid_date(year: Column, month: Column, day: Column) -> Column:

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from caderneta.functions.text import DIGITS, strip
+from caderneta.functions.text import strip
 
 
-def to_double(text: Column) -> Column:
-    """Plain decimal text as double, null when it is not a number.
+# Fixed value: what counts as a number.  A cast alone would also take ``1d``, ``NaN``,
+# ``Infinity`` and hexadecimal.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
-    The cast alone would also take ``1d``, ``NaN`` and ``Infinity``; only digits,
-    sign, point and exponent may appear.
-    """
-    trimmed = strip(text)
-    plain = F.translate(trimmed, DIGITS + ".eE+-", "") == ""
-    return F.when(plain, trimmed.try_cast("double"))
+
+def _parse(trimmed: Column) -> Column:
+    return F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
+
+
+def to_double(text: Column) -> Column:
+    """Plain decimal text as double, null when it is not a number."""
+    return _parse(strip(text))
 
 
 def br_number(text: Column) -> Column:
@@ -24,8 +27,8 @@ def br_number(text: Column) -> Column:
 
     Blank or invalid text is 0.0.
     """
-    plain = F.translate(F.translate(strip(text), ".", ""), ",", ".")
-    return F.coalesce(to_double(plain), F.lit(0.0))
+    plain = F.replace(F.replace(strip(text), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return F.coalesce(_parse(plain), F.lit(0.0))
 
 
 def br_percent(text: Column) -> Column:
@@ -38,22 +41,19 @@ def skip_nan(value: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
-def number_text(value: Column) -> Column:
-    """A double in plain notation, ``150.0`` or ``12345678.9``.
+def number_text(number: str) -> str:
+    """SQL for a double (given as SQL) in plain notation, ``150.0`` or ``12345678.9``.
 
     The string cast switches to ``1.0E7`` outside [1e-3, 1e7), which BI tools read
     as text.
     """
-    size = F.abs(value)
-    plain = value.cast("string")
-    digits = F.rtrim(plain.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
-    return (
-        F.when((size < 1e16) & (value == F.floor(value)),
-               F.concat(value.try_cast("bigint").cast("string"), F.lit(".0")))
-        .when((size >= 1e-3) & (size < 1e7), plain)
-        .when((size >= 1e-4) & (size < 1e16), digits)
-        .otherwise(plain)
-    )
+    return f"""CASE
+        WHEN abs({number}) < 1e16 AND {number} = floor({number})
+            THEN concat(cast({number} AS bigint), '.0')
+        WHEN abs({number}) >= 1e-3 AND abs({number}) < 1e7 THEN cast({number} AS string)
+        WHEN abs({number}) >= 1e-4 AND abs({number}) < 1e16
+            THEN trim(TRAILING '0' FROM try_cast(cast({number} AS string) AS decimal(38, 18)))
+        ELSE cast({number} AS string) END"""
 
 
 def grouped_text(value: Column, decimals: int) -> Column:

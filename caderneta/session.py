@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plans here hold many column expressions; recording where each one was written
+    # takes longer than building them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

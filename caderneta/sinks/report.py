@@ -75,8 +75,9 @@ def kpi_report_lines(kpis: dict[str, DataFrame], title: str = TITLE) -> DataFram
         table = _ranked(kpis["vendas_por_mes"], F.col("mes"))
         row = _row(F.col("mes"), _money(F.col("total")))
         parts.append(_section(table, 3, _texts("", BY_MONTH, "", *MONTH_COLUMNS), row))
-    closing = F.array(F.struct(F.lit(9), F.lit(1), F.lit(0), F.lit("")))
-    parts.append(kpis["global"].select(F.inline(closing).alias("secao", "pos", "sub", "line")))
+    ending = (("secao", 9), ("pos", 1), ("sub", 0), ("line", ""))
+    one = kpis["global"].sparkSession.range(1)
+    parts.append(one.select(*[F.lit(value).alias(name) for name, value in ending]))
 
     text = parts[0]
     for part in parts[1:]:
