@@ -216,7 +216,8 @@ BY_MONTH = f"""SELECT {MONTH} AS mes, round(sum(valor_total_venda), 2) AS total
   FROM clean GROUP BY ALL"""
 GLOBAL = """SELECT round(sum(valor_total_venda), 2) AS total_faturamento,
     count(DISTINCT id_venda) AS qtd_notas_fiscais, count(*) AS total_itens,
-    round(sum(valor_total_venda) / count(DISTINCT id_venda), 2) AS ticket_medio
+    round(round(sum(valor_total_venda) * 100) / count(DISTINCT id_venda)) / 100
+      AS ticket_medio
   FROM clean"""
 KPIS = f"""{CLEAN},
 g AS ({GLOBAL}),
@@ -532,7 +533,7 @@ ORACLES: dict[str, str] = {
       t AS (SELECT year(data_emissao) AS ano, month(data_emissao) AS mes,
               sum(valor_total_venda) AS total
             FROM clean WHERE data_emissao IS NOT NULL GROUP BY ALL)
-      SELECT mes, round(avg(total), 2) AS media_mensal,
+      SELECT mes, round(round(sum(total) * 100) / count(*)) / 100 AS media_mensal,
         round(avg(total) / (SELECT avg(total) FROM t), 4) AS indice
       FROM t GROUP BY mes""",
     "reprocess_idempotent": CLEAN_ROWS,

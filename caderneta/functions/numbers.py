@@ -41,6 +41,15 @@ def skip_nan(value: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
+def money_mean(total: Column, count: Column) -> Column:
+    """Mean of amounts to cents, halves up.
+
+    A double sum depends on the order of its terms in its last bits.  Whole cents do
+    not, so a mean that falls on half a cent always rounds the same way.
+    """
+    return F.round(F.round(total * 100) / count) / 100
+
+
 def number_text(number: str) -> str:
     """SQL for a double (given as SQL) in plain notation, ``150.0`` or ``12345678.9``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caderneta.functions.dates import month_text
-from caderneta.functions.numbers import skip_nan
+from caderneta.functions.numbers import money_mean, skip_nan
 from caderneta.operators.ordered import carry
 
 FILE = "arquivo_origem"
@@ -114,5 +114,7 @@ def seasonality_index(items: DataFrame) -> DataFrame:
     overall = F.sum("soma").over(everything) / F.sum("meses").over(everything)
     mean = F.col("soma") / F.col("meses")
     return by_month.select(
-        "mes", F.round(mean, 2).alias("media_mensal"), F.round(mean / overall, 4).alias("indice")
+        "mes",
+        money_mean(F.col("soma"), F.col("meses")).alias("media_mensal"),
+        F.round(mean / overall, 4).alias("indice"),
     )

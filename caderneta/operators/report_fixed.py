@@ -19,6 +19,7 @@ from caderneta.operators.ordered import carry, local_number, row_offsets, runnin
 
 FILE = "arquivo_origem"
 ORDER = ["blk", "seq"]
+SPOT = [FILE, "ci", "blk"]
 LINE_LENGTH = 132
 
 # Document numbers grouped this many to a range, for running totals in their order.
@@ -176,9 +177,6 @@ def document_lines(lines: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-SPOT = [FILE, "ci", "blk"]
-
-
 def with_running_year(documents: DataFrame) -> DataFrame:
     """Adds ``ano``: in document order a year never goes back.
 
@@ -187,7 +185,7 @@ def with_running_year(documents: DataFrame) -> DataFrame:
     """
     return running_max(
         documents.withColumns(
-            {"ano_impresso": F.col("aa") + CENTURY, "faixa": F.floor(F.col("ci") / CI_RANGE)}
+            {"ano_impresso": F.col("aa") + CENTURY, "faixa": F.expr(f"ci div {CI_RANGE}")}
         ),
         keys=[FILE],
         levels=[["faixa"], ["ci", "blk"]],
