@@ -27,7 +27,7 @@ def br_number(text: Column) -> Column:
 
     Blank or invalid text is 0.0.
     """
-    plain = F.replace(F.replace(strip(text), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    plain = F.translate(strip(text), ",.", ".")  # comma to point, points dropped
     return F.coalesce(_parse(plain), F.lit(0.0))
 
 

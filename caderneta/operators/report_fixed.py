@@ -44,9 +44,9 @@ class Layout:
     def number(self, name: str) -> Column:
         return br_number(self.raw(name))
 
-    def is_furniture(self) -> Column:
+    def is_marked(self) -> Column:
         line = F.col("line")
-        test = strip(line) == ""
+        test = F.lit(False)
         for prefix in self.prefixes:
             test = test | line.startswith(prefix)
         for mark in self.marks:
@@ -102,13 +102,17 @@ CENTURY = 2000
 SENTINEL = "01/01/19"
 
 
+def _unmarked(lines: DataFrame, layout: Layout) -> DataFrame:
+    return lines.filter((F.length("line") >= LINE_LENGTH) & ~layout.is_marked())
+
+
 def data_lines(lines: DataFrame, layout: Layout) -> DataFrame:
     """Full-length lines without page furniture.
 
     Marks are looked for anywhere, so a description that holds one is lost too:
     that is how these reports have always been read.
     """
-    return lines.filter((F.length("line") >= LINE_LENGTH) & ~layout.is_furniture())
+    return _unmarked(lines, layout).filter(strip(F.col("line")) != "")
 
 
 def _product() -> Column:
@@ -121,7 +125,8 @@ def _product() -> Column:
 def synthetic_sales(lines: DataFrame) -> DataFrame:
     """Items of the synthetic layout: totals per product, no date nor document."""
     lay = SYNTHETIC
-    items = data_lines(lines, lay).select(
+    # A blank line has no item number: no test of its own is needed here or below.
+    items = _unmarked(lines, lay).select(
         FILE,
         lay.text("item").alias("codigo_item"),
         lay.text("descricao").alias("descricao"),
@@ -151,7 +156,7 @@ def synthetic_sales(lines: DataFrame) -> DataFrame:
 def document_lines(lines: DataFrame, layout: Layout) -> DataFrame:
     """Lines with a digit item, a three-part date and a digit document number."""
     return (
-        data_lines(lines, layout)
+        _unmarked(lines, layout)
         .select(
             FILE,
             *ORDER,
