@@ -18,14 +18,14 @@ from caderneta.session import build_session
 
 HEADLINE = (
     "kpi_global", "kpi_bundle", "top_products_value", "top_products_qty", "sales_by_month",
-    "standardized", "consolidated", "consolidation_totals", "reprocess_idempotent",
+    "standardize", "consolidate", "consolidation_report", "reprocess_idempotent",
     "validation_report", "duplicate_sales_ids", "split_product",
     "rel_synth_items", "rel_sales_items", "ci_running_year", "ci_item_sequence",
     "ci_group_stats", "ci_modal_date", "purchase_dates", "rel_purchase_items",
     "hier_flatten", "hier_filldown", "flat_grid_extract", "ingest_union",
     "parquet_roundtrip", "csv_roundtrip", "bi_csv_rows", "json_rows", "report_lines",
-    "period_overlaps", "supersede_partial", "seasonality_index", "accents_removed",
-    "br_numbers",
+    "period_overlaps", "supersede_partial", "seasonality_index", "strip_accents",
+    "br_number",
 )
 PRINTED = (
     tables.synthetic_lines, tables.analytic_lines, tables.purchase_lines,

@@ -309,7 +309,7 @@ ORACLES: dict[str, str] = {
       FROM docs
       UNION ALL
       SELECT rpad('Item   Artigo', 132, ' ') FROM lineitem WHERE l_orderkey % 50 = 0""",
-    "rows_per_source_file": """
+    "rows_per_source": """
       SELECT 'lineitem.parquet' AS arquivo_origem, count(*) AS linhas FROM lineitem
       UNION ALL SELECT 'orders.parquet', count(*) FROM orders
       UNION ALL SELECT 'part.parquet', count(*) FROM part
@@ -408,7 +408,7 @@ ORACLES: dict[str, str] = {
           ELSE p_name || ' - ' || p_brand END AS descricao_produto,
         count(*) AS linhas
       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
-    "standardized": f"WITH {ITEMS} SELECT {TEXT_DATE} FROM items",
+    "standardize": f"WITH {ITEMS} SELECT {TEXT_DATE} FROM items",
     "required_field_violations": f"""WITH {ITEMS}
       SELECT 'produto' AS campo, count(*) FILTER (coalesce(trim(produto), '') = '') AS vazios
         FROM items
@@ -440,8 +440,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 3, 'Duplicatas encontradas em id_venda'
           WHERE EXISTS (SELECT 1 FROM items GROUP BY id_venda HAVING count(*) > 1))
       SELECT row_number() OVER (ORDER BY k) - 1 AS ord, error FROM found""",
-    "consolidated": CLEAN_ROWS,
-    "consolidation_totals": f"""WITH {STAGES}
+    "consolidate": CLEAN_ROWS,
+    "consolidation_report": f"""WITH {STAGES}
       SELECT o AS total_original, f AS total_final, o - f AS linhas_removidas FROM n""",
     # KPIs
     "kpi_global": f"WITH {KPIS} SELECT * FROM g",
@@ -470,7 +470,7 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 4, 'analytics', 0, 0
       UNION ALL SELECT 5, 'parquet', 0, 0
       UNION ALL SELECT 6, 'csv', f, 0 FROM n""",
-    "audit_totals": f"""WITH {STAGES}
+    "audit_summary": f"""WITH {STAGES}
       SELECT 6 AS n_etapas, 2 * o + 2 * f AS linhas_total, 0 AS n_erros, true AS sucesso,
         '✓ 6 etapas, ' || format('{{:,}}', CAST(2 * o + 2 * f AS BIGINT)) || ' linhas' AS resumo
       FROM n""",
@@ -481,17 +481,17 @@ ORACLES: dict[str, str] = {
     "doc_type_prefix": """
       SELECT split_part(o_orderpriority, '-', 1) AS tipo, count(*) AS linhas
       FROM orders GROUP BY ALL""",
-    "accents_removed": f"""
+    "strip_accents": f"""
       SELECT doc_id, translate(text, '{ACCENTED}', '{PLAIN}') AS texto FROM documents""",
-    "text_truncated": "SELECT doc_id, coalesce(substring(text, 1, 255), '') AS texto FROM documents",
-    "br_numbers": """
+    "truncate_text": "SELECT doc_id, coalesce(substring(text, 1, 255), '') AS texto FROM documents",
+    "br_number": """
       SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
         CASE WHEN l_orderkey % 19 = 0 OR l_orderkey % 17 = 0 THEN 0.0
           WHEN l_orderkey % 13 = 0 THEN -l_extendedprice
           WHEN l_orderkey % 11 = 0 THEN l_quantity * 1000
           ELSE l_extendedprice END AS valor
       FROM lineitem""",
-    "br_dates": """
+    "br_date_parts": """
       SELECT CASE WHEN ok THEN day(o_orderdate) ELSE -1 END AS dia,
         CASE WHEN ok THEN month(o_orderdate) ELSE -1 END AS mes,
         CASE WHEN ok THEN year(o_orderdate) % 100 ELSE -1 END AS aa,

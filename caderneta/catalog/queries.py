@@ -49,14 +49,17 @@ QUERIES: dict[str, Query] = {}
 SCOPE_YEAR = 1998
 
 
-def query(build: Query) -> Query:
-    """Registers under the function's name, in types both engines share."""
+def query(name: str) -> Callable[[Query], Query]:
+    """Registers a query, its result in types both engines share."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _portable(build(spark, sf_dir))
+    def register(build: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return _portable(build(spark, sf_dir))
 
-    QUERIES[build.__name__] = run
-    return build
+        QUERIES[name] = run
+        return build
+
+    return register
 
 
 def _portable(df: DataFrame) -> DataFrame:
@@ -79,8 +82,8 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources -----------------------------------------------------------------
 
 
-@query
-def rel_line_scan(spark, sf_dir):
+@query("rel_line_scan")
+def _rel_line_scan(spark, sf_dir):
     """Printed lines written as latin-1 text and scanned back."""
     path = work_dir(spark, "linhas")
     verbatim = {
@@ -95,21 +98,21 @@ def rel_line_scan(spark, sf_dir):
     )
 
 
-@query
-def rows_per_source_file(spark, sf_dir):
+@query("rows_per_source")
+def _rows_per_source_file(spark, sf_dir):
     names = ("lineitem", "orders", "part", "supplier")
     counts = [rows_per_source(spark, f"{sf_dir}/{n}.parquet") for n in names]
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
-@query
-def ingest_union(spark, sf_dir):
+@query("ingest_union")
+def _ingest_union(spark, sf_dir):
     both = tables.hierarchical_grid(spark, sf_dir).unionByName(tables.flat_grid(spark, sf_dir))
     return ingest_grid(both).select(*ITEM.fieldNames())
 
 
-@query
-def layout_dispatch(spark, sf_dir):
+@query("layout_dispatch")
+def _layout_dispatch(spark, sf_dir):
     """Layout chosen per file whatever the case of its suffix."""
     both = tables.hierarchical_grid(spark, sf_dir).unionByName(tables.flat_grid(spark, sf_dir))
     upper = both.withColumn("arquivo_origem", F.upper("arquivo_origem"))
@@ -123,13 +126,13 @@ def layout_dispatch(spark, sf_dir):
 # --- grids -------------------------------------------------------------------
 
 
-@query
-def hier_flatten(spark, sf_dir):
+@query("hier_flatten")
+def _hier_flatten(spark, sf_dir):
     return grid.hierarchical_items(tables.hierarchical_grid(spark, sf_dir)).drop("row_no")
 
 
-@query
-def hier_filldown(spark, sf_dir):
+@query("hier_filldown")
+def _hier_filldown(spark, sf_dir):
     """Items and value under each pair of headings."""
     items = grid.hierarchical_items(tables.hierarchical_grid(spark, sf_dir))
     return items.groupBy("arquivo_origem", "responsavel", "artigo").agg(
@@ -138,28 +141,28 @@ def hier_filldown(spark, sf_dir):
     )
 
 
-@query
-def heading_class_counts(spark, sf_dir):
+@query("heading_class_counts")
+def _heading_class_counts(spark, sf_dir):
     return grid.heading_counts(tables.hierarchical_grid(spark, sf_dir))
 
 
-@query
-def flat_grid_extract(spark, sf_dir):
+@query("flat_grid_extract")
+def _flat_grid_extract(spark, sf_dir):
     return grid.flat_items(tables.flat_grid(spark, sf_dir)).drop("row_no")
 
 
 # --- printed reports ---------------------------------------------------------
 
 
-@query
-def rel_synth_filter(spark, sf_dir):
+@query("rel_synth_filter")
+def _rel_synth_filter(spark, sf_dir):
     """Lines left per file once page furniture is gone."""
     kept = fixed.data_lines(tables.synthetic_lines(spark, sf_dir), fixed.SYNTHETIC)
     return kept.groupBy("arquivo_origem").agg(F.count(F.lit(1)).alias("linhas"))
 
 
-@query
-def rel_synth_items(spark, sf_dir):
+@query("rel_synth_items")
+def _rel_synth_items(spark, sf_dir):
     return fixed.synthetic_sales(tables.synthetic_lines(spark, sf_dir))
 
 
@@ -168,13 +171,13 @@ def _analytic_documents(spark, sf_dir):
     return lines.filter(F.col("descricao") != "")
 
 
-@query
-def rel_sales_items(spark, sf_dir):
+@query("rel_sales_items")
+def _rel_sales_items(spark, sf_dir):
     return fixed.analytic_sales(tables.analytic_lines(spark, sf_dir))
 
 
-@query
-def ci_running_year(spark, sf_dir):
+@query("ci_running_year")
+def _ci_running_year(spark, sf_dir):
     """Lines per document, printed year and resolved year."""
     years = fixed.with_running_year(_analytic_documents(spark, sf_dir))
     return years.groupBy("arquivo_origem", "ci", "ano_impresso", "ano").agg(
@@ -182,8 +185,8 @@ def ci_running_year(spark, sf_dir):
     )
 
 
-@query
-def ci_item_sequence(spark, sf_dir):
+@query("ci_item_sequence")
+def _ci_item_sequence(spark, sf_dir):
     items = fixed.analytic_sales(tables.analytic_lines(spark, sf_dir))
     return items.select("arquivo_origem", "ci", "codigo_item", "protocolo", "valor_total_venda")
 
@@ -192,54 +195,54 @@ def _purchase_documents(spark, sf_dir):
     return fixed.document_lines(tables.purchase_lines(spark, sf_dir), fixed.PURCHASE)
 
 
-@query
-def rel_purchase_lines(spark, sf_dir):
+@query("rel_purchase_lines")
+def _rel_purchase_lines(spark, sf_dir):
     return _purchase_documents(spark, sf_dir).drop("blk", "seq")
 
 
-@query
-def ci_group_stats(spark, sf_dir):
+@query("ci_group_stats")
+def _ci_group_stats(spark, sf_dir):
     return fixed.document_stats(_purchase_documents(spark, sf_dir))
 
 
-@query
-def ci_modal_date(spark, sf_dir):
+@query("ci_modal_date")
+def _ci_modal_date(spark, sf_dir):
     return fixed.modal_dates(_purchase_documents(spark, sf_dir)).select(
         "arquivo_origem", "ci", "data_original", "freq_data", "total_datas"
     )
 
 
-@query
-def ci_year_slices(spark, sf_dir):
+@query("ci_year_slices")
+def _ci_year_slices(spark, sf_dir):
     groups = _purchase_documents(spark, sf_dir).select("arquivo_origem", "ci").distinct()
     return fixed.with_inferred_year(groups)
 
 
-@query
-def date_confidence(spark, sf_dir):
+@query("date_confidence")
+def _date_confidence(spark, sf_dir):
     dates = fixed.document_dates(_purchase_documents(spark, sf_dir))
     return dates.groupBy("arquivo_origem", "ano_inferido", "confianca").agg(
         F.count(F.lit(1)).alias("documentos")
     )
 
 
-@query
-def purchase_dates(spark, sf_dir):
+@query("purchase_dates")
+def _purchase_dates(spark, sf_dir):
     return fixed.document_dates(_purchase_documents(spark, sf_dir)).select(
         "arquivo_origem", "ci", "ano_inferido", "data_emissao"
     )
 
 
-@query
-def rel_purchase_items(spark, sf_dir):
+@query("rel_purchase_items")
+def _rel_purchase_items(spark, sf_dir):
     return fixed.purchases(tables.purchase_lines(spark, sf_dir))
 
 
 # --- standardise, validate, consolidate --------------------------------------
 
 
-@query
-def split_product(spark, sf_dir):
+@query("split_product")
+def _split_product(spark, sf_dir):
     """Products with and without a separator, and null ones."""
     lines = tables.line_items(spark, sf_dir)
     part = tables.load(spark, sf_dir, "part")
@@ -256,113 +259,113 @@ def split_product(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("linhas"))
 
 
-@query
-def standardized(spark, sf_dir):
+@query("standardize")
+def _standardized(spark, sf_dir):
     return _items(spark, sf_dir)
 
 
-@query
-def required_field_violations(spark, sf_dir):
+@query("required_field_violations")
+def _required_field_violations(spark, sf_dir):
     return quality.required_violations(_items(spark, sf_dir))
 
 
-@query
-def duplicate_sales_ids(spark, sf_dir):
+@query("duplicate_sales_ids")
+def _duplicate_sales_ids(spark, sf_dir):
     return quality.duplicate_ids(_items(spark, sf_dir))
 
 
-@query
-def validation_report(spark, sf_dir):
+@query("validation_report")
+def _validation_report(spark, sf_dir):
     """The report of the items as they are."""
     return quality.validate(_items(spark, sf_dir)).drop("errors")
 
 
-@query
-def validation_missing_column(spark, sf_dir):
+@query("validation_missing_column")
+def _validation_missing_column(spark, sf_dir):
     """The messages when a required column is not there at all."""
     return quality.validation_errors(_items(spark, sf_dir).drop("numero_documento"))
 
 
-@query
-def consolidated(spark, sf_dir):
+@query("consolidate")
+def _consolidated(spark, sf_dir):
     return consolidate(_items(spark, sf_dir))
 
 
-@query
-def consolidation_totals(spark, sf_dir):
+@query("consolidation_report")
+def _consolidation_totals(spark, sf_dir):
     return consolidation_report(consolidate_counted(_items(spark, sf_dir)))
 
 
 # --- KPIs --------------------------------------------------------------------
 
 
-@query
-def kpi_global(spark, sf_dir):
+@query("kpi_global")
+def _kpi_global(spark, sf_dir):
     return kpis.kpi_global(_clean(spark, sf_dir))
 
 
-@query
-def top_products_value(spark, sf_dir):
+@query("top_products_value")
+def _top_products_value(spark, sf_dir):
     return kpis.top_products(_clean(spark, sf_dir), kpis.VALUE)
 
 
-@query
-def top_products_qty(spark, sf_dir):
+@query("top_products_qty")
+def _top_products_qty(spark, sf_dir):
     return kpis.top_products(_clean(spark, sf_dir), kpis.QUANTITY)
 
 
-@query
-def sales_by_month(spark, sf_dir):
+@query("sales_by_month")
+def _sales_by_month(spark, sf_dir):
     return kpis.sales_by_month(_clean(spark, sf_dir))
 
 
-@query
-def kpi_bundle(spark, sf_dir):
+@query("kpi_bundle")
+def _kpi_bundle(spark, sf_dir):
     return kpis.kpi_bundle(_clean(spark, sf_dir))
 
 
 # --- sinks and audit ---------------------------------------------------------
 
 
-@query
-def parquet_roundtrip(spark, sf_dir):
+@query("parquet_roundtrip")
+def _parquet_roundtrip(spark, sf_dir):
     path = export_parquet(_clean(spark, sf_dir), work_dir(spark, "parquet"))
     return spark.read.parquet(path)
 
 
-@query
-def csv_roundtrip(spark, sf_dir):
+@query("csv_roundtrip")
+def _csv_roundtrip(spark, sf_dir):
     items = _clean(spark, sf_dir)
     path = export_csv(items, work_dir(spark, "csv"))
     return spark.read.options(**CSV_OPTIONS).schema(items.schema).csv(path)
 
 
-@query
-def bi_csv_rows(spark, sf_dir):
+@query("bi_csv_rows")
+def _bi_csv_rows(spark, sf_dir):
     """The finished CSV lines; the header is checked with them, as a column."""
     lines = bi_csv_lines(_clean(spark, sf_dir))
     header = lines.columns[0]
     return lines.select(F.lit(header).alias("cabecalho"), F.col(f"`{header}`").alias("linha"))
 
 
-@query
-def json_rows(spark, sf_dir):
+@query("json_rows")
+def _json_rows(spark, sf_dir):
     return json_lines(_clean(spark, sf_dir))
 
 
-@query
-def report_lines(spark, sf_dir):
+@query("report_lines")
+def _report_lines(spark, sf_dir):
     return kpi_report_lines(kpis.compute_kpis(_clean(spark, sf_dir)))
 
 
-@query
-def stage_metrics(spark, sf_dir):
+@query("stage_metrics")
+def _stage_metrics(spark, sf_dir):
     stages = stage_rows(consolidated_items(tables.sales_items(spark, sf_dir)))
     return stages.fillna(0, ["linhas", "removidas"])
 
 
-@query
-def audit_totals(spark, sf_dir):
+@query("audit_summary")
+def _audit_totals(spark, sf_dir):
     """The run summary over the stages of one run."""
     stages = stage_rows(consolidated_items(tables.sales_items(spark, sf_dir)))
     return audit_summary(stages.withColumn("erro", F.lit(None).cast("string")), by_run=False)
@@ -371,8 +374,8 @@ def audit_totals(spark, sf_dir):
 # --- scalar functions --------------------------------------------------------
 
 
-@query
-def excel_serial_dates(spark, sf_dir):
+@query("excel_serial_dates")
+def _excel_serial_dates(spark, sf_dir):
     """Day serials with a fraction, from the ship dates."""
     days = F.date_diff(F.col("l_shipdate").cast("date"), F.lit("1899-12-30").cast("date"))
     serial = days + F.col("l_discount")
@@ -382,28 +385,28 @@ def excel_serial_dates(spark, sf_dir):
     )
 
 
-@query
-def doc_type_prefix(spark, sf_dir):
+@query("doc_type_prefix")
+def _doc_type_prefix(spark, sf_dir):
     orders = tables.load(spark, sf_dir, "orders")
     return orders.groupBy(document_type(F.col("o_orderpriority")).alias("tipo")).agg(
         F.count(F.lit(1)).alias("linhas")
     )
 
 
-@query
-def accents_removed(spark, sf_dir):
+@query("strip_accents")
+def _accents_removed(spark, sf_dir):
     docs = tables.load(spark, sf_dir, "documents")
     return docs.select("doc_id", strip_accents(F.col("text")).alias("texto"))
 
 
-@query
-def text_truncated(spark, sf_dir):
+@query("truncate_text")
+def _text_truncated(spark, sf_dir):
     docs = tables.load(spark, sf_dir, "documents")
     return docs.select("doc_id", truncate(F.col("text")).alias("texto"))
 
 
-@query
-def br_numbers(spark, sf_dir):
+@query("br_number")
+def _br_numbers(spark, sf_dir):
     """Printed prices read back, with blank, invalid and negative ones."""
     price = F.col("l_extendedprice")
     key = F.col("l_orderkey")
@@ -418,8 +421,8 @@ def br_numbers(spark, sf_dir):
     return lines.select("l_orderkey", "l_linenumber", br_number(text).alias("valor"))
 
 
-@query
-def br_dates(spark, sf_dir):
+@query("br_date_parts")
+def _br_dates(spark, sf_dir):
     """Printed dates to parts; malformed ones give nulls."""
     key = F.col("o_orderkey")
     text = (
@@ -437,18 +440,18 @@ def br_dates(spark, sf_dir):
 # --- calendar rules ----------------------------------------------------------
 
 
-@query
-def sunday_sales(spark, sf_dir):
+@query("sunday_sales")
+def _sunday_sales(spark, sf_dir):
     return calendar.sunday_sales(_clean(spark, sf_dir))
 
 
-@query
-def period_overlaps(spark, sf_dir):
+@query("period_overlaps")
+def _period_overlaps(spark, sf_dir):
     return calendar.period_overlaps(_clean(spark, sf_dir))
 
 
-@query
-def supersede_partial(spark, sf_dir):
+@query("supersede_partial")
+def _supersede_partial(spark, sf_dir):
     kept = calendar.supersede_partial(_clean(spark, sf_dir))
     return kept.groupBy("arquivo_origem", kpis.month_text(F.col("data_emissao")).alias("mes")).agg(
         F.count(F.lit(1)).alias("linhas"),
@@ -456,8 +459,8 @@ def supersede_partial(spark, sf_dir):
     )
 
 
-@query
-def period_scope(spark, sf_dir):
+@query("period_scope")
+def _period_scope(spark, sf_dir):
     marked = calendar.mark_scope(_clean(spark, sf_dir), SCOPE_YEAR)
     return marked.groupBy("sistema_origem").agg(
         F.count(F.lit(1)).alias("linhas"),
@@ -465,13 +468,13 @@ def period_scope(spark, sf_dir):
     )
 
 
-@query
-def seasonality_index(spark, sf_dir):
+@query("seasonality_index")
+def _seasonality_index(spark, sf_dir):
     return calendar.seasonality_index(_clean(spark, sf_dir))
 
 
-@query
-def reprocess_idempotent(spark, sf_dir):
+@query("reprocess_idempotent")
+def _reprocess_idempotent(spark, sf_dir):
     """Consolidating all files twice over leaves what one pass leaves."""
     items = tables.sales_items(spark, sf_dir)
     return standardize(consolidate(items.unionByName(items)))

@@ -269,21 +269,34 @@ def modal_dates(documents: DataFrame) -> DataFrame:
     )
 
 
-def with_inferred_year(groups: DataFrame, span: DataFrame | None = None) -> DataFrame:
+def _spans(ranged: DataFrame) -> DataFrame:
+    """Lowest and highest document number of the file, per file and number range.
+
+    Documents meet their file's span range by range: a join on the file alone would
+    send all documents of a huge file to one task.
+    """
+    bounds = [F.min("ci_min").alias("ci_min"), F.max("ci_max").alias("ci_max")]
+    ranges = ranged.groupBy(FILE, "faixa").agg(
+        F.min("ci").alias("ci_min"), F.max("ci").alias("ci_max")
+    )
+    return ranges.select(FILE, "faixa").join(ranges.groupBy(FILE).agg(*bounds), FILE)
+
+
+def with_inferred_year(groups: DataFrame) -> DataFrame:
     """Adds ``ano_inferido``: the document range of a file cut in equal year slices.
 
     The year is the first one plus the number of slice limits at or below the
     document number.  Counting limits matters: dividing by the slice width misplaces
-    numbers that lie on an edge.  ``span`` may give the range per file.
+    numbers that lie on an edge.
     """
-    if span is None:
-        span = groups.groupBy(FILE).agg(F.min("ci").alias("ci_min"), F.max("ci").alias("ci_max"))
-    width = (F.col("ci_max") - F.col("ci_min")) / F.lit(float(YEARS))
-    passed = F.lit(FIRST_YEAR)
-    for k in range(1, YEARS):
-        limit = F.col("ci_min") + F.lit(float(k)) * width
-        passed = passed + (F.col("ci") >= limit).cast("int")
-    return groups.join(span, FILE).withColumn("ano_inferido", passed).drop("ci_min", "ci_max")
+    ranged = groups.withColumn("faixa", F.expr(f"ci div {CI_RANGE}"))
+    width = f"((ci_max - ci_min) / {YEARS}.0D)"
+    passed = " + ".join(f"int(ci >= ci_min + {k}.0D * {width})" for k in range(1, YEARS))
+    return (
+        ranged.join(_spans(ranged), [FILE, "faixa"])
+        .withColumn("ano_inferido", F.expr(f"{FIRST_YEAR} + {passed}"))
+        .drop("faixa", "ci_min", "ci_max")
+    )
 
 
 def confidence() -> Column:

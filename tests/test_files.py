@@ -13,7 +13,9 @@ from caderneta.operators.standardize import standardize
 from caderneta.plans.audit import PipelineRun, append_audit, audit_summary, run_record
 from caderneta.schemas import ITEM, RAW_GRID
 from caderneta.scratch import work_dir
-from caderneta.sinks.files import export_bi_csv, export_csv, export_json, json_lines
+from caderneta.sinks.files import (
+    export_bi_csv, export_csv, export_json, export_parquet, json_lines,
+)
 from caderneta.sinks.report import export_markdown
 from caderneta.sources.grid import read_grid
 from caderneta.sources.report_text import read_analytic_sales, read_report_lines
@@ -71,6 +73,14 @@ def test_csv_and_empty_csv(spark, tmp_path):
     assert empty.strip() == ",".join(ITEM.fieldNames())
 
 
+def test_parquet_by_month(spark, tmp_path):
+    rows = items(spark, item(), item(data_emissao=date(2025, 2, 1)), item(data_emissao=None))
+    path = export_parquet(rows, str(tmp_path / "mes"), by_month=True)
+    assert sorted(p.rsplit("=")[-1] for p in glob.glob(f"{path}/mes=*")) == [
+        "2025-01", "2025-02", "NaT"]
+    assert spark.read.parquet(path).filter("mes = '2025-02'").first().data_emissao == date(2025, 2, 1)
+
+
 def test_json(spark, tmp_path):
     rows = items(spark, item(produto="AÇÃO"), item(data_emissao=None, responsavel=None)).coalesce(1)
     (text,) = part_lines(export_json(rows, str(tmp_path / "json")))

@@ -261,8 +261,10 @@ def test_purchases_against_brute_force(spark):
 
 
 def test_year_slices_on_edges(spark):
-    cases = [(low, low + 18 * w + extra, ci) for low in (10, 10005) for w in (1, 3, 7)
-             for extra in (0, 1, 5) for ci in range(low, low + 18 * w + extra + 1)]
+    cases = []
+    for low, span in [(10, n) for n in range(18, 400, 3)] + [(10005, 24059), (7, 10**9 + 7)]:
+        edges = {low + k * span // 18 + d for k in range(1, 18) for d in (-1, 0, 1)}
+        cases += [(low, low + span, ci) for ci in sorted({low, low + span} | edges)]
     rows = [(f"{lo}-{hi}", ci) for lo, hi, ci in cases]
     df = spark.createDataFrame(rows, "arquivo_origem string, ci bigint")
     got = {(r.arquivo_origem, r.ci): r.ano_inferido for r in fixed.with_inferred_year(df).collect()}
