@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caderneta.functions.dates import br_date_parts, valid_date
@@ -269,31 +269,40 @@ def modal_dates(documents: DataFrame) -> DataFrame:
     )
 
 
-def _spans(ranged: DataFrame) -> DataFrame:
+def _with_range(df: DataFrame) -> DataFrame:
+    return df.withColumn("faixa", F.expr(f"ci div {CI_RANGE}"))
+
+
+def document_spans(documents: DataFrame) -> DataFrame:
     """Lowest and highest document number of the file, per file and number range.
 
     Documents meet their file's span range by range: a join on the file alone would
-    send all documents of a huge file to one task.
+    send all documents of a huge file to one task.  A file has few ranges.
     """
-    bounds = [F.min("ci_min").alias("ci_min"), F.max("ci_max").alias("ci_max")]
-    ranges = ranged.groupBy(FILE, "faixa").agg(
+    ranges = _with_range(documents).groupBy(FILE, "faixa").agg(
         F.min("ci").alias("ci_min"), F.max("ci").alias("ci_max")
     )
-    return ranges.select(FILE, "faixa").join(ranges.groupBy(FILE).agg(*bounds), FILE)
+    file = Window.partitionBy(FILE)
+    return ranges.withColumns(
+        {"ci_min": F.min("ci_min").over(file), "ci_max": F.max("ci_max").over(file)}
+    )
 
 
-def with_inferred_year(groups: DataFrame) -> DataFrame:
+def with_inferred_year(groups: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     """Adds ``ano_inferido``: the document range of a file cut in equal year slices.
 
     The year is the first one plus the number of slice limits at or below the
     document number.  Counting limits matters: dividing by the slice width misplaces
-    numbers that lie on an edge.
+    numbers that lie on an edge.  ``spans`` (of ``document_spans``) may come from the
+    lines the groups were made of, which is cheaper than from the groups.
     """
-    ranged = groups.withColumn("faixa", F.expr(f"ci div {CI_RANGE}"))
+    if spans is None:
+        spans = document_spans(groups)
     width = f"((ci_max - ci_min) / {YEARS}.0D)"
     passed = " + ".join(f"int(ci >= ci_min + {k}.0D * {width})" for k in range(1, YEARS))
     return (
-        ranged.join(_spans(ranged), [FILE, "faixa"])
+        _with_range(groups)
+        .join(spans, [FILE, "faixa"])
         .withColumn("ano_inferido", F.expr(f"{FIRST_YEAR} + {passed}"))
         .drop("faixa", "ci_min", "ci_max")
     )
@@ -320,7 +329,8 @@ def corrected_date() -> Column:
 
 def document_dates(documents: DataFrame) -> DataFrame:
     """Per document: modal date, inferred year, confidence and corrected date."""
-    return with_inferred_year(modal_dates(documents)).withColumns(
+    groups = with_inferred_year(modal_dates(documents), document_spans(documents))
+    return groups.withColumns(
         {"confianca": confidence(), "data_emissao": corrected_date()}
     )
 
