@@ -463,6 +463,16 @@ ORACLES: dict[str, str] = {
       SELECT '{CSV_HEADER}' AS cabecalho, {CSV_LINE} AS linha FROM clean""",
     "json_rows": f"WITH {CLEAN} SELECT {JSON_LINE} AS value FROM clean",
     "report_lines": REPORT,
+    "pipeline_run": f"""WITH {GRID},
+      u AS (SELECT * FROM grid_items UNION ALL BY NAME SELECT * FROM flat_items),
+      k AS (SELECT * EXCLUDE (arquivo_origem), min(arquivo_origem) AS arquivo_origem
+            FROM u GROUP BY ALL)
+      SELECT *, split_part(produto, ' - ', 1) AS codigo_produto,
+        split_part(produto, ' - ', 2) AS descricao_produto,
+        tipo_documento || numero_documento || coalesce(data_emissao, 'None') AS id_venda,
+        tipo_documento || numero_documento || coalesce(data_emissao, 'None') || protocolo
+          AS id_item_venda
+      FROM k""",
     "stage_metrics": f"""WITH {STAGES}
       SELECT 1 AS ord, 'ingestao' AS etapa, o AS linhas, 0 AS removidas FROM n
       UNION ALL SELECT 2, 'padronizacao', o, 0 FROM n

@@ -28,7 +28,7 @@ from caderneta.operators.consolidate import (
 )
 from caderneta.operators.standardize import standardize
 from caderneta.plans.audit import audit_summary
-from caderneta.plans.pipeline import consolidated_items, stage_rows
+from caderneta.plans.pipeline import consolidated_items, run_pipeline, stage_rows
 from caderneta.schemas import ITEM
 from caderneta.scratch import work_dir
 from caderneta.sinks.files import (
@@ -358,6 +358,13 @@ def _report_lines(spark, sf_dir):
     return kpi_report_lines(kpis.compute_kpis(_clean(spark, sf_dir)))
 
 
+@query("pipeline_run")
+def _pipeline_run(spark, sf_dir):
+    """The whole run over all grids: the consolidated table it leaves."""
+    both = tables.hierarchical_grid(spark, sf_dir).unionByName(tables.flat_grid(spark, sf_dir))
+    return run_pipeline(both, work_dir(spark, "run")).dados
+
+
 @query("stage_metrics")
 def _stage_metrics(spark, sf_dir):
     stages = stage_rows(consolidated_items(tables.sales_items(spark, sf_dir)))
@@ -414,7 +421,7 @@ def _br_numbers(spark, sf_dir):
         F.when(key % 19 == 0, "  ")
         .when(key % 17 == 0, "1d")
         .when(key % 13 == 0, F.concat(F.lit(" -"), tables.br_text(price)))
-        .when(key % 11 == 0, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".000")))
+        .when(key % 11 == 0, F.format_string("%.0f.000", "l_quantity"))
         .otherwise(tables.br_text(price))
     )
     lines = tables.line_items(spark, sf_dir)

@@ -43,13 +43,9 @@ def period_overlaps(items: DataFrame) -> DataFrame:
     calendar days, of which there are few whatever the number of files.
     """
     periods = file_periods(items)
-    marks = periods.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("inicio").alias("dia"), F.lit(1).alias("abre"), F.lit(0).alias("fecha")),
-                F.struct(F.col("fim").alias("dia"), F.lit(0).alias("abre"), F.lit(1).alias("fecha")),
-            )
-        )
+    marks = periods.selectExpr(
+        "inline(array(named_struct('dia', inicio, 'abre', 1, 'fecha', 0),"
+        " named_struct('dia', fim, 'abre', 0, 'fecha', 1)))"
     )
     days = (
         marks.groupBy("dia")
@@ -62,7 +58,9 @@ def period_overlaps(items: DataFrame) -> DataFrame:
         F.col("dia").alias("fim"),
         (F.coalesce("abre", F.lit(0)) + F.col("abre_dia")).alias("iniciados"),
     )
-    ended = before.select(F.col("dia").alias("inicio"), F.coalesce("fecha", F.lit(0)).alias("encerrados"))
+    ended = before.select(
+        F.col("dia").alias("inicio"), F.coalesce("fecha", F.lit(0)).alias("encerrados")
+    )
     return (
         periods.join(started, "fim")
         .join(ended, "inicio")
