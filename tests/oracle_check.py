@@ -71,7 +71,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
     for name, build in queries().items():
-        if wanted and name not in wanted:
+        if name not in sql or (wanted and name not in wanted):
             continue
         start = time.perf_counter()
         try:

@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from caderneta.catalog.oracles import ORACLES
+from caderneta.catalog.queries import QUERIES
 from oracle_check import compare, connect
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -17,12 +19,12 @@ def con():
 
 
 def test_each_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, name, queries()[name], oracle_sql()[name], SF_DIR) == ""
+    assert compare(spark, con, name, QUERIES[name], ORACLES[name], SF_DIR) == ""
 
 
 def test_entry(spark):
