@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "mixing")
+MODULES = ("sharding", "mixing", "quality_rules", "personal_data")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
