@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "mixing", "quality_rules", "personal_data", "near_duplicates", "bpe", "line_dedup", "fingerprints")
+MODULES = ("sharding", "mixing", "quality_rules", "personal_data", "near_duplicates", "bpe", "line_dedup", "fingerprints", "masked_lm")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
