@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "mixing", "quality_rules", "personal_data", "near_duplicates", "bpe", "line_dedup", "fingerprints", "masked_lm")
+MODULES = ("sharding", "mixing", "quality_rules", "personal_data", "near_duplicates", "bpe", "line_dedup", "fingerprints", "masked_lm",
+           "licences")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
