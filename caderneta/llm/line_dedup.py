@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from caderneta.llm.arrow_words import Words, mixed, pieces
-from caderneta.llm.tables import load, stored
+from caderneta.llm.tables import load, packed, row_key, stored
 
 SIMILAR = 80
 # Lines of fewer different words identify nothing and are left alone.
@@ -288,13 +288,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _by_document(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` (with ``_text``, the hash of the text) and ``removed``, an array or null."""
-    listed = removed.groupBy(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
-    ).agg(F.array_sort(F.collect_list("line")).alias("removed"))
-    same = docs["doc_id"].eqNullSafe(listed["_id"]) & (docs["_text"] == listed["_hash"])
-    return docs.join(listed, same, "left").drop("_id", "_hash")
+def _listed(removed: DataFrame) -> DataFrame:
+    """(key, removed): the numbers of a document's removed lines."""
+    return removed.groupBy(row_key("doc_id", "text_hash").alias("key")).agg(
+        F.array_sort(F.collect_list("line")).alias("removed")
+    )
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -302,24 +300,23 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
     A null text stays null; a text all of whose lines go is empty.
     """
-    rows = docs.withColumn("_text", F.xxhash64("text"))
-    rows = _by_document(rows, removed_lines(docs.select("doc_id", "text")))
+    rows = packed(docs, "doc_id", F.xxhash64("text"))
+    rows = rows.join(_listed(removed_lines(docs.select("doc_id", "text"))), "key", "left")
     left = F.filter(
-        F.split("text", "\n"), lambda line, i: ~F.array_contains("removed", i)
+        F.split("row.text", "\n"), lambda line, i: ~F.array_contains("removed", i)
     )
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    names = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return rows.select(*names)
+    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n"))
+    return rows.select(F.col("row").withField("text", text).alias("row")).select("row.*")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the numbers (from 0) of the lines that earlier lines match."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     counted = docs.select(
-        "doc_id", F.xxhash64("text").alias("_text"),
+        "doc_id", row_key("doc_id", F.xxhash64("text")).alias("key"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).alias("n_lines"),
     )
-    marked = _by_document(counted, removed_lines(docs))
+    marked = counted.join(_listed(removed_lines(docs)), "key", "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return marked.select(
         "doc_id", F.col("n_lines").cast("long").alias("n_lines"),

@@ -13,7 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caderneta.llm.tables import key_hash, load, running_starts, stored, word_count
+from caderneta.llm.tables import (
+    key_hash,
+    load,
+    packed,
+    row_key,
+    running_starts,
+    stored,
+    word_count,
+)
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -119,6 +127,20 @@ def training_order(mixed: DataFrame) -> DataFrame:
     return copies.drop("positions").orderBy("position", "doc_id", "pass")
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents as training reads them: a row per copy, range-sorted by position.
+
+    Columns stay as they come.  Of rows with equal doc_id, source and text the first met
+    stands for all.
+    """
+    mixed = mix(docs.select("doc_id", "source", "text"))
+    copies = mixed.select(
+        row_key("doc_id", "source", "text_hash").alias("key"), F.explode("positions").alias("position")
+    )
+    rows = packed(docs, "doc_id", "source", F.xxhash64("text")).dropDuplicates(["key"])
+    return rows.join(copies, "key").orderBy("position", "key").select("row.*")
+
+
 def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the words the mix takes of each, by first position."""
     mixed = mix(load(spark, sf_dir, "documents").select("doc_id", "source", "text"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from caderneta.llm.arrow_words import mixed, pieces
 from caderneta.llm.components import components
 from caderneta.llm.shingles import shingle_sets
-from caderneta.llm.tables import load, stored
+from caderneta.llm.tables import load, packed, row_key, stored
 
 CHUNKS = 8
 CHUNK = 5
@@ -275,15 +275,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents with one row of each group left; columns as they come."""
-    marked = near_duplicates(docs).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
-    ).distinct()
-    hashed = docs.withColumn("_text", F.xxhash64("text"))
-    left = hashed.join(
-        marked, hashed["doc_id"].eqNullSafe(marked["_id"]) & (hashed["_text"] == marked["_hash"])
-    )
-    return left.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    """The documents with one row of each group left; columns as they come.
+
+    Of rows with equal doc_id and text one stays.
+    """
+    left = near_duplicates(docs).filter("kept").select(row_key("doc_id", "text_hash").alias("key"))
+    rows = packed(docs, "doc_id", F.xxhash64("text")).dropDuplicates(["key"])
+    return rows.join(left, "key", "left_semi").select("row.*")
 
 
 def op9_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -255,6 +255,16 @@ def verdict(rules: list[Rule]) -> Column:
     return found
 
 
+def _rules_for(counted: DataFrame, labels: DataFrame) -> list[Rule]:
+    told = labels.select("doc_id", "quality").filter(F.col("quality").isin(0, 1)).distinct()
+    labelled = (
+        counted.filter(~base_failed()).join(told, "doc_id")
+        .select(*FEATURES, (1 - F.col("quality")).cast("long").alias("bad"),
+                F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("part"))
+    )
+    return learn_rules(stored(labelled, "labelled"))
+
+
 def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, counts, base_failed, rule, kept) of each document.
 
@@ -266,20 +276,21 @@ def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counted = stored(
         with_features(text_counts(docs.select("doc_id", "text")).drop("text")), "quality"
     )
-    told = labels.select("doc_id", "quality").filter(F.col("quality").isin(0, 1)).distinct()
-    labelled = (
-        counted.filter(~base_failed()).join(told, "doc_id")
-        .select(*FEATURES, (1 - F.col("quality")).cast("long").alias("bad"),
-                F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("part"))
-    )
-    rules = learn_rules(stored(labelled, "labelled"))
-    rule = verdict(rules)
+    rule = verdict(_rules_for(counted, labels))
     return counted.select(
         "doc_id", *COUNTS, base_failed().alias("base_failed"), rule.alias("rule"),
         (~base_failed() & rule.isNull()).alias("kept"),
     )
 
 
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that ``judge_quality`` keeps, columns as they come."""
+    rows = docs.select("doc_id", F.struct("*").alias("row"))
+    counted = stored(with_features(text_counts(rows, "row.text")), "quality")
+    rule = verdict(_rules_for(counted, labels))
+    return counted.filter(~base_failed() & rule.isNull()).select("row.*")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their counts and the verdict of rules learned from ``labels``."""
     judged = judge_quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))

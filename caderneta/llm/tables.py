@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,9 +49,15 @@ def key_hash(*parts: Column | str) -> Column:
     return F.conv(digits, 16, 10).cast("long")
 
 
-def same(columns: list[str], left: DataFrame, right: DataFrame) -> Column:
-    """Null-safe equality on the named columns."""
-    return reduce(lambda a, b: a & b, (left[c].eqNullSafe(right[c]) for c in columns))
+def row_key(*parts: Column | str) -> Column:
+    """A text that is equal for rows equal in ``parts``, nulls included, and never null."""
+    named = [(F.col(p) if isinstance(p, str) else p).alias(f"k{n}") for n, p in enumerate(parts)]
+    return F.md5(F.to_json(F.struct(*named)))
+
+
+def packed(docs: DataFrame, *parts: Column | str) -> DataFrame:
+    """(key, row): ``docs`` as one struct each, so that no helper column meets theirs."""
+    return docs.select(row_key(*parts).alias("key"), F.struct("*").alias("row"))
 
 
 def running_starts(
