@@ -28,7 +28,7 @@ from caderneta.operators.report_fixed import (
 )
 from caderneta.operators.report_grid import flat_items, hierarchical_items
 from caderneta.operators.standardize import standardize
-from caderneta.plans.audit import PipelineRun, run_record
+from caderneta.plans.audit import append_audit, audit_summary
 from caderneta.plans.pipeline import run_pipeline
 from caderneta.session import build_session
 from caderneta.sinks.files import (

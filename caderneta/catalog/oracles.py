@@ -183,7 +183,8 @@ grid_items AS (
       THEN CAST(o_orderdate AS DATE) END AS VARCHAR) AS data_emissao,
     '001' AS tipo_documento,
     {DOCUMENT} AS numero_documento,
-    CAST(l_linenumber AS VARCHAR) AS protocolo,
+    CAST(CASE WHEN l_orderkey % 13 = 0 THEN 20250000000000000 + l_linenumber
+      ELSE l_linenumber END AS VARCHAR) AS protocolo,
     CASE WHEN l_orderkey % 83 = 0 THEN 0.0 ELSE l_extendedprice END AS valor_total_venda,
     l_quantity AS quantidade,
     {UNIT} AS unidade_medida,
@@ -216,8 +217,7 @@ BY_MONTH = f"""SELECT {MONTH} AS mes, round(sum(valor_total_venda), 2) AS total
   FROM clean GROUP BY ALL"""
 GLOBAL = """SELECT round(sum(valor_total_venda), 2) AS total_faturamento,
     count(DISTINCT id_venda) AS qtd_notas_fiscais, count(*) AS total_itens,
-    round(round(sum(valor_total_venda) * 100) / count(DISTINCT id_venda)) / 100
-      AS ticket_medio
+    round(sum(valor_total_venda) / count(DISTINCT id_venda), 2) AS ticket_medio
   FROM clean"""
 KPIS = f"""{CLEAN},
 g AS ({GLOBAL}),
@@ -458,7 +458,10 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'vendas_por_mes', mes, total FROM m""",
     # sinks and audit
     "parquet_roundtrip": CLEAN_ROWS,
-    "csv_roundtrip": CLEAN_ROWS,
+    "csv_roundtrip": CLEAN_ROWS.replace("* REPLACE (", """* REPLACE (
+      CASE protocolo WHEN '1' THEN 'a' || chr(10) || 'b'
+        WHEN '2' THEN 'a "b",' || chr(13) || chr(10)
+        WHEN '3' THEN '' WHEN '4' THEN NULL ELSE unidade_medida END AS unidade_medida, """),
     "bi_csv_rows": f"""WITH {CLEAN}
       SELECT '{CSV_HEADER}' AS cabecalho, {CSV_LINE} AS linha FROM clean""",
     "json_rows": f"WITH {CLEAN} SELECT {JSON_LINE} AS value FROM clean",
@@ -474,12 +477,12 @@ ORACLES: dict[str, str] = {
           AS id_item_venda
       FROM k""",
     "stage_metrics": f"""WITH {STAGES}
-      SELECT 1 AS ord, 'ingestao' AS etapa, o AS linhas, 0 AS removidas FROM n
-      UNION ALL SELECT 2, 'padronizacao', o, 0 FROM n
+      SELECT 1 AS ord, 'ingestao' AS etapa, o AS linhas, NULL AS removidas FROM n
+      UNION ALL SELECT 2, 'padronizacao', o, NULL FROM n
       UNION ALL SELECT 3, 'consolidacao', f, o - f FROM n
-      UNION ALL SELECT 4, 'analytics', 0, 0
-      UNION ALL SELECT 5, 'parquet', 0, 0
-      UNION ALL SELECT 6, 'csv', f, 0 FROM n""",
+      UNION ALL SELECT 4, 'analytics', NULL, NULL
+      UNION ALL SELECT 5, 'parquet', NULL, NULL
+      UNION ALL SELECT 6, 'csv', f, NULL FROM n""",
     "audit_summary": f"""WITH {STAGES}
       SELECT 6 AS n_etapas, 2 * o + 2 * f AS linhas_total, 0 AS n_erros, true AS sucesso,
         '✓ 6 etapas, ' || format('{{:,}}', CAST(2 * o + 2 * f AS BIGINT)) || ' linhas' AS resumo
@@ -512,28 +515,30 @@ ORACLES: dict[str, str] = {
         FROM orders)
       GROUP BY ALL""",
     # calendar rules
-    "sunday_sales": f"""WITH {CLEAN}
+    "sunday_sales": f"""WITH {ITEMS}
       SELECT arquivo_origem, count(*) AS itens_domingo,
         round(sum(valor_total_venda), 2) AS valor_domingo
-      FROM clean WHERE dayofweek(data_emissao) = 0 GROUP BY ALL""",
-    "period_overlaps": f"""WITH {CLEAN},
+      FROM items WHERE dayofweek(data_emissao) = 0 GROUP BY ALL""",
+    "period_overlaps": f"""WITH {ITEMS},
       p AS (SELECT arquivo_origem, min(data_emissao) AS inicio, max(data_emissao) AS fim
-            FROM clean WHERE data_emissao IS NOT NULL GROUP BY ALL)
+            FROM items WHERE data_emissao IS NOT NULL GROUP BY ALL)
       SELECT a.arquivo_origem, CAST(a.inicio AS VARCHAR) AS inicio, CAST(a.fim AS VARCHAR) AS fim,
         count(b.arquivo_origem) AS n_sobrepostos
       FROM p a LEFT JOIN p b ON a.arquivo_origem <> b.arquivo_origem
         AND a.inicio <= b.fim AND b.inicio <= a.fim
       GROUP BY ALL""",
-    "supersede_partial": f"""WITH {CLEAN},
-      counted AS (SELECT {MONTH} AS mes, arquivo_origem, count(*) AS n FROM clean
+    "supersede_partial": f"""WITH {ITEMS},
+      counted AS (SELECT {MONTH} AS mes, arquivo_origem, count(*) AS n FROM items
         WHERE data_emissao IS NOT NULL GROUP BY ALL),
       winners AS (SELECT mes, arquivo_origem FROM (SELECT *, row_number() OVER (
-        PARTITION BY mes ORDER BY n DESC, arquivo_origem DESC) AS r FROM counted) WHERE r = 1)
+        PARTITION BY mes ORDER BY n DESC, arquivo_origem DESC) AS r FROM counted) WHERE r = 1),
+      kept AS (SELECT {ITEM_COLUMNS}, min(arquivo_origem) AS arquivo_origem
+        FROM items WHERE data_emissao IS NULL
+          OR ({MONTH}, arquivo_origem) IN (SELECT (mes, arquivo_origem) FROM winners)
+        GROUP BY ALL)
       SELECT arquivo_origem, {MONTH} AS mes, count(*) AS linhas,
         round(sum(valor_total_venda), 2) AS valor
-      FROM clean WHERE data_emissao IS NULL
-        OR ({MONTH}, arquivo_origem) IN (SELECT (mes, arquivo_origem) FROM winners)
-      GROUP BY ALL""",
+      FROM kept GROUP BY ALL""",
     "period_scope": f"""WITH {CLEAN}
       SELECT CASE WHEN year(data_emissao) >= 1998 THEN 'ATUAL' ELSE 'ANTIGO' END
           AS sistema_origem,
@@ -543,7 +548,7 @@ ORACLES: dict[str, str] = {
       t AS (SELECT year(data_emissao) AS ano, month(data_emissao) AS mes,
               sum(valor_total_venda) AS total
             FROM clean WHERE data_emissao IS NOT NULL GROUP BY ALL)
-      SELECT mes, round(round(sum(total) * 100) / count(*)) / 100 AS media_mensal,
+      SELECT mes, round(sum(total) / count(*), 2) AS media_mensal,
         round(avg(total) / (SELECT avg(total) FROM t), 4) AS indice
       FROM t GROUP BY mes""",
     "reprocess_idempotent": CLEAN_ROWS,

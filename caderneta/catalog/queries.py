@@ -28,15 +28,15 @@ from caderneta.operators.consolidate import (
 )
 from caderneta.operators.standardize import standardize
 from caderneta.plans.audit import audit_summary
-from caderneta.plans.pipeline import consolidated_items, run_pipeline, stage_rows
+from caderneta.plans.pipeline import run_items, run_pipeline
 from caderneta.schemas import ITEM
 from caderneta.scratch import work_dir
 from caderneta.sinks.files import (
-    CSV_OPTIONS,
     bi_csv_lines,
     export_csv,
     export_parquet,
     json_lines,
+    read_csv,
 )
 from caderneta.sinks.report import kpi_report_lines
 from caderneta.sources.grid import ingest_grid, layout_name, parse_grid, rows_per_source
@@ -335,9 +335,15 @@ def _parquet_roundtrip(spark, sf_dir):
 
 @query("csv_roundtrip")
 def _csv_roundtrip(spark, sf_dir):
-    items = _clean(spark, sf_dir)
+    """Plain CSV there and back; some texts have breaks, quotes, or are empty or null."""
+    unit = (
+        F.when(F.col("protocolo") == "1", "a\nb").when(F.col("protocolo") == "2", 'a "b",\r\n')
+        .when(F.col("protocolo") == "3", "").when(F.col("protocolo") == "4", F.lit(None))
+        .otherwise(F.col("unidade_medida"))
+    )
+    items = _clean(spark, sf_dir).withColumn("unidade_medida", unit)
     path = export_csv(items, work_dir(spark, "csv"))
-    return spark.read.options(**CSV_OPTIONS).schema(items.schema).csv(path)
+    return read_csv(spark, path, items.schema)
 
 
 @query("bi_csv_rows")
@@ -365,17 +371,24 @@ def _pipeline_run(spark, sf_dir):
     return run_pipeline(both, work_dir(spark, "run")).dados
 
 
+def _audited_run(spark, sf_dir):
+    audit = work_dir(spark, "audit")
+    run_items(tables.sales_items(spark, sf_dir), work_dir(spark, "run"), audit_path=audit)
+    return spark.read.parquet(audit)
+
+
 @query("stage_metrics")
 def _stage_metrics(spark, sf_dir):
-    stages = stage_rows(consolidated_items(tables.sales_items(spark, sf_dir)))
-    return stages.fillna(0, ["linhas", "removidas"])
+    """Stages of a run as its audit table has them."""
+    return _audited_run(spark, sf_dir).select("ord", "etapa", "linhas", "removidas")
 
 
 @query("audit_summary")
 def _audit_totals(spark, sf_dir):
-    """The run summary over the stages of one run."""
-    stages = stage_rows(consolidated_items(tables.sales_items(spark, sf_dir)))
-    return audit_summary(stages.withColumn("erro", F.lit(None).cast("string")), by_run=False)
+    """The summary of a run, from its audit table; its times differ from run to run."""
+    summary = audit_summary(_audited_run(spark, sf_dir))
+    text = F.regexp_replace("resumo", r", [0-9.,]+s", "")
+    return summary.select("n_etapas", "linhas_total", "n_erros", "sucesso", text.alias("resumo"))
 
 
 # --- scalar functions --------------------------------------------------------
@@ -449,17 +462,18 @@ def _br_dates(spark, sf_dir):
 
 @query("sunday_sales")
 def _sunday_sales(spark, sf_dir):
-    return calendar.sunday_sales(_clean(spark, sf_dir))
+    return calendar.sunday_sales(_items(spark, sf_dir))
 
 
 @query("period_overlaps")
 def _period_overlaps(spark, sf_dir):
-    return calendar.period_overlaps(_clean(spark, sf_dir))
+    return calendar.period_overlaps(_items(spark, sf_dir))
 
 
 @query("supersede_partial")
 def _supersede_partial(spark, sf_dir):
-    kept = calendar.supersede_partial(_clean(spark, sf_dir))
+    """Partial files go first, then the copies that are left."""
+    kept = consolidate(calendar.supersede_partial(_items(spark, sf_dir)))
     return kept.groupBy("arquivo_origem", kpis.month_text(F.col("data_emissao")).alias("mes")).agg(
         F.count(F.lit(1)).alias("linhas"),
         F.round(F.sum("valor_total_venda"), 2).alias("valor"),

@@ -51,16 +51,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem``; spread over the cores when its files are too few to do so.
-
-    A table of one row group is read by one task.  Big tables have more splits than
-    cores and are left as they are.
-    """
-    lines = load(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() < cores:
-        return lines.repartition(cores, "l_orderkey", "l_linenumber")
-    return lines
+    return load(spark, sf_dir, "lineitem")
 
 
 def sold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,12 +260,16 @@ def purchase_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- grids -------------------------------------------------------------------
 
 
-def _cell(s: Column | None = None, n: Column | None = None, d: Column | None = None) -> Column:
+def _cell(
+    s: Column | None = None, n: Column | None = None, d: Column | None = None,
+    i: Column | None = None,
+) -> Column:
     def part(value: Column | None, kind: str) -> Column:
         return (F.lit(None) if value is None else value).cast(kind)
 
     return F.struct(
-        part(s, "string").alias("s"), part(n, "double").alias("n"), part(d, "date").alias("d")
+        part(s, "string").alias("s"), part(n, "double").alias("n"), part(d, "date").alias("d"),
+        part(i, "bigint").alias("i"),
     )
 
 
@@ -333,6 +328,7 @@ def hierarchical_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     even = _every("l_linenumber", 2)
     number, text = F.col("l_linenumber"), F.col("l_linenumber").cast("string")
+    long_number = F.lit(20_250_000_000_000_000) + number
     item = _cells(
         produto=_cell(s=F.concat(F.lit(" "), _product(), F.lit(" "))),
         unidade_medida=_cell(s=_unit()),
@@ -340,7 +336,8 @@ def hierarchical_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         data_emissao=F.when(_every("l_orderkey", 97), F.lit(None).cast(CELL))
         .when(_every("l_orderkey", 89), _cell(s=F.lit("31/02/2001")))
         .otherwise(_cell(d=F.col("o_orderdate"))),
-        protocolo=F.when(even, _cell(n=number)).otherwise(_cell(s=text)),
+        protocolo=F.when(_every("l_orderkey", 13), _cell(i=long_number))
+        .when(even, _cell(n=number)).otherwise(_cell(s=text)),
         numero_documento=_cell(s=_document()),
         valor_total_venda=F.when(_every("l_orderkey", 83), _cell(s=F.lit("1,5"))).otherwise(
             _cell(n=F.col("l_extendedprice"))

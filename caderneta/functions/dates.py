@@ -16,20 +16,21 @@ def serial_to_date(serial: Column) -> Column:
     return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial.try_cast("int"))
 
 
-# Fixed value: three whole numbers between slashes.  Nine digits always fit an int.
-BR_DATE = r"^[+-]?[0-9]{1,9}\s*/\s*[+-]?[0-9]{1,9}\s*/\s*[+-]?[0-9]{1,9}$"
+# Fixed value: three whole numbers between slashes.
+BR_DATE = r"^[+-]?[0-9]+\s*/\s*[+-]?[0-9]+\s*/\s*[+-]?[0-9]+$"
 
 
 def br_date_parts(text: Column) -> Column:
     """``dd/mm/yy`` as struct(dia, mes, aa), null unless three whole numbers.
 
-    The text needs 8 characters or more after trimming.  The year stays as
+    The text needs 8 characters or more after trimming.  A part beyond a 64-bit number is
+    null: it is in no calendar.  The year stays as
     printed: resolving it takes the document number.
     """
     trimmed = strip(text)
     parts = F.split(trimmed, "/")
     numbers = [
-        F.get(parts, F.lit(i)).try_cast("int").alias(name)
+        F.get(parts, F.lit(i)).try_cast("bigint").alias(name)
         for i, name in enumerate(("dia", "mes", "aa"))
     ]
     return F.when((F.length(trimmed) >= 8) & trimmed.rlike(BR_DATE), F.struct(*numbers))

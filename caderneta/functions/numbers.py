@@ -42,12 +42,8 @@ def skip_nan(value: Column) -> Column:
 
 
 def money_mean(total: Column, count: Column) -> Column:
-    """Mean of amounts to cents, halves up.
-
-    A double sum depends on the order of its terms in its last bits.  Whole cents do
-    not, so a mean that falls on half a cent always rounds the same way.
-    """
-    return F.round(F.round(total * 100) / count) / 100
+    """Mean of amounts, rounded once, to cents."""
+    return F.round(total / count, 2)
 
 
 def number_text(number: str) -> str:

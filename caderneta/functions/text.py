@@ -82,3 +82,9 @@ def snake_case(name: str) -> str:
     plain = name.translate(str.maketrans(ACCENTED, UNACCENTED))
     spaced = re.sub("(?=[A-Z])", " ", plain).lower()
     return "_".join(filter(None, re.split(r"[\s_-]+", spaced)))
+
+
+def base_name(path: Column) -> Column:
+    """The name of a file from its path as a scan reports it, percent signs decoded."""
+    name = F.substring_index(path, "/", -1)
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))

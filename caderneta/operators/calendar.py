@@ -38,6 +38,8 @@ def file_periods(items: DataFrame) -> DataFrame:
 def period_overlaps(items: DataFrame) -> DataFrame:
     """Per file: its period and how many other files' periods it meets.
 
+    For items as ingested: a file that copies another is gone once consolidated.
+
     Counted without pairing files: the periods that meet [a, b] are those that start
     by b less those that ended before a.  Both counts are running totals over
     calendar days, of which there are few whatever the number of files.
@@ -74,6 +76,9 @@ def period_overlaps(items: DataFrame) -> DataFrame:
 def supersede_partial(items: DataFrame) -> DataFrame:
     """Keep, for each month, only the file that holds most of it.
 
+    For items as ingested: consolidating first would take shared rows from the complete
+    file, which would then lose to the partial one.  Consolidate what this leaves.
+
     The fullest version replaces partial ones and no month is counted twice; equal
     counts go to the name that sorts last.  Undated items stay.
     """
@@ -85,8 +90,7 @@ def supersede_partial(items: DataFrame) -> DataFrame:
         .groupBy("mes")
         .agg(F.max_by(FILE, F.struct("n", FILE)).alias("vencedor"))
     )
-    # One row per calendar month: at most 120,000 of them in years 1 to 9999.
-    ranked = months.join(F.broadcast(winners), "mes", "left")
+    ranked = months.join(winners, "mes", "left")
     return ranked.filter(F.col(DATE).isNull() | (F.col(FILE) == F.col("vencedor"))).drop(
         "mes", "vencedor"
     )

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 Names = Sequence[str]
 
 
+def never_null(name: str) -> Column:
+    """The column, failing the job on a null: such a row has no place in the order."""
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"null in {name}, which orders the rows")))
+
+
 def _total(how: str, column: str) -> Column:
     return F.max(column) if how == "max" else F.sum(column)
 
@@ -39,9 +44,10 @@ def carry(
     levels from coarse to fine.  A coarse level splits the running total again, so
     that no task holds all the blocks of a group either.
     """
-    # Keys and levels are never null.  Said here, it spares the join below its own null
-    # filter on one side, so both uses of ``blocks`` share one scan and one shuffle.
+    # A null key fails here.  The filter then drops nothing; it spares the join below its
+    # own null filter on one side, so both uses of ``blocks`` share one scan and shuffle.
     spot = [*keys, *[name for level in levels for name in level]]
+    blocks = blocks.withColumns({name: never_null(name) for name in spot})
     blocks = blocks.filter(" AND ".join(f"`{name}` IS NOT NULL" for name in spot))
     *outer, inner = levels
     upper = [name for level in outer for name in level]
@@ -68,16 +74,22 @@ def running_max(
     seq: str,
     value: str,
     output: str,
+    local: Names | None = None,
 ) -> DataFrame:
-    """Largest ``value`` up to and including each row, in order of levels and seq."""
+    """Largest ``value`` up to and including each row, in order of levels and seq.
+
+    ``local`` names those of the keys and levels that decide the others; rows are then
+    shuffled by them alone, as later windows over the same columns need.
+    """
     spot = [*keys, *[name for level in levels for name in level]]
+    local = list(local or spot)
     blocks = df.groupBy(*spot).agg(F.max(value).alias("_carried"))
-    inherited = carry(blocks, keys, levels, ["_carried"], "max")
+    inherited = carry(blocks, keys, levels, ["_carried"], "max").select(*local, "_carried")
     so_far = (
-        Window.partitionBy(*spot).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*local).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        df.join(inherited, spot)
+        df.join(inherited, local)
         .withColumn(output, F.greatest("_carried", F.max(value).over(so_far)))
         .drop("_carried")
     )

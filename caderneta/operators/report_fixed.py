@@ -1,6 +1,7 @@
 """Print-page reports (132 characters a line) to sales and purchase items.
 
-Input is ``report_lines(arquivo_origem, blk, seq, line)``.  ``blk`` is the start of
+Input is ``report_lines(arquivo_origem, blk, seq, line)``; ``arquivo_origem`` must tell
+files apart, so readers put the whole path there.  ``blk`` is the start of
 the file split a line came from and ``seq`` its order within; ``blk`` therefore
 also bounds how many lines share one block.
 """
@@ -9,21 +10,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caderneta.functions.dates import br_date_parts, valid_date
 from caderneta.functions.numbers import br_number, br_percent
 from caderneta.functions.text import PRODUCT_SEPARATOR, is_digits, strip
-from caderneta.operators.ordered import carry, local_number, row_offsets, running_max
+from caderneta.operators.ordered import carry, local_number, never_null, row_offsets, running_max
 
 FILE = "arquivo_origem"
 ORDER = ["blk", "seq"]
 SPOT = [FILE, "ci", "blk"]
 LINE_LENGTH = 132
 
-# Document numbers grouped this many to a range, for running totals in their order.
-CI_RANGE = 65_536
+# Document numbers grouped in two levels of ranges, for running totals in their order.
+# No level has more than 65,536 parts in one of the next, however sparse the numbers are.
+CI_RANGE = 1 << 16
+CI_REGION = 1 << 32
 
 
 @dataclass(frozen=True)
@@ -158,7 +161,7 @@ def document_lines(lines: DataFrame, layout: Layout) -> DataFrame:
     return (
         _unmarked(lines, layout)
         .select(
-            FILE,
+            never_null(FILE).alias(FILE),
             *ORDER,
             layout.text("item").alias("codigo_item"),
             layout.text("descricao").alias("descricao"),
@@ -190,14 +193,19 @@ def with_running_year(documents: DataFrame) -> DataFrame:
     """
     return running_max(
         documents.withColumns(
-            {"ano_impresso": F.col("aa") + CENTURY, "faixa": F.expr(f"ci div {CI_RANGE}")}
+            {
+                "ano_impresso": F.col("aa") + CENTURY,
+                "regiao": F.expr(f"ci div {CI_REGION}"),
+                "faixa": F.expr(f"ci div {CI_RANGE}"),
+            }
         ),
         keys=[FILE],
-        levels=[["faixa"], ["ci", "blk"]],
+        levels=[["regiao"], ["faixa"], ["ci", "blk"]],
         seq="seq",
         value="ano_impresso",
         output="ano",
-    ).drop("faixa")
+        local=SPOT,
+    ).drop("regiao", "faixa")
 
 
 def analytic_sales(lines: DataFrame) -> DataFrame:
@@ -269,23 +277,9 @@ def modal_dates(documents: DataFrame) -> DataFrame:
     )
 
 
-def _with_range(df: DataFrame) -> DataFrame:
-    return df.withColumn("faixa", F.expr(f"ci div {CI_RANGE}"))
-
-
 def document_spans(documents: DataFrame) -> DataFrame:
-    """Lowest and highest document number of the file, per file and number range.
-
-    Documents meet their file's span range by range: a join on the file alone would
-    send all documents of a huge file to one task.  A file has few ranges.
-    """
-    ranges = _with_range(documents).groupBy(FILE, "faixa").agg(
-        F.min("ci").alias("ci_min"), F.max("ci").alias("ci_max")
-    )
-    file = Window.partitionBy(FILE)
-    return ranges.withColumns(
-        {"ci_min": F.min("ci_min").over(file), "ci_max": F.max("ci_max").over(file)}
-    )
+    """Lowest and highest document number of each file."""
+    return documents.groupBy(FILE).agg(F.min("ci").alias("ci_min"), F.max("ci").alias("ci_max"))
 
 
 def with_inferred_year(groups: DataFrame, spans: DataFrame | None = None) -> DataFrame:
@@ -301,10 +295,9 @@ def with_inferred_year(groups: DataFrame, spans: DataFrame | None = None) -> Dat
     width = f"((ci_max - ci_min) / {YEARS}.0D)"
     passed = " + ".join(f"int(ci >= ci_min + {k}.0D * {width})" for k in range(1, YEARS))
     return (
-        _with_range(groups)
-        .join(spans, [FILE, "faixa"])
+        groups.join(spans, FILE)
         .withColumn("ano_inferido", F.expr(f"{FIRST_YEAR} + {passed}"))
-        .drop("faixa", "ci_min", "ci_max")
+        .drop("ci_min", "ci_max")
     )
 
 

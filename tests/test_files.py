@@ -1,6 +1,7 @@
 """Readers, writers, pipeline, audit."""
 
 import glob
+from collections import Counter
 import json
 from datetime import date
 
@@ -10,15 +11,15 @@ from pyspark.sql import functions as F
 from caderneta import run_pipeline
 from caderneta.operators.kpis import compute_kpis
 from caderneta.operators.standardize import standardize
-from caderneta.plans.audit import PipelineRun, append_audit, audit_summary, run_record
+from caderneta.plans.audit import append_audit, audit_summary
 from caderneta.schemas import ITEM, RAW_GRID
 from caderneta.scratch import work_dir
 from caderneta.sinks.files import (
-    export_bi_csv, export_csv, export_json, export_parquet, json_lines,
+    export_bi_csv, export_csv, export_json, export_parquet, json_lines, read_csv,
 )
 from caderneta.sinks.report import export_markdown
 from caderneta.sources.grid import read_grid
-from caderneta.sources.report_text import read_analytic_sales, read_report_lines
+from caderneta.sources.report_text import read_analytic_sales, read_purchases, read_report_lines
 from test_operators import KPI_ROWS, KPI_SCHEMA, _line, _workbook, item, items
 
 
@@ -37,7 +38,7 @@ def test_latin1_lines_in_order_over_splits(spark, tmp_path):
     try:
         raw = read_report_lines(spark, str(tmp_path))
         assert raw.select("blk").distinct().count() > 5
-        first = raw.filter("arquivo_origem = 'a.rel'").orderBy("blk", "seq")
+        first = raw.filter("arquivo_origem LIKE '%/a.rel'").orderBy("blk", "seq")
         assert [r.line for r in first.collect()] == lines
         items_read = read_analytic_sales(spark, str(tmp_path)).filter("arquivo_origem = 'a.rel'")
         got = {r.codigo_item: (r.descricao, r.protocolo) for r in items_read.collect()}
@@ -46,6 +47,29 @@ def test_latin1_lines_in_order_over_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    def write(folder, first, year):
+        path = tmp_path / folder
+        path.mkdir()
+        lines = [_line(f"{i:06d}", "A", f"01/02/{year:02d}", str(first + i // 2), "1,00") for i in range(40)]
+        (path / "m +á.rel").write_bytes("\n".join(lines).encode("latin-1"))
+        return str(path)
+
+    a, b = write("a", 100, 3), write("b", 90, 16)
+    for read in (read_analytic_sales, read_purchases):
+        alone = [*read(spark, a).collect(), *read(spark, b).collect()]
+        assert Counter(map(str, read(spark, a, b).collect())) == Counter(map(str, alone))
+        assert {r.arquivo_origem for r in alone} == {"m +á.rel"}
+
+
+def test_csv_there_and_back(spark, tmp_path):
+    texts = ["a\nb", 'q"u"o', "x\r\ny", "", None, " , ", "plain"]
+    rows = items(spark, *[item(responsavel=t, protocolo=str(k)) for k, t in enumerate(texts)])
+    path = export_csv(rows, str(tmp_path / "csv"))
+    back = {r.protocolo: r.responsavel for r in read_csv(spark, path, rows.schema).collect()}
+    assert back == {str(k): t for k, t in enumerate(texts)}
+
+
 def test_bi_csv(spark, tmp_path):
     rows = items(
         spark, item(produto='01 - "A", B' + "x" * 300, valor_total_venda=12345678.5),
@@ -132,21 +156,32 @@ def test_pipeline(spark, tmp_path):
     again = run_pipeline(read_grid(spark, str(tmp_path / "grid")), str(tmp_path / "out"),
                          audit_path=str(tmp_path / "audit"))
     assert again.kpis == result.kpis
-    runs = audit_summary(spark.read.parquet(str(tmp_path / "audit")))
-    assert all(r.sucesso and r.resumo == "✓ 6 etapas, 30 linhas" for r in runs.collect()) or \
-        runs.first().n_etapas == 12  # both runs within one second share a stamp
+    runs = audit_summary(spark.read.parquet(str(tmp_path / "audit"))).collect()
+    assert len(runs) == 2
+    for r in runs:
+        assert r.sucesso and r.resumo.startswith("✓ 6 etapas, 30 linhas, ") and r.resumo.endswith("s")
+    assert stages["ingestao"].get("duracao_s") is None and stages["csv"]["duracao_s"] > 0
+    stored = spark.read.parquet(stages["parquet"]["destino"])
+    assert "copias" not in stored.columns
+
+
+def test_a_failing_run_leaves_its_error(spark, tmp_path):
+    broken = [("a.xlsx", n, [("Artigo: A", None, None, None)]) for n in (1, 3)]
+    with pytest.raises(Exception):
+        run_pipeline(spark.createDataFrame(broken, RAW_GRID), str(tmp_path / "out"),
+                     audit_path=str(tmp_path / "audit"))
+    row = audit_summary(spark.read.parquet(str(tmp_path / "audit"))).first()
+    assert (row.n_etapas, row.n_erros, row.sucesso) == (0, 1, False)
+    assert row.resumo == "✗ 0 etapas, 0 linhas, 0.0s | 1 erro(s)"
 
 
 def test_audit(spark, tmp_path):
-    run = run_record({"ingestao": {"linhas": 100, "duracao_s": 2.5},
-                      "padronizacao": {"linhas": 100, "duracao_s": 0.3}})
-    assert run.sucesso and run.duracao_s == 2.8
-    assert "2 etapas, 200 linhas, 2.8s" in run.resumo() and "✓" in run.resumo()
-    failed = PipelineRun(timestamp="2025-01-01T00:00:00", erros=["sem ficheiro"])
-    assert not failed.sucesso and "✗" in failed.resumo() and "1 erro(s)" in failed.resumo()
-    path = append_audit(spark, failed, str(tmp_path / "audit"))
+    path = str(tmp_path / "audit")
+    append_audit(spark, path, {"ingestao": {"linhas": 100, "duracao_s": 2.5},
+                               "padronizacao": {"linhas": 100, "duracao_s": 0.3}})
     row = audit_summary(spark.read.parquet(path)).first()
-    assert (row.n_erros, row.sucesso, row.resumo) == (1, False, "✗ 0 etapas, 0 linhas | 1 erro(s)")
+    assert row.sucesso and row.duracao_total_s == 2.8
+    assert row.resumo == "✓ 2 etapas, 200 linhas, 2.8s"
 
 
 def test_work_dir_needs_a_shared_folder(spark, monkeypatch):

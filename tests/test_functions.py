@@ -109,14 +109,15 @@ def test_cells(spark):
     schema = T.StructType([T.StructField("i", T.IntegerType()),
                            T.StructField("cells", T.ArrayType(CELL))])
     rows = [
-        (0, [("  x ", None, None)]), (1, [(None, 794925.0, None)]), (2, [(None, 1.5, None)]),
-        (3, [(None, None, date(2025, 1, 15))]), (4, [None]), (5, []), (6, [("1,5", None, None)]),
+        (0, [("  x ", None, None, None)]), (1, [(None, 794925.0, None, None)]),
+        (2, [(None, 1.5, None, None)]), (3, [(None, None, date(2025, 1, 15), None)]), (4, [None]),
+        (5, []), (6, [("1,5", None, None, None)]), (7, [(None, None, None, 20250000000000001)]),
     ]
     df = spark.createDataFrame(rows, schema).orderBy("i").select(
         cell_text(0).alias("t"), cell_text(0, False).alias("r"), cell_number(0).alias("n"),
         cell_date(0).alias("d"))
     got = df.collect()
-    assert [r.t for r in got] == ["x", "794925", "1.5", "2025-01-15", "", "", "1,5"]
-    assert got[1].r == "794925.0"
-    assert [r.n for r in got] == [0.0, 794925.0, 1.5, 0.0, 0.0, 0.0, 0.0]
-    assert [r.d for r in got] == [None, None, None, date(2025, 1, 15), None, None, None]
+    assert [r.t for r in got] == ["x", "794925", "1.5", "2025-01-15", "", "", "1,5", "20250000000000001"]
+    assert got[1].r == "794925.0" and got[7].r == "20250000000000001.0"
+    assert [r.n for r in got] == [0.0, 794925.0, 1.5, 0.0, 0.0, 0.0, 0.0, 20250000000000001.0]
+    assert [r.d for r in got] == [None, None, None, date(2025, 1, 15), None, None, None, None]

@@ -102,26 +102,60 @@ def _walk(texts):
 @pytest.mark.parametrize("block_rows", [3, 16_384])
 def test_hierarchy_equals_row_by_row(spark, monkeypatch, block_rows):
     monkeypatch.setattr(grid, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(grid, "ZONE_BLOCKS", 4)
     rng = random.Random(block_rows)
     rows, expected = [], set()
     for f in range(30):
         texts = rng.choices(TEXTS, weights=[3, 1, 1, 1, 1, 1, 1, 1, 4, 4, 1, 1], k=60)
         name = f"{f}.xlsx"
-        rows += [(name, i, [(t or None, None, None)]) for i, t in enumerate(texts, 1)]
+        rows += [(name, i, [(t or None, None, None, None)]) for i, t in enumerate(texts, 1)]
         expected |= {(name, *found) for found in _walk(texts)}
     got = grid.hierarchical_items(spark.createDataFrame(rows, RAW_GRID)).collect()
     assert len(got) == len(expected)
     assert {(r.arquivo_origem, r.row_no, r.responsavel, r.artigo) for r in got} == expected
 
 
+@pytest.mark.parametrize("numbers", [(1, 2, 4), (2, 3), (0, 1), (1, 1, 2), (1, 2, 5, 6, 7)])
+def test_rows_must_be_dense(spark, monkeypatch, numbers):
+    monkeypatch.setattr(grid, "BLOCK_ROWS", 3)
+    rows = [("a.xlsx", n, [("Artigo: A", None, None, None)]) for n in numbers]
+    with pytest.raises(Exception, match="row_no is not dense"):
+        grid.hierarchical_items(spark.createDataFrame(rows, RAW_GRID)).collect()
+
+
+def test_a_null_file_fails(spark):
+    rows = [(None, n, [("Artigo: A", None, None, None)]) for n in (1, 2, 3)]
+    with pytest.raises(Exception, match="null in arquivo_origem"):
+        grid.hierarchical_items(spark.createDataFrame(rows, RAW_GRID)).collect()
+    lines = _lines(spark, [_line("000001", "A", "01/02/03", "7", "1,00")], files=[None])
+    with pytest.raises(Exception, match="null in arquivo_origem"):
+        fixed.analytic_sales(lines).collect()
+
+
+def test_sparse_document_numbers_stay_spread(spark):
+    """Numbers 70,000 apart: no level of ranges puts all documents in one window."""
+    numbers = [10_000_000_000 + 70_000 * k for k in range(2000)]
+    parts = Counter(n // fixed.CI_REGION for n in numbers)
+    inner = Counter(n // fixed.CI_RANGE for n in numbers)
+    assert max(inner.values()) <= 2 and fixed.CI_REGION // fixed.CI_RANGE == 65_536
+    rows = [_line(f"{k:06d}", "A", f"01/06/{2 + k // 200:02d}", str(n), "1,00")
+            for k, n in enumerate(numbers)]
+    got = {r.ci: r.data_emissao.year for r in fixed.analytic_sales(_lines(spark, rows)).collect()}
+    assert got == {n: 2002 + k // 200 for k, n in enumerate(numbers)} and parts
+    plan = fixed.with_inferred_year(
+        spark.createDataFrame([("a", n) for n in numbers], "arquivo_origem string, ci bigint")
+    )._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def _cells(product=None, **cells):
     row = [None] * 14
-    row[0] = (product, None, None) if product else None
+    row[0] = (product, None, None, None) if product else None
     places = {"un": 5, "qt": 6, "dt": 7, "pr": 8, "nf": 9, "vl": 13}
     for name, value in cells.items():
         kinds = (value if isinstance(value, str) else None,
                  float(value) if isinstance(value, (int, float)) else None,
-                 value if isinstance(value, date) else None)
+                 value if isinstance(value, date) else None, None)
         row[places[name]] = kinds
     return row
 
@@ -425,6 +459,12 @@ def test_supersede_scope_sunday(spark):
     assert kept == {("total.xlsx", jan): 2, ("parcial.xlsx", feb): 1, ("parcial.xlsx", None): 1}
     assert {r.arquivo_origem: r.itens_domingo for r in sunday_sales(rows).collect()} == {
         "parcial.xlsx": 1, "total.xlsx": 2}
+    many = [item(protocolo=str(k), arquivo_origem="consolidado.xlsx") for k in range(10)]
+    some = [item(protocolo=str(k), arquivo_origem="a_parcial.xlsx") for k in range(5)]
+    left = consolidate(supersede_partial(items(spark, *many, *some))).collect()
+    assert len(left) == 10 and {r.arquivo_origem for r in left} == {"consolidado.xlsx"}
+    twins = items(spark, *[item(arquivo_origem=f) for f in ("a.xlsx", "b.xlsx")])
+    assert [r.n_sobrepostos for r in period_overlaps(twins).collect()] == [1, 1]
     scope = Counter(r.sistema_origem for r in mark_scope(rows).collect())
     assert scope == {"ATUAL": 4, "ANTIGO": 1}
 
