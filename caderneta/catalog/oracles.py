@@ -174,6 +174,11 @@ resolved AS (
   FROM sliced
 )"""
 
+# The same lines as one report, a document's lines file after file.
+ONE_FILE = PURCHASE.replace(f"{FILE} AS arquivo_origem", "'' AS arquivo_origem").replace(
+    "PARTITION BY l_returnflag ORDER BY", "ORDER BY l_returnflag,"
+)
+
 # --- grids ---------------------------------------------------------------------
 
 GRID = f"""{SOLD},
@@ -388,6 +393,13 @@ ORACLES: dict[str, str] = {
     "purchase_dates": f"""WITH {PURCHASE}
       SELECT arquivo_origem, ci, CAST(ano_inferido AS BIGINT) AS ano_inferido,
         CAST(data_emissao AS VARCHAR) AS data_emissao FROM resolved""",
+    "rel_file_purchases": f"""WITH {ONE_FILE}
+      SELECT codigo_item, descricao, quantidade, unidade_medida, qtd_estoque, ci, data_original,
+        codigo_item || ' - ' || descricao AS produto, 'CI-Compra' AS tipo_documento,
+        CAST(ci AS VARCHAR) AS numero_documento,
+        CAST(row_number() OVER (PARTITION BY ci ORDER BY pos) AS VARCHAR) AS protocolo,
+        valor AS valor_total_venda, '' AS responsavel, '' AS artigo
+      FROM lines JOIN (SELECT ci, data_original FROM modal) USING (ci)""",
     "rel_purchase_items": f"""WITH {PURCHASE}
       SELECT arquivo_origem, codigo_item, descricao, quantidade, unidade_medida, qtd_estoque,
         ci, CAST(ano_inferido AS BIGINT) AS ano_inferido, confianca, data_original,

@@ -40,7 +40,7 @@ from caderneta.sinks.files import (
 )
 from caderneta.sinks.report import kpi_report_lines
 from caderneta.sources.grid import ingest_grid, layout_name, parse_grid, rows_per_source
-from caderneta.sources.report_text import read_report_lines
+from caderneta.sources.report_text import read_purchases, read_report_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,22 +82,42 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources -----------------------------------------------------------------
 
 
-@query("rel_line_scan")
-def _rel_line_scan(spark, sf_dir):
-    """Printed lines written as latin-1 text and scanned back."""
+def _printed(spark, lines):
+    """Lines as latin-1 text files, in their order within a task."""
     path = work_dir(spark, "linhas")
     verbatim = {
         "sep": "\u0001", "quote": "", "escape": "", "emptyValue": "",
         "encoding": "ISO-8859-1", "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     }
-    lines = tables.analytic_lines(spark, sf_dir).select("line")
-    lines.write.mode("overwrite").options(**verbatim).csv(path)
+    lines.select("line").write.mode("overwrite").options(**verbatim).csv(path)
+    return path
+
+
+@query("rel_line_scan")
+def _rel_line_scan(spark, sf_dir):
+    """Printed lines written as latin-1 text and scanned back."""
+    path = _printed(spark, tables.analytic_lines(spark, sf_dir))
     return fixed.data_lines(read_report_lines(spark, path, glob="*.csv"), fixed.ANALYTIC).select(
         "line"
     )
 
 
+@query("rel_file_purchases")
+def _rel_file_purchases(spark, sf_dir):
+    """Text files to purchase items: each document whole in one file, in line order.
+
+    Which documents share a file is up to the write, so what hangs on a file's range of
+    numbers is left out.
+    """
+    lines = tables.purchase_lines(spark, sf_dir)
+    whole = lines.repartition(F.col("seq.l_orderkey")).sortWithinPartitions(
+        "arquivo_origem", "blk", "seq"
+    )
+    items = read_purchases(spark, _printed(spark, whole), glob="*.csv")
+    return items.drop("arquivo_origem", "ano_inferido", "confianca", "data_emissao")
+
+
 @query("rows_per_source")
 def _rows_per_source_file(spark, sf_dir):
     names = ("lineitem", "orders", "part", "supplier")

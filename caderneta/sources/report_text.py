@@ -39,13 +39,13 @@ def _named(items: DataFrame) -> DataFrame:
     return items.withColumn("arquivo_origem", base_name(F.col("arquivo_origem")))
 
 
-def read_synthetic_sales(spark: SparkSession, *paths: str) -> DataFrame:
-    return _named(synthetic_sales(read_report_lines(spark, *paths)))
+def read_synthetic_sales(spark: SparkSession, *paths: str, glob: str = "*.rel") -> DataFrame:
+    return _named(synthetic_sales(read_report_lines(spark, *paths, glob=glob)))
 
 
-def read_analytic_sales(spark: SparkSession, *paths: str) -> DataFrame:
-    return _named(analytic_sales(read_report_lines(spark, *paths)))
+def read_analytic_sales(spark: SparkSession, *paths: str, glob: str = "*.rel") -> DataFrame:
+    return _named(analytic_sales(read_report_lines(spark, *paths, glob=glob)))
 
 
-def read_purchases(spark: SparkSession, *paths: str) -> DataFrame:
-    return _named(purchases(read_report_lines(spark, *paths)))
+def read_purchases(spark: SparkSession, *paths: str, glob: str = "*.rel") -> DataFrame:
+    return _named(purchases(read_report_lines(spark, *paths, glob=glob)))
