@@ -30,7 +30,7 @@ SIMILAR = 80
 # Lines of fewer different words identify nothing and are left alone.
 LEAST_WORDS = 5
 CELLS = 1 << 22
-STAR_WORDS = 3
+STAR_WORDS = 2
 FILTER_BITS = 1 << 24
 
 
@@ -155,23 +155,56 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, LINE)
 
 
+PLACES = 1 << 20  # in a packed number, the place in the line and above it the line's size
+
+
 def _may_match(x: str, y: str) -> Column:
     """Length, positional and parity filters on two rows that share a prefix word."""
-    def of(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
+    def size(side: str) -> Column:
+        return F.shiftright(F.col(f"{side}.packed"), 20)
 
-    total = of(x, "n") + of(y, "n")
-    most = F.least(of(x, "at"), of(y, "at")) + F.least(
-        of(x, "n") - of(x, "at"), of(y, "n") - of(y, "at")
-    )
-    lengths = 100 * F.least(of(x, "n"), of(y, "n")) >= SIMILAR * F.greatest(of(x, "n"), of(y, "n"))
-    differing = F.bit_count(of(x, "bits").bitwiseXOR(of(y, "bits")))
+    def at(side: str) -> Column:
+        return F.col(f"{side}.packed").bitwiseAND(PLACES - 1)
+
+    total = size(x) + size(y)
+    most = F.least(at(x), at(y)) + F.least(size(x) - at(x), size(y) - at(y))
+    lengths = 100 * F.least(size(x), size(y)) >= SIMILAR * F.greatest(size(x), size(y))
+    differing = F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits")))
     return (
         lengths & ((100 + SIMILAR) * most >= SIMILAR * total)
         & ((100 + SIMILAR) * differing <= (100 - SIMILAR) * total)
     )
 
 
+def _posted(rows: DataFrame, prefix: Column, *more: str) -> DataFrame:
+    """(word, cls, packed, bits) for each word of ``prefix``."""
+    each = rows.select("cls", "n", "bits", "skipped", *more, F.posexplode(prefix).alias("i", "word"))
+    packed = F.shiftleft(F.col("n").cast("long"), 20) + F.col("skipped") + F.col("i")
+    return each.select("word", "cls", packed.alias("packed"), "bits", *more)
+
+
+def _candidates(classes: DataFrame) -> DataFrame:
+    """Pairs of classes, not both ``done``, that pass the filters on a shared prefix word.
+
+    The larger line looks with its whole prefix; the smaller is filed under the shorter
+    one that suffices for a partner of at least its size.
+    """
+    share = 2 * SIMILAR  # of 100 + SIMILAR: the least common part of two lines of one size
+    filed = F.col("n") - F.ceil(share * F.col("n") / (100 + SIMILAR)) + 1 - F.col("skipped")
+    x = _posted(classes, F.col("prefix"), "done").alias("x")
+    y = _posted(
+        classes, F.slice("prefix", F.lit(1), F.greatest(filed, F.lit(0)).cast("int")), "done"
+    ).alias("y")
+    sizes = F.shiftright("x.packed", 20) - F.shiftright("y.packed", 20)
+    met = x.join(
+        y,
+        (F.col("x.word") == F.col("y.word"))
+        & ((sizes > 0) | ((sizes == 0) & (F.col("x.cls") < F.col("y.cls"))))
+        & (F.col("x.done") + F.col("y.done") < 2) & _may_match("x", "y"),
+    )
+    return met.select(*_pair("x.cls", "y.cls")).distinct()
+
+
 def _word_filter(wanted: DataFrame) -> np.ndarray:
     """A Bloom filter of fixed size over ``cls``: 64-bit words, at most FILTER_BITS / 64 rows."""
     bit = F.pmod("cls", F.lit(FILTER_BITS))
@@ -211,17 +244,18 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar."""
+def _gone(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The later class (cls) of each pair (a, b) whose whole sets are similar."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = stored(_whole_sets(docs, wanted), "sets")
-    a = sets.select(F.col("cls").alias("a"), F.col("words").alias("xa"))
-    b = sets.select(F.col("cls").alias("b"), F.col("words").alias("xb"))
-    both = pairs.join(a, "a").join(b, "b")
-    shared = F.size(F.array_intersect("xa", "xb"))
-    both = both.withColumn("shared", shared)
+    firsts = stored(classes.select("cls", "first").join(wanted, "cls"), "firsts")
+    sets = stored(_whole_sets(docs, firsts).join(firsts, "cls"), "sets")
+    a = sets.select(F.col("cls").alias("a"), F.col("words").alias("xa"), F.col("first").alias("fa"))
+    b = sets.select(F.col("cls").alias("b"), F.col("words").alias("xb"), F.col("first").alias("fb"))
+    both = pairs.join(a, "a").join(b, "b").withColumn("shared", F.size(F.array_intersect("xa", "xb")))
     union = F.size("xa") + F.size("xb") - F.col("shared")
-    return both.filter(100 * F.col("shared") >= SIMILAR * union).select("a", "b")
+    later = F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a"))
+    similar = both.filter(100 * F.col("shared") >= SIMILAR * union)
+    return similar.select(later.alias("cls")).distinct()
 
 
 def _pair(x: str, y: str) -> list[Column]:
@@ -247,38 +281,19 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         ).withColumnRenamed("set_a", "cls"),
         "classes",
     )
-    firsts = classes.select("cls", "first")
-
-    def posted(rows: DataFrame, prefix: Column, *more: str) -> DataFrame:
-        each = rows.select("cls", "n", "bits", "skipped", *more, F.posexplode(prefix).alias("i", "word"))
-        return each.select("word", "cls", "n", "bits", (F.col("skipped") + F.col("i")).alias("at"), *more)
-
-    def gone(pairs: DataFrame) -> DataFrame:
-        """The later class of each verified pair."""
-        fa = firsts.select(F.col("cls").alias("a"), F.col("first").alias("fa"))
-        fb = firsts.select(F.col("cls").alias("b"), F.col("first").alias("fb"))
-        later = F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a"))
-        return pairs.join(fa, "a").join(fb, "b").select(later.alias("cls")).distinct()
-
-    stars = posted(classes, F.slice("prefix", 1, STAR_WORDS), "first")
-    earliest = Window.partitionBy("word").orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
-    centre = F.struct("cls", "n", "bits", "at")
-    met = stars.select(F.struct("cls", "n", "bits", "at").alias("x"), F.first(centre).over(earliest).alias("y"))
+    early = classes.withColumns({
+        "doc": F.coalesce("first.doc_id", F.lit(2**63 - 1)), "at": F.col("first.line"),
+    })
+    stars = _posted(early, F.slice("prefix", 1, STAR_WORDS), "doc", "at")
+    earliest = Window.partitionBy("word").orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, 0)
+    line = F.struct("cls", "packed", "bits")
+    met = stars.select(line.alias("x"), F.first(line).over(earliest).alias("y"))
     close = met.filter((F.col("x.cls") != F.col("y.cls")) & _may_match("x", "y"))
     star_pairs = stored(close.select(*_pair("x.cls", "y.cls")).distinct(), "pairs")
-    done = stored(gone(_verified(keyed, star_pairs)), "done")
-
+    done = stored(_gone(keyed, classes, star_pairs), "done")
     flagged = classes.join(done.withColumn("done", F.lit(1)), "cls", "left").fillna(0, ["done"])
-    posts = posted(flagged, F.col("prefix"), "done")
-    x, y = posts.alias("x"), posts.alias("y")
-    met = x.join(
-        y,
-        (F.col("x.word") == F.col("y.word")) & (F.col("x.cls") < F.col("y.cls"))
-        & (F.col("x.done") + F.col("y.done") < 2) & _may_match("x", "y"),
-    )
-    pairs = stored(met.select(*_pair("x.cls", "y.cls")).distinct(), "pairs")
-    rest = gone(_verified(keyed, pairs))
-    matched = done.unionByName(rest).distinct().withColumn("matched", F.lit(True))
+    pairs = stored(_candidates(flagged), "pairs")
+    matched = done.unionByName(_gone(keyed, classes, pairs)).distinct().withColumn("matched", F.lit(True))
 
     known = classes.select(F.col("cls").alias("set_a"), "set_b", "first", F.col("cls"))
     known = known.join(matched, "cls", "left").drop("cls")
