@@ -17,19 +17,20 @@ from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caderneta.llm.arrow_words import Words, pieces
+from caderneta.llm.bpe_merges import PairRanks, merge_words
 from caderneta.llm.lexicon import Lexicon, compile_words
-from caderneta.llm.tables import load, words
+from caderneta.llm.tables import load, stored, words
 
 LEXICON_WORDS = 16_384
 WORD_END = "</w>"
 # Below this code point the rules are the same in all Unicode versions.
 PLAIN_BELOW = "Ͱ"
-KNOWN_WORDS = 400_000
 
 
 def vocabulary_path() -> str:
@@ -39,91 +40,125 @@ def vocabulary_path() -> str:
 
 
 class Merger:
-    """The ids of any word, from the text of a vocabulary file; nothing is approximated."""
+    """The ids of any words, from the text of a vocabulary file; nothing is approximated."""
 
     def __init__(self, text: str):
         from tokenizers import Tokenizer
 
         parsed = json.loads(text)
-        self.ids = dict(parsed["model"]["vocab"])
+        ids = dict(parsed["model"]["vocab"])
         self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
-        self.names = [""] * (max(*self.ids.values(), *self.special.values()) + 1)
-        for name, number in chain(self.ids.items(), self.special.items()):
+        self.names = [""] * (max(*ids.values(), *self.special.values()) + 1)
+        for name, number in chain(ids.items(), self.special.items()):
             self.names[number] = name
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(parsed["model"]["merges"])}
+        pairs = parsed["model"]["merges"]
+        left, right = (np.array([ids[pair[k]] for pair in pairs]) for k in (0, 1))
+        self.ranks = PairRanks(left, right)
+        self.merged = np.array([ids[a + b] for a, b in pairs], np.int32)
         split = parsed["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.split = regex.compile(split)
+        self.split = regex.compile(split + "|\n")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         # Letters are printable stand-ins for bytes: themselves, or 256 upwards in turn.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in shown]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+        self.byte_of = {letter: b for b, letter in self.letters.items()}
+        inner, last = ([ids[self.letters[b] + end] for b in range(256)] for end in ("", WORD_END))
+        self.symbols = np.array([inner, last], np.int32)
         # Scripts whose rules follow the Unicode version are split by the library's own.
         self.library = Tokenizer.from_str(text)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _parts(self, word: str) -> list[str]:
-        """A word's parts, in letters that stand for bytes."""
-        if max(word) < PLAIN_BELOW:
-            parts = self.split.findall(normalize("NFC", word).lower())
-            return ["".join(map(self.letters.get, part.encode())) for part in parts]
-        plain = self.library.normalizer.normalize_str(word)
-        return [part for part, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
-
-    def merge(self, part: str) -> tuple[int, ...]:
-        """Merges a part by rank until no pair of it has one."""
-        found = self.known.get(part)
-        if found is not None:
-            return found
-        symbols = [*part[:-1], part[-1] + WORD_END]
-        ranks = self.ranks
-        while len(symbols) > 1:
-            pairs = list(zip(symbols, symbols[1:]))
-            best = min(pairs, key=lambda pair: ranks.get(pair, len(ranks)))
-            if best not in ranks:
-                break
-            joined, at = [], 0
-            while at < len(symbols):
-                if at + 1 < len(symbols) and pairs[at] == best:
-                    joined.append(symbols[at] + symbols[at + 1])
-                    at += 2
-                else:
-                    joined.append(symbols[at])
-                    at += 1
-            symbols = joined
-        found = tuple(map(self.ids.__getitem__, symbols))
-        if len(self.known) >= KNOWN_WORDS:  # memory stays bounded; the result does not change
-            self.known.clear()
-        self.known[part] = found
-        return found
-
-    def encode(self, word: str) -> list[int]:
-        """The ids of a text without white space of the contract, special tokens included."""
-        out: list[int] = []
+
+    def _merged(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of parts given as their bytes."""
+        offsets = np.frombuffer(parts.buffers()[1], np.int32)[: len(parts) + 1].astype(np.int64)
+        data = np.frombuffer(parts.buffers()[2] or b"", np.uint8)[: offsets[-1]]
+        end = np.zeros(len(data), np.int64)
+        end[offsets[1:] - 1] = 1
+        return merge_words(self.symbols[end, data], offsets, self.ranks, self.merged)
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of words without special tokens, all below ``PLAIN_BELOW``."""
+        if not words:
+            return np.empty(0, np.uint32), np.zeros(1, np.int64)
+        text = normalize("NFC", "\n".join(words)).lower()
+        found = pa.array(self.split.findall(text), pa.string()).dictionary_encode()
+        codes = found.indices.to_numpy(zero_copy_only=False)
+        parts = found.dictionary
+        breaks = codes == pc.index(parts, "\n").as_py()
+        word = np.cumsum(breaks)[~breaks]
+        codes = codes[~breaks]
+        ids, starts = self._merged(parts)
+        begin, size = starts[:-1][codes], np.diff(starts)[codes]
+        total = np.bincount(word, size, len(words)).astype(np.int64)
+        return ids[spread(begin, size)], np.r_[0, np.cumsum(total)]
+
+    def _odd(self, word: str) -> np.ndarray:
+        """The ids of any one word, special tokens included."""
+        out = [np.empty(0, np.uint32)]
         for piece in self.cut.split(word):
             if piece in self.special:
-                out.append(self.special[piece])
+                out.append(np.array([self.special[piece]], np.uint32))
             elif piece:
-                for part in self._parts(piece):
-                    out += self.merge(part)
-        return out
+                plain = self.library.normalizer.normalize_str(piece)
+                parts = [part for part, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
+                raw = [bytes(map(self.byte_of.__getitem__, part)) for part in parts]
+                out.append(self._merged(pa.array(raw, pa.binary()))[0])
+        return np.concatenate(out)
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of words without white space of the contract."""
+        odd = pc.or_(
+            pc.match_substring_regex(words, f"[^\\x00-{chr(ord(PLAIN_BELOW) - 1)}]"),
+            pc.match_substring_regex(words, "|".join(map(regex.escape, self.special))),
+        ).to_numpy(zero_copy_only=False)
+        ids, starts = self._plain(words.filter(pa.array(~odd)).to_pylist())
+        others = [self._odd(word) for word in words.filter(pa.array(odd)).to_pylist()]
+        size = np.zeros(len(words), np.int64)
+        size[~odd] = np.diff(starts)
+        size[odd] = [len(o) for o in others]
+        begin = np.zeros(len(words), np.int64)
+        begin[~odd] = starts[:-1]
+        begin[odd] = len(ids) + np.cumsum(size[odd]) - size[odd]
+        pool = np.concatenate([ids, *others])
+        return pool[spread(begin, size)], np.r_[0, np.cumsum(size)]
+
+
+def spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``begin[i]`` to ``begin[i] + size[i]``, one range after another."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(begin - (ends - size), size) + np.arange(total)
 
 
 def frequent_words(docs: DataFrame, number: int = LEXICON_WORDS, text: str = "text") -> list[str]:
-    """The most frequent words over all texts; ties go by the word.  ``number`` bounds it."""
+    """The most frequent words over all texts, at most ``number`` of them.
+
+    A table of words per eighth of a doubling of the count tells where to cut, so that no
+    task sends more words than the lexicon takes.
+    """
     each = docs.select(F.explode(words(F.col(text))).alias("word"))
-    counted = each.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(number)
-    return [row["word"] for row in top.collect()]
+    level = F.floor(8 * F.log2("n")).cast("int")
+    counted = stored(
+        each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).select("word", level.alias("level")),
+        "words",
+    )
+    levels = sorted(counted.groupBy("level").count().collect(), reverse=True)
+    cut, total = None, 0
+    for row in levels:
+        total += row["count"]
+        if total > number:
+            break
+        cut = row["level"]
+    if cut is None:
+        return []
+    return [row["word"] for row in counted.filter(F.col("level") >= cut).select("word").collect()]
 
 
 def compile_lexicon(frequent: list[str], merger: Merger) -> tuple[bytes, np.ndarray, np.ndarray]:
     """(transducer block, ids of all its words in turn, where each word's ids start)."""
     ordered = sorted(w.encode() for w in set(frequent))
-    ids = [merger.encode(w.decode()) for w in ordered]
-    starts = np.r_[0, np.cumsum([len(i) for i in ids], dtype=np.int64)]
-    flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-    return compile_words(ordered), flat, starts
+    ids, starts = merger.encode(pa.array([w.decode() for w in ordered], pa.string()))
+    return compile_words(ordered), ids, starts
 
 
 class _Coder:
@@ -138,20 +173,17 @@ class _Coder:
         """(ids, starts): text ``i`` has ``ids[starts[i]:starts[i + 1]]``."""
         found = Words(texts)
         place = self.lexicon.places(found.names)
-        unseen = np.flatnonzero(place < 0)
-        merged = [self.merger.encode(w) for w in found.names.take(pa.array(unseen)).to_pylist()]
-        lengths = np.fromiter(map(len, merged), np.int64, len(merged))
-        pool = np.r_[self.flat, np.fromiter(chain.from_iterable(merged), np.uint32, lengths.sum())]
-        begin, size = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         seen = place >= 0
+        merged, starts = self.merger.encode(found.names.filter(pa.array(~seen)))
+        pool = np.concatenate([self.flat, merged])
+        begin, size = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         begin[seen] = self.starts[place[seen]]
         size[seen] = self.starts[place[seen] + 1] - begin[seen]
-        begin[unseen] = len(self.flat) + np.cumsum(lengths) - lengths
-        size[unseen] = lengths
+        begin[~seen] = len(self.flat) + starts[:-1]
+        size[~seen] = np.diff(starts)
         each = size[found.codes]
         ends = np.r_[0, np.cumsum(each)]
-        at = np.repeat(begin[found.codes] - ends[:-1], each) + np.arange(ends[-1])
-        return pool[at], ends[found.starts]
+        return pool[spread(begin[found.codes], each)], ends[found.starts]
 
 
 def _coded(docs: DataFrame, vocabulary: str, lexicon_words: int, emit, schema: str) -> DataFrame:
