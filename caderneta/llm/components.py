@@ -8,47 +8,42 @@ from pyspark.sql import functions as F
 from caderneta.llm.tables import stored
 
 
-def _roots(parents: DataFrame) -> DataFrame:
-    """(node, root) of a forest (node, parent): paths halve until all end at a root."""
-    while True:
-        up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-        jumped = parents.join(up, "parent").select(
-            "node", F.col("above").alias("parent"), (F.col("above") != F.col("parent")).alias("moved")
-        )
-        parents = stored(jumped, "roots")
-        moved = parents.filter("moved").limit(1).count()
-        parents = parents.drop("moved")
-        if not moved:
-            return parents
+def relabelled(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges (a, b) between the labels of their ends; nodes without a label keep their own."""
+    for end in ("a", "b"):
+        own = labels.select(F.col("node").alias(end), F.col("label").alias("_to"))
+        edges = edges.join(own, end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+    return edges.filter("a <> b").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b), both longs; the label is a node.
 
-    Each round every node takes its least neighbour, if less than itself, as parent; trees
-    become single nodes, and edges between them remain.  Rounds and jumps grow with the
-    logarithm of the graph.  Self-edges and repeated edges do no harm.
+    ``labels`` of an earlier call are carried on.  In each round every label takes its
+    least neighbour, if less than itself, as parent, all labels move up two steps, and
+    only edges between different labels remain; rounds grow with the logarithm of the
+    longest path.  Self-edges and repeated edges do no harm.
     """
-    edges = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    left = stored(both.distinct(), "edges")
-    labels = None
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).filter("node IS NOT NULL")
+    fresh = nodes.distinct().withColumn("label", F.col("node"))
+    if labels is None:
+        labels = fresh
+        left = edges.filter("a <> b").distinct()
+    else:
+        left = relabelled(edges, labels)
+        labels = labels.unionByName(fresh.join(labels, "node", "left_anti"))
     while True:
-        least = left.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
-        parents = least.select("node", F.least("node", "b").alias("parent"))
-        roots = _roots(stored(parents, "parents"))
-        if labels is None:
-            labels = roots.withColumnRenamed("parent", "label")
-        else:
-            labels = labels.join(
-                roots.withColumnRenamed("node", "label"), "label", "left"
-            ).select("node", F.coalesce("parent", "label").alias("label"))
-        labels = stored(labels, "labels")
-        to_a = roots.select(F.col("node").alias("a"), F.col("parent").alias("ra"))
-        to_b = roots.select(F.col("node").alias("b"), F.col("parent").alias("rb"))
-        crossing = left.join(to_a, "a").join(to_b, "b").filter("ra <> rb")
-        left = stored(
-            crossing.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "edges"
+        left = stored(left, "edges")
+        if left.isEmpty():
+            return stored(labels, "labels")
+        ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        parent = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
+        parent = stored(parent.select("node", F.least("node", "b").alias("parent")), "parents")
+        above = parent.select(F.col("node").alias("parent"), F.col("parent").alias("label"))
+        moved = parent.join(above, "parent").select("node", "label")
+        up = moved.select(F.col("node").alias("label"), F.col("label").alias("_to"))
+        labels = stored(
+            labels.join(up, "label", "left").select("node", F.coalesce("_to", "label").alias("label")),
+            "labels",
         )
-        if not left.limit(1).count():
-            return labels
+        left = relabelled(left, moved)

@@ -35,9 +35,8 @@ SYMBOLS = CHUNKS * CHUNK
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 BITS = 32
 SIMILAR = 75
-# Stars go on while more pairs than this per filed signature are left.
-PAIRS_PER_ROW = 1.0
-MOST_STARS = 12
+# Stars go on while more pairs than this per filed signature are left, and halve them.
+PAIRS_PER_ROW = 64.0
 
 _PLACES = [
     tuple(chunk * CHUNK + p for p in kept)
@@ -136,6 +135,10 @@ class _Links:
             texts.mapInArrow(_sets, "cls long, shingles array<long>").dropDuplicates(["cls"]), "sets"
         )
 
+    def among(self, pairs: DataFrame) -> DataFrame:
+        """The confirmed links among pairs (a, b) that may be repeated or far apart."""
+        return stored(self.confirmed(stored(self.within_distance(pairs.distinct()), "pairs")), "links")
+
     def within_distance(self, pairs: DataFrame) -> DataFrame:
         a = self.members.select(F.col("cls").alias("a"), F.col("n_shingles").alias("na"),
                                 F.col("signature").alias("sa"))
@@ -170,62 +173,68 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     if not members.limit(1).count():
         return None
     links = _Links(docs, members)
-    found = labels = None
-    for turn in range(MOST_STARS + 1):
-        if turn:
-            label = F.coalesce("label", "cls").alias("label")
-            own = labels.withColumnRenamed("node", "cls")
-            labelled = rows.drop("centre", "label").join(own, "cls", "left").select(
-                "file", "place", "cls", label
-            )
-            counted = labelled.groupBy("file", "label").agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls")).alias("first"),
-            )
-            mixed_files = counted.groupBy("file").agg(
-                F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"),
-                F.sum(F.col("n") * F.col("n")).alias("own"),
-                F.min("first")["cls"].alias("centre"),
-            ).filter("groups > 1")
-            rows = stored(
-                labelled.join(mixed_files.select("file", "n", "own", "groups", "centre"), "file"),
-                "files",
-            )
-            total = rows.select("file", "n", "own").distinct().agg(
-                F.sum("n").alias("rows"), (F.sum(F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")
-            ).first()
-            if not total["rows"]:
-                break
-            if total["pairs"] <= PAIRS_PER_ROW * total["rows"] or turn == MOST_STARS:
-                found = found.unionByName(links.confirmed(_left_over(rows, links)))
-                labels = components(stored(found, "links"))
-                break
-            rows = rows.select("file", "place", "cls", "label", "centre")
-        centres = rows.select(F.col("cls").alias("b"), F.col("centre").alias("a")).filter("a <> b")
-        pairs = centres.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        new = stored(
-            links.confirmed(stored(links.within_distance(pairs.distinct()), "pairs")), "links"
-        )
-        found = new if found is None else found.unionByName(new)
-        labels = components(found)
-    return labels
+    centres = rows.select(*_pair("cls", "centre")).filter("a <> b")
+    labels = components(links.among(centres))
+    turn, before = 0, None
+    while True:
+        turn += 1
+        rows = stored(_unsettled(rows.select("file", "place", "cls"), labels, turn), "files")
+        # A minor row is compared with all rows of its file.
+        total = rows.agg(
+            F.sum(F.when(F.col("minor"), F.col("n")).otherwise(0)).alias("pairs"),
+            F.count(F.lit(1)).alias("rows"),
+        ).first()
+        if not total["rows"]:
+            return labels
+        few = total["pairs"] <= PAIRS_PER_ROW * total["rows"]
+        if few or (before is not None and 2 * total["pairs"] > before):
+            break
+        before = total["pairs"]
+        centres = rows.filter("label <> centre.label").select(*_pair("cls", "centre.cls"))
+        labels = components(links.among(centres), labels)
+    return components(links.confirmed(_left_over(rows, links)), labels)
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _unsettled(rows: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """The files that still hold several groups, with a centre drawn anew for each.
+
+    ``n`` is the file's number of rows; ``minor`` rows are not of its largest group.
+    """
+    own = labels.withColumnRenamed("node", "cls")
+    labelled = rows.join(own, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    drawn = F.struct(F.xxhash64("cls", "file", F.lit(turn)).alias("h"), "cls", "label")
+    groups = labelled.groupBy("file", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.min(drawn).alias("centre")
+    )
+    files = groups.groupBy("file").agg(
+        F.count(F.lit(1)).alias("groups"), F.min("centre").alias("centre"), F.sum("n").alias("n"),
+        F.max(F.struct("n", "label")).alias("largest"),
+    ).filter("groups > 1")
+    minor = F.col("label") != F.col("largest.label")
+    return labelled.join(files, "file").select(
+        "file", "place", "cls", "label", "centre", "n", minor.alias("minor")
+    )
 
 
 def _left_over(rows: DataFrame, links: _Links) -> DataFrame:
     """All pairs of different groups that share a file, each from the first it shares."""
     signed = links.members.select("cls", "n_shingles", "signature")
-    rows = rows.select("file", "place", "cls", "label").join(signed, "cls")
+    rows = rows.select("file", "place", "cls", "label", "minor").join(signed, "cls")
     other = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns])
-    pairs = rows.join(
+    pairs = rows.filter("minor").join(
         other,
-        (F.col("file") == F.col("_file")) & (F.col("cls") < F.col("_cls"))
-        & (F.col("label") != F.col("_label"))
+        (F.col("file") == F.col("_file")) & (F.col("label") != F.col("_label"))
+        & (~F.col("_minor") | (F.col("cls") < F.col("_cls")))
         & (100 * F.least("n_shingles", "_n_shingles")
            >= SIMILAR * F.greatest("n_shingles", "_n_shingles"))
         & (_first_meeting(F.col("signature"), F.col("_signature")) == F.col("place"))
         & (_differing(F.col("signature"), F.col("_signature")) <= DISTANCE),
     )
-    return stored(pairs.select(F.col("cls").alias("a"), F.col("_cls").alias("b")), "pairs")
+    return stored(pairs.select(*_pair("cls", "_cls")).distinct(), "pairs")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
