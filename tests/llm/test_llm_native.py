@@ -1,0 +1,236 @@
+"""Sharding, mixing, quality rules and personal data against plain Python."""
+
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from caderneta.llm import mixing, personal_data, quality_rules, sharding
+from corpus import frame, rows, saved, texts, words
+
+
+# --- sharding ----------------------------------------------------------------
+
+
+def test_shards_law_slots_and_growth(spark, tmp_path):
+    found = sharding.op1_rendezvous_sharding(spark, saved(spark, None, tmp_path)).collect()
+    assert len(found) == len(rows())
+    slots = defaultdict(list)
+    for r in found:
+        assert r.law == "key" and 0 <= r.shard < 8
+        assert r.grown_shard in (r.shard, 8)
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    expected = Counter(
+        (d, len((t or "").encode()) + 1, None if t is None else zlib.crc32(t.encode()))
+        for d, t, *_ in rows()
+    )
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in found) == expected
+
+
+def test_one_key_one_shard_and_weights(spark):
+    keys = spark.range(20000).withColumnRenamed("id", "doc_id")
+    two = sharding.assign_shards(keys, weights=(1.0, 3.0)).groupBy("shard").count().collect()
+    share = {r.shard: r["count"] / 20000 for r in two}
+    assert abs(share[1] - 0.75) < 0.02
+    changed = sharding.assign_shards(
+        sharding.assign_shards(keys, weights=(1.0, 3.0)), weights=(2.0, 3.0), shard="after"
+    )
+    assert changed.filter("shard = 0 AND after <> 0").count() == 0
+    with pytest.raises(ValueError):
+        sharding.rendezvous_shard(F.col("doc_id"), (1.0, 0.0))
+
+
+def test_a_key_repeated_beyond_one_chunk(spark, monkeypatch):
+    monkeypatch.setattr("caderneta.llm.tables.COPIES_AT_ONCE", 16)
+    same = spark.range(1000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit(1).alias("shard"), F.lit(1).alias("size")
+    )
+    slots = [r.slot for r in sharding.number_in_shards(same).collect()]
+    assert sorted(slots) == list(range(1000))
+
+
+def test_empty_tables(spark, tmp_path):
+    folder = saved(spark, [], tmp_path)
+    assert sharding.op1_rendezvous_sharding(spark, folder).count() == 0
+    assert mixing.op2_curriculum_mix(spark, folder).count() == 0
+    assert personal_data.op4_personal_data(spark, folder).count() == 0
+    assert mixing.mixed_documents(frame(spark, [])).count() == 0
+
+
+# --- mixing ------------------------------------------------------------------
+
+
+def filled(sizes: dict) -> dict:
+    """Targets by sharing the excess out again until none is above its cap."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    target, open_, rest = {}, list(names), 1.5 * sum(sizes.values())
+    while True:
+        total = sum(weight[s] for s in open_)
+        above = [s for s in open_ if rest * weight[s] / total >= 2 * sizes[s]]
+        if not above:
+            return target | {s: rest * weight[s] / total for s in open_}
+        for s in above:
+            target[s] = 2 * sizes[s]
+            rest -= target[s]
+        open_ = [s for s in open_ if s not in above]
+        if not open_:
+            return target
+
+
+def test_targets_and_taken_words(spark):
+    found = mixing.mix(frame(spark)).collect()
+    assert len(found) == len(rows())
+    sizes, largest = Counter(), Counter()
+    for _, text, _, source, *_ in rows():
+        sizes[source] += len(words(text))
+        largest[source] = max(largest[source], len(words(text)))
+    target, taken = filled(sizes), Counter()
+    for r in found:
+        assert r.source_size == sizes[r.source]
+        assert math.isclose(r.target, target[r.source])
+        assert len(r.positions) <= 2 and all(0 <= p <= 1 for p in r.positions)
+        taken[r.source] += r.size * len(r.positions)
+    for source in sizes:
+        assert abs(taken[source] - target[source]) <= largest[source]
+
+
+def test_positions_follow_the_schedule(spark):
+    part = spark.createDataFrame([(k / 200,) for k in range(201)], "part double")
+    for rates in mixing.RATES:
+        for r in part.select("part", mixing.position_at(F.col("part"), rates).alias("t")).collect():
+            steps = 2000
+            time = [r.t * (k + 0.5) / steps for k in range(steps)]
+            rate = [rates[0] + (rates[1] - rates[0]) * t / 0.5 if t < 0.5
+                    else rates[1] + (rates[2] - rates[1]) * (t - 0.5) / 0.5 for t in time]
+            assert abs(sum(rate) * r.t / steps - r.part) < 1e-4  # each schedule's integral is 1
+
+
+def test_reruns_agree_and_rows_keep_their_columns(spark):
+    docs = frame(spark)
+    a = sorted(map(str, mixing.mix(docs).drop("text_hash").collect()))
+    b = sorted(map(str, mixing.mix(docs.repartition(3)).drop("text_hash").collect()))
+    assert a == b
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(len(r.positions) for r in mixing.mix(docs).collect())
+
+
+# --- quality rules -----------------------------------------------------------
+
+
+def plain_counts(text):
+    text = text or ""
+    found = words(text)
+    seen, repeated_lines = set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            repeated_lines += line in seen
+            seen.add(line)
+    windows = Counter(tuple(found[i : i + 5]) for i in range(len(found) - 4))
+    covered = {
+        i + k for i in range(len(found) - 4) if windows[tuple(found[i : i + 5])] > 1 for k in range(5)
+    }
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(found), sum(map(len, found)), symbols, repeated_lines, len(covered)
+
+
+def test_counts(spark):
+    more = [(900 + k, t) for k, t in enumerate((
+        "a b c d e a b c d e a b c d e", "a a a a a a a", "l\nl\n \n \nl", "1 2 3 4 5 6 1 2 3 4 5",
+        "$% #\x0bx\x0cy  |", "z " * 3000,
+    ))]
+    docs = spark.createDataFrame([(d, t) for d, t, *_ in rows()] + more, "doc_id long, text string")
+    for r in quality_rules.text_counts(docs).collect():
+        assert plain_counts(r.text) == tuple(r[c] for c in quality_rules.BASE), r.doc_id
+
+
+def labelled_docs(spark):
+    good = [(k, f"clean words number {k} " * 2 + " ".join(f"t{k}x{j}" for j in range(20))) for k in range(200)]
+    junk = [(1000 + k, " ".join(f"t{k}y{j}***" for j in range(20 + k % 7))) for k in range(120)]
+    docs = spark.createDataFrame(good + junk, "doc_id long, text string")
+    labels = [(d, 1) for d, _ in good[:150]] + [(d, 0) for d, _ in junk[:90]] + [(5, None), (None, 0), (77777, 0)]
+    return docs, spark.createDataFrame(labels, "doc_id long, quality long")
+
+
+def test_rules_learn_and_generalise(spark):
+    docs, labels = labelled_docs(spark)
+    for r in quality_rules.judge_quality(docs, labels).collect():
+        assert not r.base_failed and r.kept == (r.doc_id < 1000), r
+
+
+def test_no_labels_no_rules(spark):
+    docs, labels = labelled_docs(spark)
+    judged = quality_rules.judge_quality(docs, labels.limit(0))
+    assert judged.filter("kept").count() == docs.count()
+    assert quality_rules.judge_quality(docs.limit(0), labels).count() == 0
+    kept = quality_rules.keep_good(frame(spark), labels)
+    assert kept.columns == frame(spark).columns and kept.filter("text IS NULL").count() == 0
+
+
+# --- personal data -----------------------------------------------------------
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        value = int(d) * (1 + k % 2)
+        total += value - 9 * (value > 9)
+    return total % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else 0,
+                "card": 13 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+ODD = [
+    "a@b.c_d@e.f.g", "x@y", "a@b.c. b@c.d", "@@a@b.co@d.e", "1.2.3.4.5.6.7.8", "256.1.1.1 001.02.3.255",
+    "4539578763621486 4539 5787 6362 1486", "4539-5787-6362-1486-1", "1 2 3 4 5", "0" * 15, "0" * 40,
+    "+1 (476) 555-5473. +49 30 12", "+1+2 345 678 901", "😀 é mail: a@b.co 漢 10.0.0.1",
+    "IBAN DE89 3704 0044 0532 0130 00 end", "DE89370400440532013000", "DE88370400440532013000",
+    "tel 030 1234-5678", "030 1234-5678 alone", "a" * 50000, "1." * 20000, "5 " * 20000, None, "",
+    "z@" + "q." * 20000 + "w", ("+1 23 456 789 01 " * 500).strip(),
+]
+
+
+def test_base_spans_are_the_contracts(spark, tmp_path):
+    data = [(k, t, *rows()[0][2:]) for k, t in enumerate(ODD + texts())]
+    folder = saved(spark, data, tmp_path)
+    by_id = {r.doc_id: r for r in personal_data.op4_personal_data(spark, folder).collect()}
+    for k, text, *_ in data:
+        spans, r = base_spans(text), by_id[k]
+        assert r.base_sha256 == sha256(",".join(spans).encode()).hexdigest(), (text or "")[:60]
+        assert [r[f"n_{n}"] for n in PATTERNS] == [sum(s.startswith(n) for s in spans) for n in PATTERNS]
+        assert [s for s in r.spans.split(",") if s.split(":")[0] in PATTERNS] == spans
+
+
+def test_method_adds_confirmed_spans(spark):
+    docs = spark.createDataFrame(list(enumerate(ODD)), "doc_id int, text string").withColumn("spans", F.lit(1))
+    found = {r.doc_id: r.spans for r in personal_data.find_personal_data(docs).collect()}
+    more = {k: [s.kind for s in v if s.kind in ("iban", "local")] for k, v in found.items()}
+    assert more[14] == ["iban"] and more[15] == ["iban"] and more[16] == []
+    assert more[17] == ["local"] and more[18] == []
+    email = [s for s in found[13] if s.kind == "email"][0]
+    assert email.score == 1.0 and email.value == "a@b.co"
