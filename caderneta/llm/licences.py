@@ -207,7 +207,7 @@ class Classifier:
 
 
 def background_sample(docs: DataFrame, number: int = BACKGROUND) -> list[list[str]]:
-    """The words of at most ``number`` paragraphs: those of least hash, licence words left out.
+    """The words of about ``number`` paragraphs of least hash, twice as many at most.
 
     Drawn from all paragraphs of all documents; a paragraph that shares three words in a
     row with a template is no background.
@@ -215,8 +215,12 @@ def background_sample(docs: DataFrame, number: int = BACKGROUND) -> list[list[st
     taken = {g for texts in TEMPLATES.values() for t in texts for g in _grams(_words(t))
              if g.count(" ") == 2 or g in ("all rights", "rights reserved")}
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
-    drawn = lines.groupBy(F.xxhash64("line").alias("h")).agg(F.any_value("line").alias("line"))
-    rows = drawn.orderBy("h").limit(number).select(paragraph_words(F.col("line")).alias("w")).collect()
+    total = lines.count()
+    # Hashes are even over their range, so this share of it holds about ``number`` paragraphs.
+    share = min(1.0, number / max(total, 1))
+    least = int(-(2**63) + share * (2**64 - 2**12))
+    drawn = lines.filter(F.xxhash64("line") <= F.lit(least)).distinct()
+    rows = drawn.limit(2 * number).select(paragraph_words(F.col("line")).alias("w")).collect()
     return [r["w"] for r in rows if not _grams(r["w"]) & taken]
 
 
