@@ -10,6 +10,10 @@ Only links between different groups matter.  A file is first joined as a star ar
 member; members already in one group need no further comparison.  Stars with other
 centres follow until few pairs are left, and those are compared one by one, so no link
 between groups is missed.  Every link is confirmed on full shingle sets.
+
+Near misses are dropped before they become rows: a set's parity over 2,048 cells differs
+from another's in at most as many cells as the sets have different shingles, which
+bounds their similarity from above.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ SYMBOLS = CHUNKS * CHUNK
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 BITS = 32
 SIMILAR = 75
+PARITY_WORDS = 32
 # Stars go on while more pairs than this per filed signature are left, and halve them.
 PAIRS_PER_ROW = 64.0
 
@@ -46,7 +51,8 @@ _XORS = mixed(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(7919))
 _ODDS = mixed(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(104729)) | np.uint64(1)
 
 SIGNED = (
-    "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, signature array<int>"
+    "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, "
+    "signature array<int>, parity array<long>"
 )
 
 
@@ -60,6 +66,17 @@ def _signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
+def _parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of each non-empty sorted set, which cells hold an odd number of shingles."""
+    owner = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(values)]))
+    spot = owner * PARITY_WORDS + (values >> np.uint64(59)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, spot[1:] != spot[:-1]])
+    bits = np.uint64(1) << ((values >> np.uint64(53)) & np.uint64(63))
+    out = np.zeros(len(starts) * PARITY_WORDS, np.uint64)
+    out[spot[first]] = np.bitwise_xor.reduceat(bits, first)
+    return out.view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch):
@@ -67,21 +84,22 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.diff(starts)
             full = np.flatnonzero(sizes)
             sums = np.zeros((2, len(sizes)), np.uint64)
-            symbols = np.empty((0, SYMBOLS), np.int32)
+            symbols, parity = np.empty((0, SYMBOLS), np.int32), np.empty(0, np.int64)
             if len(full):
                 at = starts[:-1][full]
                 sums[0, full] = np.add.reduceat(values, at)
                 sums[1, full] = np.add.reduceat(mixed(values ^ _XORS[0]), at)
-                symbols = _signatures(values, at)
-            ends = np.r_[0, np.cumsum(sizes > 0)].astype(np.int32) * SYMBOLS
+                symbols, parity = _signatures(values, at), _parities(values, at)
+            ends = np.r_[0, np.cumsum(sizes > 0)].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"), piece.column("text_hash"),
                     pa.array(sizes.astype(np.int64)),
                     pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(symbols.reshape(-1))),
+                    pa.ListArray.from_arrays(pa.array(ends * SYMBOLS), pa.array(symbols.reshape(-1))),
+                    pa.ListArray.from_arrays(pa.array(ends * PARITY_WORDS), pa.array(parity)),
                 ],
-                names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "signature"],
+                names=[part.split()[0] for part in SIGNED.split(", ")],
             )
 
 
@@ -109,6 +127,23 @@ def _differing(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x != y), lambda d: d))
 
 
+def _may_be_similar(a: str, b: str) -> Column:
+    """Bounds on the similarity of two rows, from sizes and parities.
+
+    ``a`` and ``b`` stand before the names of the columns n_shingles and parity.
+    """
+    na, nb = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+    pa_, pb = F.col(f"{a}parity"), F.col(f"{b}parity")
+    words = [
+        F.bit_count(F.get(pa_, F.lit(k)).bitwiseXOR(F.get(pb, F.lit(k))))
+        for k in range(PARITY_WORDS)
+    ]
+    different = reduce(lambda x, y: x + y, words)
+    return (100 * F.least(na, nb) >= SIMILAR * F.greatest(na, nb)) & (
+        (100 + SIMILAR) * different <= (100 - SIMILAR) * (na + nb)
+    )
+
+
 def _first_meeting(a: Column, b: Column) -> Column:
     """The first file in which two signatures meet."""
     cases = None
@@ -124,7 +159,7 @@ class _Links:
     """Candidate pairs in, confirmed links out."""
 
     def __init__(self, docs: DataFrame, members: DataFrame):
-        self.members = members  # cls, doc_id, text_hash, n_shingles, signature
+        self.members = members  # cls, doc_id, text_hash, n_shingles, signature, parity
         wanted = members.select(
             "cls", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
         )
@@ -140,13 +175,14 @@ class _Links:
         return stored(self.confirmed(stored(self.within_distance(pairs.distinct()), "pairs")), "links")
 
     def within_distance(self, pairs: DataFrame) -> DataFrame:
-        a = self.members.select(F.col("cls").alias("a"), F.col("n_shingles").alias("na"),
-                                F.col("signature").alias("sa"))
-        b = self.members.select(F.col("cls").alias("b"), F.col("n_shingles").alias("nb"),
-                                F.col("signature").alias("sb"))
+        names = ("n_shingles", "signature", "parity")
+        a, b = (
+            self.members.select(F.col("cls").alias(end), *[F.col(n).alias(end + n) for n in names])
+            for end in "ab"
+        )
         near = pairs.join(a, "a").join(b, "b").filter(
-            (100 * F.least("na", "nb") >= SIMILAR * F.greatest("na", "nb"))
-            & (_differing(F.col("sa"), F.col("sb")) <= DISTANCE)
+            _may_be_similar("a", "b")
+            & (_differing(F.col("asignature"), F.col("bsignature")) <= DISTANCE)
         )
         return near.select("a", "b")
 
@@ -222,15 +258,14 @@ def _unsettled(rows: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 
 def _left_over(rows: DataFrame, links: _Links) -> DataFrame:
     """All pairs of different groups that share a file, each from the first it shares."""
-    signed = links.members.select("cls", "n_shingles", "signature")
+    signed = links.members.select("cls", "n_shingles", "signature", "parity")
     rows = rows.select("file", "place", "cls", "label", "minor").join(signed, "cls")
     other = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns])
     pairs = rows.filter("minor").join(
         other,
         (F.col("file") == F.col("_file")) & (F.col("label") != F.col("_label"))
         & (~F.col("_minor") | (F.col("cls") < F.col("_cls")))
-        & (100 * F.least("n_shingles", "_n_shingles")
-           >= SIMILAR * F.greatest("n_shingles", "_n_shingles"))
+        & _may_be_similar("", "_")
         & (_first_meeting(F.col("signature"), F.col("_signature")) == F.col("place"))
         & (_differing(F.col("signature"), F.col("_signature")) <= DISTANCE),
     )
@@ -252,10 +287,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     classes = stored(
         signed.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
-        .agg(F.min(place).alias("first"), F.any_value("signature").alias("signature"))
+        .agg(F.min(place).alias("first"), F.any_value("signature").alias("signature"),
+             F.any_value("parity").alias("parity"))
         .select(
             F.coalesce("first.doc_id", "first.text_hash").alias("cls"), "first.doc_id",
-            "first.text_hash", "set_a", "set_b", "n_shingles", "signature",
+            "first.text_hash", "set_a", "set_b", "n_shingles", "signature", "parity",
         ),
         "classes",
     )
