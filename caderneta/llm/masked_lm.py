@@ -33,10 +33,12 @@ CELLS = 1 << 18
 ROUNDS = 2
 MASKED = 0.15
 BATCH = 2048
+SCORE_BATCH = 512
 RATE = 0.1
 PART = 1024  # weights per row of the distributed average
 
 _SHAPES = [(len(SIDES), OUTPUTS + 1, HIDDEN), (HIDDEN,), (HIDDEN, OUTPUTS), (OUTPUTS,)]
+_ONES = np.ones(OUTPUTS, np.float32)
 _SIZES = [int(np.prod(shape)) for shape in _SHAPES]
 
 
@@ -62,7 +64,9 @@ class Vocabulary:
         smooth = cells + 0.5
         of = np.arange(CELLS) % CLASSES
         self.share = (np.log(smooth) - np.log(np.bincount(of, smooth, CLASSES))[of]).astype(np.float32)
-        self.known = {word: number for number, word in enumerate(frequent)}
+        hashes = Words(pa.array([" ".join(frequent)])).hashes()  # distinct words, in order
+        self.order = np.argsort(hashes)
+        self.known = hashes[self.order]
         self.counts = np.ones(OUTPUTS)
         self.counts[: len(counts)] += counts
         self.counts[FREQUENT:] += np.bincount(of, cells, CLASSES)
@@ -71,11 +75,11 @@ class Vocabulary:
         """(id, log-share) of each different word."""
         hashes = words.hashes()
         cell = (hashes % np.uint64(CELLS)).astype(np.int64)
-        known = np.fromiter(
-            (self.known.get(name, -1) for name in words.names.to_pylist()), np.int64, len(hashes)
-        )
-        rare = known < 0
-        ids = np.where(rare, FREQUENT + cell % CLASSES, known)
+        if not len(self.known):
+            return FREQUENT + cell % CLASSES, self.share[cell]
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        rare = self.known[at] != hashes
+        ids = np.where(rare, FREQUENT + cell % CLASSES, self.order[at])
         return ids, np.where(rare, self.share[cell], np.float32(0))
 
 
@@ -132,13 +136,15 @@ class Network:
     def log_probabilities(self, around: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The log-probability of each id between its neighbours."""
         found = np.empty(len(ids), np.float32)
-        for begin in range(0, len(ids), BATCH):
-            part = slice(begin, begin + BATCH)
-            logits = self.hidden(around[:, part]) @ self.out + self.bias
-            logits -= logits.max(axis=1, keepdims=True)
-            chosen = logits[np.arange(len(logits)), ids[part]].copy()
+        # The hidden layer lies in -1 to 1, so no logit is above this: exp cannot overflow.
+        bias = self.bias - max(0, float((np.abs(self.out).sum(axis=0) + self.bias).max()) - 60)
+        for begin in range(0, len(ids), SCORE_BATCH):
+            part = slice(begin, begin + SCORE_BATCH)
+            logits = self.hidden(around[:, part]) @ self.out
+            logits += bias
+            chosen = logits[np.arange(len(logits)), ids[part]]
             np.exp(logits, out=logits)
-            found[part] = chosen - np.log(logits.sum(axis=1))
+            found[part] = chosen - np.log(logits @ _ONES)
         return found
 
     def learn(self, around: np.ndarray, ids: np.ndarray) -> None:
@@ -154,13 +160,14 @@ class Network:
             logits[np.arange(len(wanted)), wanted] -= 1
             logits /= len(wanted)
             back = (logits @ self.out.T) * (1 - inner * inner)
-            sides = np.zeros(_SHAPES[0], np.float32)
-            for row in range(len(SIDES)):
-                met = np.zeros((len(wanted), OUTPUTS + 1), np.float32)
-                met[np.arange(len(wanted)), near[row]] = 1
-                sides[row] = met.T @ back
+            # Each place adds to the embeddings of its neighbours.
+            spots = near[:, :, None] * HIDDEN + np.arange(HIDDEN)
+            sides = [
+                np.bincount(at.ravel(), back.ravel(), (OUTPUTS + 1) * HIDDEN).astype(np.float32)
+                for at in spots
+            ]
             step = np.concatenate([
-                sides.ravel(), back.sum(axis=0), (inner.T @ logits).ravel(), logits.sum(axis=0),
+                *sides, back.sum(axis=0), (inner.T @ logits).ravel(), logits.sum(axis=0),
             ])
             self.squares += step * step
             self.weights -= RATE * step / np.sqrt(self.squares)
