@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from caderneta.llm.arrow_words import Words, mixed, pieces
-from caderneta.llm.tables import load, packed, row_key, stored
+from caderneta.llm.tables import load, packed, release, row_key, stored
 
 SIMILAR = 80
 # Lines of fewer different words identify nothing and are left alone.
@@ -281,6 +281,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         ).withColumnRenamed("set_a", "cls"),
         "classes",
     )
+    release(docs.sparkSession)
     early = classes.withColumns({
         "doc": F.coalesce("first.doc_id", F.lit(2**63 - 1)), "at": F.col("first.line"),
     })
@@ -291,8 +292,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     close = met.filter((F.col("x.cls") != F.col("y.cls")) & _may_match("x", "y"))
     star_pairs = stored(close.select(*_pair("x.cls", "y.cls")).distinct(), "pairs")
     done = stored(_gone(keyed, classes, star_pairs), "done")
+    release(docs.sparkSession)
     flagged = classes.join(done.withColumn("done", F.lit(1)), "cls", "left").fillna(0, ["done"])
-    pairs = stored(_candidates(flagged), "pairs")
+    pairs = stored(_candidates(stored(flagged, "flagged")), "pairs")
+    release(docs.sparkSession)
     matched = done.unionByName(_gone(keyed, classes, pairs)).distinct().withColumn("matched", F.lit(True))
 
     known = classes.select(F.col("cls").alias("set_a"), "set_b", "first", F.col("cls"))

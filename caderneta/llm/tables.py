@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs.
+
+    It does so when the driver's JVM collects their plans as garbage, which in a short
+    run of large shuffles may otherwise not happen before the disks fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def words(text: Column) -> Column:
     """The words of a text; a null text has none."""
     split = F.split(F.coalesce(text, F.lit("")), BLANK)
