@@ -265,6 +265,12 @@ def _rules_for(counted: DataFrame, labels: DataFrame) -> list[Rule]:
     return learn_rules(stored(labelled, "labelled"))
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """Id and features of each document, stored: texts are not written again."""
+    counted = with_features(text_counts(docs.select("doc_id", "text"))).drop("text")
+    return stored(counted, "quality")
+
+
 def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, counts, base_failed, rule, kept) of each document.
 
@@ -273,9 +279,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     passes the fixed rules and no learned one.  Null texts count 0 and fail; documents
     with null or repeated ids are judged like others.
     """
-    counted = stored(
-        with_features(text_counts(docs.select("doc_id", "text")).drop("text")), "quality"
-    )
+    counted = _counted(docs)
     rule = verdict(_rules_for(counted, labels))
     return counted.select(
         "doc_id", *COUNTS, base_failed().alias("base_failed"), rule.alias("rule"),
@@ -284,10 +288,13 @@ def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that ``judge_quality`` keeps, columns as they come."""
-    rows = docs.select("doc_id", F.struct("*").alias("row"))
-    counted = stored(with_features(text_counts(rows, "row.text")), "quality")
-    rule = verdict(_rules_for(counted, labels))
+    """The documents that ``judge_quality`` keeps, columns as they come.
+
+    Texts are counted twice, for learning and for judging, rather than stored or shuffled.
+    """
+    rule = verdict(_rules_for(_counted(docs), labels))
+    rows = docs.select(F.struct("*").alias("row"))
+    counted = with_features(text_counts(rows, "row.text"))
     return counted.filter(~base_failed() & rule.isNull()).select("row.*")
 
 
