@@ -27,8 +27,10 @@ from caderneta.llm.arrow_words import Words, mixed, pieces
 from caderneta.llm.tables import load, packed, release, row_key, stored
 
 SIMILAR = 80
-# Lines of fewer different words identify nothing and are left alone.
-LEAST_WORDS = 5
+# Every line with a word takes part; one without has an empty set, which is like no other.
+LEAST_WORDS = 1
+# Up to so many words, a set is similar to none but its equals, which are folded before any join.
+ONLY_EQUAL = (SIMILAR - 1) // (100 - SIMILAR)
 CELLS = 1 << 22
 STAR_WORDS = 2
 FILTER_BITS = 1 << 24
@@ -44,7 +46,7 @@ def _lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 class LineSets:
-    """The different words of each line of a piece, lines of too few left out.
+    """The different words of each line of a piece, lines without words left out.
 
     ``values[starts[i]:starts[i + 1]]`` are the hashes of line ``i`` by ``rarity``, then
     by hash; ``owner`` and ``number`` tell where the line is.
@@ -132,7 +134,8 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
                 a, b, bits = sets.set_hashes()
                 reach = sets.sizes - -(-SIMILAR * sets.sizes // 100) + 1
                 within = np.arange(len(sets.values)) - np.repeat(sets.starts[:-1], sets.sizes)
-                first = within < np.repeat(reach, sets.sizes)
+                joined = np.repeat(sets.sizes > ONLY_EQUAL, sets.sizes)
+                first = joined & (within < np.repeat(reach, sets.sizes))
                 # A cell counted once holds a word no other line has; those come first.
                 again = first & (sets.ranks > 1)
                 line = np.repeat(np.arange(len(sets.sizes)), sets.sizes)
@@ -267,7 +270,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
     Earlier means: in a document of lesser doc_id (null last, then by hash of the text),
     or before it in the same one.  Rows of equal id and text lose the same lines.  Lines
-    of fewer than ``LEAST_WORDS`` different words are never removed.
+    without words are never removed.
     """
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     rarity = word_rarity(keyed)

@@ -136,6 +136,16 @@ def test_texts_without_the_lines(spark):
         assert r.text == (None if text[r.doc_id] is None else kept)
 
 
+def test_short_lines_go_too(spark, tmp_path):
+    data = [
+        (1, "All rights reserved.\nHome\n\na b c d\nx y z"), (2, "Home\nAll rights reserved.\n\nx y"),
+        (3, "reserved. rights All All\na b c d e\nHome page\nx y z w"), (4, "w x y z v\nb a\na b"),
+    ]
+    folder = saved(spark, [(d, t, *rows()[0][2:]) for d, t in data], tmp_path)
+    found = {r.doc_id: r.removed_lines for r in line_dedup.op7_line_dedup(spark, folder).collect()}
+    assert found == {1: "", 2: "0,1", 3: "0,1", 4: "0,2"}
+
+
 def test_odd_rows_of_lines(spark):
     docs = frame(spark)
     assert line_dedup.drop_repeated_lines(docs).count() == len(rows())
