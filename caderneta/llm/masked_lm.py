@@ -2,13 +2,14 @@
 
 A small network reads the two words before a place and the two after it and predicts the
 word there; the score of a text is the sum of the log-probabilities of all its words,
-each given both sides.  The network speaks of 256 frequent words and 64 classes that
-share out all other words by hash; a class word's probability within its class comes
-from counts of all words of the corpus, held in a fixed number of cells.
-
-Training masks a random part of the places of every document.  Each task trains on its own
-documents with numpy, the weights are averaged by trained words in a distributed sum, and
-a second round starts from the average.
+each given both sides.  The network speaks of 1,024 frequent words and 64 classes that
+share out all other words by hash; a class word's probability within its class is its own
+count, from a table of all words of the corpus that grows with it and is joined by word.
+
+Training masks a part of the places of every document in each round, so that all places
+are masked over the rounds.  Each task trains on its own documents with numpy, the weights
+are averaged by trained words in a distributed sum, and the next round starts from the
+average.
 """
 
 from __future__ import annotations
@@ -20,20 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caderneta.llm.arrow_words import Words, pieces
+from caderneta.llm.arrow_words import Words, mixed, pieces
 from caderneta.llm.tables import load, stored
 
-FREQUENT = 256
+FREQUENT = 1024
 CLASSES = 64
 OUTPUTS = FREQUENT + CLASSES
 EDGE = OUTPUTS  # what lies beyond a text
 SIDES = (-2, -1, 1, 2)
 HIDDEN = 16
-CELLS = 1 << 18
 ROUNDS = 2
-MASKED = 0.15
+FOLDS = 6  # the parts of the places that take turns in being masked, if there are as many rounds
 BATCH = 2048
-SCORE_BATCH = 512
+SCORE_BATCH = 256
 RATE = 0.1
 PART = 1024  # weights per row of the distributed average
 
@@ -48,53 +48,69 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = Words(piece.column("text"))
             counts = np.bincount(words.codes, minlength=len(words.names)).astype(np.int64)
             used = pa.array(counts > 0)
-            cell = (words.hashes() % np.uint64(CELLS)).astype(np.int32)
+            hashes = pa.array(words.hashes().view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [words.names.filter(used), pa.array(cell).filter(used), pa.array(counts).filter(used)],
-                names=["word", "cell", "n"],
+                [words.names.filter(used), hashes.filter(used), pa.array(counts).filter(used)],
+                names=["word", "hash", "n"],
             )
 
 
 class Vocabulary:
-    """Ids of words, and the log-share of each word within its id."""
-
-    def __init__(self, frequent: list[str], counts: list[int], cells: np.ndarray):
-        self.parts = (frequent, counts, cells)  # what makes the same vocabulary again in a task
-        # Half a count for cells never met; shares of a class sum to 1 over its cells.
-        smooth = cells + 0.5
-        of = np.arange(CELLS) % CLASSES
-        self.share = (np.log(smooth) - np.log(np.bincount(of, smooth, CLASSES))[of]).astype(np.float32)
+    """Ids of words: a frequent word has its own, any other that of its class.
+
+    ``table`` has (word, hash, n) of all words of the corpus; only the driver holds it.
+    """
+
+    def __init__(
+        self, frequent: list[str], counts: list[int], classes: np.ndarray, table: DataFrame | None = None
+    ):
+        self.parts = (frequent, counts, classes)  # what makes the same vocabulary again in a task
+        self.table = table
+        # A word never met has the share of a word met once; each class leaves room for one.
+        self.class_share = -np.log(classes + 1.0)
         hashes = Words(pa.array([" ".join(frequent)])).hashes()  # distinct words, in order
         self.order = np.argsort(hashes)
         self.known = hashes[self.order]
         self.counts = np.ones(OUTPUTS)
         self.counts[: len(counts)] += counts
-        self.counts[FREQUENT:] += np.bincount(of, cells, CLASSES)
+        self.counts[FREQUENT:] += classes
 
-    def ids(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(id, log-share) of each different word."""
-        hashes = words.hashes()
-        cell = (hashes % np.uint64(CELLS)).astype(np.int64)
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """The id of each word; those from ``FREQUENT`` on are classes."""
+        other = FREQUENT + (hashes % np.uint64(CLASSES)).astype(np.int64)
         if not len(self.known):
-            return FREQUENT + cell % CLASSES, self.share[cell]
+            return other
         at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        rare = self.known[at] != hashes
-        ids = np.where(rare, FREQUENT + cell % CLASSES, self.order[at])
-        return ids, np.where(rare, self.share[cell], np.float32(0))
+        return np.where(self.known[at] != hashes, other, self.order[at])
+
+    def class_shares(self, ids: np.ndarray) -> np.ndarray:
+        """What a word's log-share has from its class; the log of its count comes on top."""
+        return np.where(ids < FREQUENT, 0.0, self.class_share[np.maximum(ids - FREQUENT, 0)])
+
+    def ids(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(id, log-share) of each different word of a few texts, on the driver."""
+        hashes = words.hashes()
+        ids = self.places(hashes)
+        asked = self.table.sparkSession.createDataFrame(
+            [(h,) for h in hashes[ids >= FREQUENT].view(np.int64).tolist()], "hash long"
+        )
+        count = {r["hash"]: r["n"] for r in self.table.join(asked, "hash").select("hash", "n").collect()}
+        log = np.log([float(count.get(h, 1)) for h in hashes.view(np.int64).tolist()])
+        return ids, np.where(ids < FREQUENT, 0.0, self.class_shares(ids) + log)
 
 
 def corpus_vocabulary(docs: DataFrame) -> Vocabulary:
-    """Counts of all words of all documents; at most ``FREQUENT + CELLS`` rows are returned."""
-    counts = docs.select("text").mapInArrow(_counted, "word string, cell int, n long")
-    counts = stored(counts.groupBy("word", "cell").agg(F.sum("n").alias("n")), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT)
-    first = top.collect()
-    frequent = [row["word"] for row in first]
-    rare = counts.filter(~F.col("word").isin(frequent)) if frequent else counts
-    table = rare.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    cells = np.zeros(CELLS)
-    cells[table.column("cell").to_numpy()] = table.column("n").to_numpy()
-    return Vocabulary(frequent, [row["n"] for row in first], cells)
+    """Counts of all words of all documents; ``FREQUENT + CLASSES`` rows reach the driver."""
+    counts = docs.select("text").mapInArrow(_counted, "word string, hash long, n long")
+    counts = stored(counts.groupBy("word", "hash").agg(F.sum("n").alias("n")), "words")
+    first = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    classes = np.zeros(CLASSES)
+    of = F.col("hash").bitwiseAND(CLASSES - 1)
+    for row in counts.groupBy(of.alias("class")).agg(F.sum("n").alias("n")).collect():
+        classes[row["class"]] = row["n"]
+    for row in first:
+        classes[row["hash"] & (CLASSES - 1)] -= row["n"]
+    return Vocabulary([r["word"] for r in first], [r["n"] for r in first], classes, counts)
 
 
 def _windows(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -133,11 +149,14 @@ class Network:
             total += self.sides[row, around[row]]
         return np.tanh(total)
 
+    def _safe_bias(self) -> np.ndarray:
+        # The hidden layer lies in -1 to 1, so no logit is above this: exp cannot overflow.
+        return self.bias - max(0, float((np.abs(self.out).sum(axis=0) + self.bias).max()) - 60)
+
     def log_probabilities(self, around: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The log-probability of each id between its neighbours."""
         found = np.empty(len(ids), np.float32)
-        # The hidden layer lies in -1 to 1, so no logit is above this: exp cannot overflow.
-        bias = self.bias - max(0, float((np.abs(self.out).sum(axis=0) + self.bias).max()) - 60)
+        bias = self._safe_bias()
         for begin in range(0, len(ids), SCORE_BATCH):
             part = slice(begin, begin + SCORE_BATCH)
             logits = self.hidden(around[:, part]) @ self.out
@@ -148,44 +167,62 @@ class Network:
         return found
 
     def learn(self, around: np.ndarray, ids: np.ndarray) -> None:
-        """Adagrad steps over batches."""
+        """Adagrad steps over batches, each worked on in parts that fit the cache."""
         for begin in range(0, len(ids), BATCH):
-            part = slice(begin, begin + BATCH)
-            near, wanted = around[:, part], ids[part]
-            inner = self.hidden(near)
-            logits = inner @ self.out + self.bias
-            logits -= logits.max(axis=1, keepdims=True)
-            np.exp(logits, out=logits)
-            logits /= logits.sum(axis=1, keepdims=True)
-            logits[np.arange(len(wanted)), wanted] -= 1
-            logits /= len(wanted)
-            back = (logits @ self.out.T) * (1 - inner * inner)
-            # Each place adds to the embeddings of its neighbours.
-            spots = near[:, :, None] * HIDDEN + np.arange(HIDDEN)
-            sides = [
-                np.bincount(at.ravel(), back.ravel(), (OUTPUTS + 1) * HIDDEN).astype(np.float32)
-                for at in spots
-            ]
-            step = np.concatenate([
-                *sides, back.sum(axis=0), (inner.T @ logits).ravel(), logits.sum(axis=0),
-            ])
+            end = min(begin + BATCH, len(ids))
+            bias = self._safe_bias()
+            sides = np.zeros((len(SIDES), (OUTPUTS + 1) * HIDDEN))
+            inner_step = np.zeros(HIDDEN)
+            out_step, bias_step = np.zeros((HIDDEN, OUTPUTS)), np.zeros(OUTPUTS)
+            for low in range(begin, end, SCORE_BATCH):
+                part = slice(low, min(low + SCORE_BATCH, end))
+                near, wanted = around[:, part], ids[part]
+                inner = self.hidden(near)
+                error = inner @ self.out
+                error += bias
+                np.exp(error, out=error)
+                error *= (1 / (error @ _ONES))[:, None]
+                error[np.arange(len(wanted)), wanted] -= 1
+                back = (error @ self.out.T) * (1 - inner * inner)
+                # Each place adds to the embeddings of its neighbours.
+                spots = near[:, :, None] * HIDDEN + np.arange(HIDDEN)
+                for row, at in enumerate(spots):
+                    sides[row] += np.bincount(at.ravel(), back.ravel(), (OUTPUTS + 1) * HIDDEN)
+                inner_step += back.sum(axis=0)
+                out_step += inner.T @ error
+                bias_step += error.sum(axis=0)
+            step = np.concatenate([sides.ravel(), inner_step, out_step.ravel(), bias_step])
+            step = (step / (end - begin)).astype(np.float32)
             self.squares += step * step
             self.weights -= RATE * step / np.sqrt(self.squares)
 
 
-def _train_round(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, turn: int) -> np.ndarray:
-    """The average of the networks that the tasks train, weighted by their words."""
+def _fold(codes_hashes: np.ndarray, starts: np.ndarray, folds: int) -> np.ndarray:
+    """The fold of each place: by its word, its place in the text and the next word."""
+    n = len(codes_hashes)
+    place = (np.arange(n) - np.repeat(starts[:-1], np.diff(starts))).astype(np.uint64)
+    after = np.r_[codes_hashes[1:], codes_hashes[:1]]
+    return (mixed(mixed(codes_hashes + place) ^ after) % np.uint64(folds)).astype(np.int64)
+
+
+def _train_round(
+    docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, turn: int, folds: int
+) -> np.ndarray:
+    """The average of the networks that the tasks train, weighted by their words.
+
+    The places of the fold whose turn it is are masked.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.parts, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, start = shared.value
         words, network, trained = Vocabulary(*parts), Network(start.copy()), 0
-        draw = np.random.default_rng(turn)
         for batch in batches:
             for piece in pieces(batch):
                 found = Words(piece.column("text"))
-                ids = words.ids(found)[0][found.codes] if len(found.names) else np.empty(0, np.int64)
-                picked = np.flatnonzero(draw.random(len(ids)) < MASKED)
+                hashes = found.hashes()
+                ids = words.places(hashes)[found.codes]
+                picked = np.flatnonzero(_fold(hashes[found.codes], found.starts, folds) == turn % folds)
                 if len(picked):
                     network.learn(_windows(ids, found.starts)[:, picked], ids[picked])
                     trained += len(picked)
@@ -208,25 +245,52 @@ def _train_round(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, t
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
-    """(vocabulary, weights) from all documents; without words the weights stay as drawn."""
+    """(vocabulary, weights) from all places of all documents.
+
+    Without words the weights stay as drawn.
+    """
     vocabulary = corpus_vocabulary(docs)
     weights = Network().weights.astype(np.float64)
     # The output starts at the words' shares, so that training adds what neighbours tell.
     weights[-OUTPUTS:] = np.log(vocabulary.counts / vocabulary.counts.sum())
     for turn in range(rounds):
-        weights = _train_round(docs, vocabulary, weights, turn)
+        weights = _train_round(docs, vocabulary, weights, turn, min(rounds, FOLDS))
     return vocabulary, weights
 
 
-SCORED = "doc_id long, n_words long, log_probability double"
+def _rare_words(docs: DataFrame, shared) -> DataFrame:
+    """(key, hash, times): the words of each text that have no id of their own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Vocabulary(*shared.value[0])
+        for batch in batches:
+            for piece in pieces(batch):
+                found = Words(piece.column("text"))
+                hashes = found.hashes()
+                rare = (words.places(hashes) >= FREQUENT)[found.codes]
+                text = np.repeat(np.arange(len(found.counts)), found.counts)[rare]
+                pairs, times = np.unique(text * max(len(hashes), 1) + found.codes[rare], return_counts=True)
+                text, code = np.divmod(pairs, max(len(hashes), 1))
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("key").take(pa.array(text)), pa.array(hashes[code].view(np.int64)),
+                     pa.array(times.astype(np.int64))],
+                    names=["key", "hash", "times"],
+                )
+
+    return docs.select("key", "text").mapInArrow(run, "key long, hash long, times long")
+
+
+SCORED = "doc_id long, key long, n_words long, n_rare long, known double"
 
 
 def score(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray) -> DataFrame:
     """(doc_id, n_words, log_probability): natural logs summed over all words of a text.
 
     A null text, or one without words, has none and scores 0.  Repeated rows score alike.
+    The network and the classes are scored in tasks; the log-counts of words within their
+    classes come from the join with the corpus's words.
     """
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.parts, weights))
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, trained = shared.value
@@ -234,19 +298,28 @@ def score(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray) -> DataF
         for batch in batches:
             for piece in pieces(batch):
                 found = Words(piece.column("text"))
-                each = np.zeros(len(found.codes))
-                if len(found.names):
-                    ids, share = words.ids(found)
-                    ids, share = ids[found.codes], share[found.codes]
-                    each = network.log_probabilities(_windows(ids, found.starts), ids) + share
+                ids = words.places(found.hashes())[found.codes]
+                each = network.log_probabilities(_windows(ids, found.starts), ids) + words.class_shares(ids)
                 sums = np.r_[0.0, np.cumsum(each, dtype=np.float64)]
+                rare = np.r_[0, np.cumsum(ids >= FREQUENT)]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(found.counts.astype(np.int64)),
+                    [piece.column("doc_id"), piece.column("key"), pa.array(found.counts.astype(np.int64)),
+                     pa.array(rare[found.starts[1:]] - rare[found.starts[:-1]]),
                      pa.array(sums[found.starts[1:]] - sums[found.starts[:-1]])],
-                    names=["doc_id", "n_words", "log_probability"],
+                    names=["doc_id", "key", "n_words", "n_rare", "known"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCORED)
+    # A word met once has the log-count 0, as one never met.
+    again = vocabulary.table.filter("n > 1").select("hash", F.log("n").alias("log_n"))
+    counted = _rare_words(keyed, shared).join(again, "hash", "left").groupBy("key").agg(
+        F.sum(F.col("times") * F.coalesce("log_n", F.lit(0.0))).alias("within"),
+        F.sum("times").alias("times"),
+    )
+    # Rows of equal id and text are added up under one key: each has its part of the sum.
+    within = F.coalesce(F.col("within") * F.col("n_rare") / F.col("times"), F.lit(0.0))
+    return keyed.mapInArrow(run, SCORED).join(counted, "key", "left").select(
+        "doc_id", "n_words", (F.col("known") + within).alias("log_probability")
+    )
 
 
 def op6_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,6 +106,30 @@ def test_scores_are_sums_of_logs(spark):
     assert by_id and masked_lm.score(frame(spark, []), vocabulary, weights).count() == 0
 
 
+def test_every_word_has_its_own_count(spark):
+    names = [f"n{k}" for k in range(masked_lm.FREQUENT + 6 * masked_lm.CLASSES)]
+    lines = [(k, " ".join(names)) for k in range(6)] + [(9, " ".join(names[-40:-20] * 3 + names[-20:]))]
+    docs = spark.createDataFrame(lines, "doc_id long, text string")
+    vocabulary = masked_lm.corpus_vocabulary(docs)
+    w = Words(pa.array([lines[0][1] + " never met"]))
+    ids, share = vocabulary.ids(w)
+    count = {name: sum(t.split(" ").count(name) for _, t in lines) for name in w.names.to_pylist()}
+    total = np.bincount(ids, [count[n] for n in w.names.to_pylist()], masked_lm.OUTPUTS)
+    for name, k, s in zip(w.names.to_pylist(), ids, share):
+        expected = 0 if k < masked_lm.FREQUENT else np.log(max(count[name], 1) / (total[k] + 1))
+        assert abs(s - expected) < 1e-9, name
+
+
+def test_all_places_are_masked_over_the_rounds(monkeypatch, spark):
+    w = Words(pa.array(texts()))
+    folds = masked_lm._fold(w.hashes()[w.codes], w.starts, masked_lm.ROUNDS)
+    assert set(folds.tolist()) == set(range(masked_lm.ROUNDS))
+    turns = []
+    monkeypatch.setattr(masked_lm, "_train_round", lambda d, v, x, turn, n: turns.append(turn % n) or x)
+    masked_lm.train(frame(spark))
+    assert set(turns) == set(folds.tolist()) and masked_lm.FREQUENT > 256
+
+
 def test_model_of_nothing(spark):
     vocabulary, weights = masked_lm.train(frame(spark, []))
     assert np.isfinite(weights).all() and vocabulary.counts.sum() > 0
