@@ -2,10 +2,9 @@
 
 A sparse logistic regression over word n-grams tells licence families apart.  It is
 trained on variations of notice texts, on a bounded sample of corpus paragraphs as
-background, and its "unknown" verdict is calibrated on licences it was not shown.  Only
-n-grams with a word that the background lacks are features, so a paragraph without such
-a word has no feature at all and needs no scoring.  A family found is confirmed by the
-share of the paragraph's n-grams that the family's templates have.
+background, and its "unknown" verdict is calibrated on licences it was not shown.  All
+n-grams frequent in the notices are features, common words too, and every paragraph with
+a word pair among them is scored.
 """
 
 from __future__ import annotations
@@ -112,14 +111,15 @@ def paragraph_words(text: Column) -> Column:
     return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
-def _paragraph_grams(words: Column) -> Column:
-    def of(n: int) -> Column:
-        last = F.size(words) - n
-        return F.when(last >= 0, F.transform(
-            F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(words, i + 1, n), " ")
-        )).otherwise(F.array().cast("array<string>"))
+def _ngrams(words: Column, n: int) -> Column:
+    last = F.size(words) - n
+    return F.when(last >= 0, F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(words, i + 1, n), " ")
+    )).otherwise(F.array().cast("array<string>"))
+
 
-    return F.array_distinct(F.concat(*[of(n) for n in LENGTHS]))
+def _paragraph_grams(words: Column) -> Column:
+    return F.array_distinct(F.concat(*[_ngrams(words, n) for n in LENGTHS]))
 
 
 def _varied(text: str, draw: random.Random) -> list[str]:
@@ -130,37 +130,45 @@ def _varied(text: str, draw: random.Random) -> list[str]:
     return filler[:at] + words + filler[at:]
 
 
+def _set_among(text: str, others: list[str], draw: random.Random) -> list[str]:
+    """The words of a notice within the words of an ordinary paragraph."""
+    at = draw.randrange(len(others) + 1)
+    return others[:at] + _words(text) + others[at:]
+
+
 class Classifier:
     """Weights by n-gram, with intercepts, one column per family and one for none."""
 
     def __init__(self, background: list[list[str]]):
-        seen = {w for words in background for w in words}
         draw = random.Random(5)
+        among = [words for words in background if words] or [[]]
         rows = [(words, NONE) for words in background if words]
         held = []
         for number, family in enumerate(FAMILIES):
             for text in TEMPLATES[family]:
                 rows += [(_words(text), number)] * 5
                 rows += [(_varied(text, draw), number) for _ in range(VARIATIONS)]
+                rows += [(_set_among(text, draw.choice(among), draw), number) for _ in range(VARIATIONS)]
                 held += [_varied(text, draw) for _ in range(VARIATIONS // 2)]
         unseen = [_varied(t, draw) for t in UNSEEN for _ in range(VARIATIONS)]
-        counts = Counter(g for words, family in rows if family != NONE for g in _grams(words))
-        self.anchors = {
-            w for texts in TEMPLATES.values() for t in texts for w in _words(t) if w not in seen
-        }
-        kept = sorted(
-            g for g, n in counts.items() if n > 2 and any(w in self.anchors for w in g.split())
+        self.words = {w for texts in TEMPLATES.values() for t in texts for w in _words(t)}
+        counts = Counter(
+            g for words, family in rows if family != NONE for g in _grams(words)
+            if all(w in self.words for w in g.split(" "))
         )
+        kept = sorted(g for g, n in counts.items() if n > 2)
+        # A word triple that is a feature has pairs that are.
+        self.pairs = [g for g in kept if g.count(" ") == 1]
         self.index = {g: i for i, g in enumerate(kept)}
-        self.weights = np.zeros((len(kept), NONE + 1))
-        self.bias = np.zeros(NONE + 1)
+        self.weights = np.zeros((len(kept), NONE + 1), np.float32)
+        self.bias = np.zeros(NONE + 1, np.float32)
         self._fit(rows)
         self.least = self._calibrated(held, unseen)
         used = np.abs(self.weights).sum(axis=1) > 0
         self.index = {g: i for g, i in self.index.items() if used[i]}
 
     def _matrix(self, texts: list[list[str]]) -> np.ndarray:
-        out = np.zeros((len(texts), len(self.weights)))
+        out = np.zeros((len(texts), len(self.weights)), np.float32)
         for row, words in enumerate(texts):
             out[row, [self.index[g] for g in _grams(words) if g in self.index]] = 1
         return out
@@ -177,18 +185,18 @@ class Classifier:
             (tuple(sorted(self.index[g] for g in _grams(words) if g in self.index)), family)
             for words, family in rows
         )
-        x = np.zeros((len(counts), len(self.weights)))
+        x = np.zeros((len(counts), len(self.weights)), np.float32)
         for row, (features, _) in enumerate(counts):
             x[row, list(features)] = 1
         families = np.array([family for _, family in counts])
         number = np.array(list(counts.values()), float)
         y = np.eye(NONE + 1)[families]
         weight = 1 / np.maximum(np.bincount(families, number, NONE + 1), 1)
-        each = (number * (weight / weight.sum())[families])[:, None]
+        each = (number * (weight / weight.sum())[families])[:, None].astype(np.float32)
         squares = np.full_like(self.weights, 1e-4)
         bias_squares = np.full_like(self.bias, 1e-4)
         for _ in range(STEPS):
-            error = (self._probabilities(x) - y) * each
+            error = ((self._probabilities(x) - y) * each).astype(np.float32)
             step, bias_step = x.T @ error, error.sum(axis=0)
             squares += step**2
             bias_squares += bias_step**2
@@ -227,16 +235,20 @@ def background_sample(docs: DataFrame, number: int = BACKGROUND) -> list[list[st
 def scan_paragraphs(docs: DataFrame, model: Classifier) -> DataFrame:
     """(doc_id, text_hash, paragraph, family, probability, similarity, verdict).
 
-    A row for each paragraph (line) that has a licence word and is not judged ordinary.
+    A row for each paragraph (line) that has a word pair of the model and is not judged ordinary.
     ``verdict`` is the family when its probability is at least the calibrated one and the
     templates confirm it, else ``unknown``.
     """
     spark = docs.sparkSession
-    anchors = F.array(*[F.lit(w) for w in sorted(model.anchors)])
-    cut = docs.filter(F.arrays_overlap(paragraph_words(F.col("text")), anchors)).select(
+    cut = docs.select(
         "doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("paragraph", "line")
-    ).withColumn("words", paragraph_words(F.col("line")))
-    found = cut.filter(F.arrays_overlap("words", anchors)).distinct()
+    ).select("doc_id", "text_hash", "paragraph", paragraph_words(F.col("line")).alias("words"))
+    # Both words of a pair are words of notices; only then are pairs made and looked up.
+    own = F.filter("words", lambda w: w.isin(sorted(model.words)))
+    pairs = F.array(*[F.lit(g) for g in model.pairs])
+    found = cut.filter(F.size(own) > 1).filter(
+        F.arrays_overlap(_ngrams(F.col("words"), 2), pairs)
+    ).distinct()
     key = ["doc_id", "text_hash", "paragraph"]
     grams = found.select(*key, F.explode(_paragraph_grams(F.col("words"))).alias("gram"))
     # One row per feature of a model of fixed size.

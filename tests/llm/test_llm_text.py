@@ -64,6 +64,19 @@ def test_variations_held_out(model):
     assert right > 0.9
 
 
+def test_words_seen_in_the_background_lose_no_notice(spark):
+    plain = [f"plain{k} words{k} of the text{k} in a row{k}".split(" ") for k in range(200)]
+    seen = ["your driver s license and all public software with permission".split(" "),
+            "all of it is reserved for guests".split(" "), "the rights of a version".split(" ")]
+    model = licences.Classifier(plain + seen * 3)
+    data = [(k, f"plain text\n{t}", *rows()[0][2:]) for k, (t, _) in enumerate(NOTICES)]
+    data.append((50, "the rights of a version are reserved for all", *rows()[0][2:]))
+    found = {r.doc_id: r for r in licences.scan_licences(frame(spark, data), model).collect()}
+    for k, (text, family) in enumerate(NOTICES):
+        assert found[k].families == family, text
+    assert found[50].families == ""
+
+
 # --- language model ----------------------------------------------------------
 
 
