@@ -4,7 +4,9 @@ A sparse logistic regression over word n-grams tells licence families apart.  It
 trained on variations of notice texts, on a bounded sample of corpus paragraphs as
 background, and its "unknown" verdict is calibrated on licences it was not shown.  All
 n-grams frequent in the notices are features, common words too, and every paragraph with
-a word pair among them is scored.
+a word pair among them is scored.  A family found is confirmed if one of its notices
+stands in the paragraph for the most part, whatever text is around it, or if the
+paragraph is for the most part an excerpt of its notices.
 """
 
 from __future__ import annotations
@@ -100,6 +102,11 @@ def _grams(words: list[str]) -> set[str]:
     return {" ".join(words[i : i + n]) for n in LENGTHS for i in range(len(words) - n + 1)}
 
 
+def _long_grams(text: str) -> set[str]:
+    """The word pairs and triples of a notice."""
+    return {g for g in _grams(_words(text)) if " " in g}
+
+
 def _words(text: str) -> list[str]:
     out = "".join(c if c.isascii() and c.isalnum() or not c.isascii() else " " for c in text)
     return out.lower().split()
@@ -250,34 +257,44 @@ def scan_paragraphs(docs: DataFrame, model: Classifier) -> DataFrame:
         F.arrays_overlap(_ngrams(F.col("words"), 2), pairs)
     ).distinct()
     key = ["doc_id", "text_hash", "paragraph"]
-    grams = found.select(*key, F.explode(_paragraph_grams(F.col("words"))).alias("gram"))
-    # One row per feature of a model of fixed size.
+    grams = _paragraph_grams(F.col("words"))
+    longer = F.size(F.filter(grams, lambda g: F.contains(g, F.lit(" "))))
+    grams = found.select(*key, longer.alias("longer"), F.explode(grams).alias("gram"))
     columns = [f"w{k}" for k in range(NONE + 1)]
-    weights = spark.createDataFrame(
-        [(g, *map(float, model.weights[i])) for g, i in sorted(model.index.items())],
-        "gram string, " + ", ".join(f"{c} double" for c in columns),
-    )
-    templates = defaultdict(set)
-    for number, family in enumerate(FAMILIES):
-        for text in TEMPLATES[family]:
-            for gram in _grams(_words(text)):
-                templates[gram].add(number)
+    shares = [f"s{k}" for k in range(NONE)]
+    # The word pairs and triples of each notice, and the notices that have each.
+    notices = [(k, g) for k, f in enumerate(FAMILIES) for g in map(_long_grams, TEMPLATES[f])]
+    having = defaultdict(list)
+    for number, (_, longs) in enumerate(notices):
+        for gram in longs:
+            having[gram].append(number)
+
+    def family(k: int) -> Column:
+        return F.array(*[F.lit(i) for i, (f, _) in enumerate(notices) if f == k])
+
+    # One row per feature of a model of fixed size, or gram of a notice.
+    nothing = [0.0] * (NONE + 1)
     known = spark.createDataFrame(
-        [(g, sorted(f)) for g, f in sorted(templates.items())], "gram string, families array<int>"
+        [(g, *(map(float, model.weights[model.index[g]]) if g in model.index else nothing), having.get(g, []))
+         for g in sorted({*model.index, *having})],
+        "gram string, " + ", ".join(f"{c} double" for c in columns) + ", notices array<int>",
     )
-    scored = grams.join(F.broadcast(weights), "gram", "left").join(F.broadcast(known), "gram", "left")
-
-    def share(k: int) -> Column:
-        """Over word pairs and triples; a paragraph of one word has that word alone."""
-        in_template = F.coalesce(F.array_contains("families", k), F.lit(False)).cast("double")
-        longer = F.avg(F.when(F.contains("gram", F.lit(" ")), in_template))
-        return F.coalesce(longer, F.avg(in_template))
-
-    shares = [share(k).alias(f"s{k}") for k in range(NONE)]
+    scored = grams.join(F.broadcast(known), "gram")
     sums = scored.groupBy(*key).agg(
+        F.max("longer").alias("longer"),
+        *[F.count_if(F.array_contains("notices", i)).alias(f"n{i}") for i in range(len(notices))],
         *[(F.coalesce(F.sum(c), F.lit(0.0)) + float(b)).alias(c) for c, b in zip(columns, model.bias)],
-        *shares,
+        *[F.count_if(F.arrays_overlap("notices", family(k))).alias(f"in{k}") for k in range(NONE)],
     )
+
+    def share(k: int) -> Column:
+        """Of a notice's word pairs and triples those met, or of the paragraph's those in notices."""
+        whole = [
+            F.col(f"n{i}") / F.lit(len(longs)) for i, (f, longs) in enumerate(notices) if f == k
+        ]
+        return F.greatest(*whole, F.col(f"in{k}") / F.col("longer"))
+
+    sums = sums.select(*key, *columns, *[share(k).alias(s) for k, s in enumerate(shares)])
     top = F.greatest(*columns)
     total = sum((F.exp(F.col(c) - top) for c in columns), F.lit(0.0))
     best = F.array_max(F.array(*[

@@ -77,6 +77,14 @@ def test_words_seen_in_the_background_lose_no_notice(spark):
     assert found[50].families == ""
 
 
+def test_text_around_a_notice_does_not_void_it(spark, model):
+    around = " ".join(f"other{k}" for k in range(60))
+    data = [(k, f"{around} {t} {around}", *rows()[0][2:]) for k, (t, _) in enumerate(NOTICES)]
+    found = {r.doc_id: r for r in licences.scan_licences(frame(spark, data), model).collect()}
+    for k, (text, family) in enumerate(NOTICES):
+        assert found[k].families == family, text
+
+
 # --- language model ----------------------------------------------------------
 
 
