@@ -290,7 +290,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min(place).alias("first"), F.any_value("signature").alias("signature"),
              F.any_value("parity").alias("parity"))
         .select(
-            F.coalesce("first.doc_id", "first.text_hash").alias("cls"), "first.doc_id",
+            # Ids may be repeated with other texts; the set names its class.
+            F.xxhash64("set_a", "set_b", "n_shingles").alias("cls"), "first.doc_id",
             "first.text_hash", "set_a", "set_b", "n_shingles", "signature", "parity",
         ),
         "classes",
@@ -312,11 +313,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     return both.select(
         "doc_id", "text_hash", "n_shingles", F.col("first.doc_id").alias("component_id"),
-        F.col("first").eqNullSafe(place).alias("_own"),
-        (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-         & (F.col("doc_id").isNotNull() | (F.col("text_hash") == F.col("first.text_hash"))))
-        .alias("kept"),
-    ).drop("_own")
+        F.col("first").eqNullSafe(place).alias("kept"),
+    )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:

@@ -78,6 +78,16 @@ def test_odd_rows(spark):
     assert near_duplicates.drop_near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_one_id_with_several_texts(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    data = [(5, a), (5, b), (5, "b0x " + b), (7, a + " end"), (8, b + " end")]
+    found = near_duplicates.near_duplicates(
+        spark.createDataFrame(data, "doc_id long, text string")
+    ).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(5, 5), (7, 5), (8, 5)}
+    assert sum(r.kept for r in found) == 2
+
+
 def test_nothing_alike(spark):
     docs = frame(spark, [(k, f"a{k} b{k} c{k} d{k} e{k} f{k}", *rows()[0][2:]) for k in range(20)])
     assert near_duplicates.near_duplicates(docs).filter("kept").count() == 20
