@@ -96,18 +96,26 @@ SPANS = "array<struct<kind:string,start:int,end:int,score:double,value:string>>"
 def _spans(text: Column, kind: Kind) -> Column:
     """The confirmed matches of one kind, in order, as ``SPANS``.
 
-    Runs over pairs of a gap and the match after it; context is looked for in the last
-    ``CONTEXT_CHARS`` of the gap.
+    Runs over gaps, the match after each and the gap after that; context is looked for in
+    the ``CONTEXT_CHARS`` before a match, earlier matches included, and in as many of the
+    gap after it.
     """
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    paired = F.arrays_zip(F.split(text, kind.pattern).alias("gap"), found.alias("value"))
+    gaps = F.split(text, kind.pattern)
+    after = F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0)))
+    paired = F.arrays_zip(gaps.alias("gap"), found.alias("value"), after.alias("after"))
     empty = F.array().cast(SPANS)
-    nothing = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+    nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), empty.alias("spans"))
+
+    def last(part: Column) -> Column:
+        return F.substring(part, -CONTEXT_CHARS, CONTEXT_CHARS)
 
     def step(state: Column, pair: Column) -> Column:
         value = F.coalesce(pair["value"], F.lit(""))
         begin = state["at"] + F.length(pair["gap"])
-        near = F.substring(pair["gap"], -CONTEXT_CHARS, CONTEXT_CHARS).rlike(kind.context)
+        before = last(F.concat(state["tail"], last(pair["gap"])))
+        follows = F.substring(F.coalesce(pair["after"], F.lit("")), 1, CONTEXT_CHARS)
+        near = before.rlike(kind.context) | follows.rlike(kind.context)
         lifted, plain = round(kind.score + kind.lift, 6), kind.score
         span = F.struct(
             F.lit(kind.name).alias("kind"), begin.alias("start"),
@@ -119,7 +127,8 @@ def _spans(text: Column, kind: Kind) -> Column:
         if kind in MORE_KINDS:
             holds = holds & (span["score"] >= SCORE)
         spans = F.when(holds, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct((begin + F.length(value)).alias("at"), spans.alias("spans"))
+        tail = last(F.concat(before, last(value)))
+        return F.struct((begin + F.length(value)).alias("at"), tail.alias("tail"), spans.alias("spans"))
 
     every = F.aggregate(paired, nothing, step, lambda state: state["spans"])
     proposed = text.rlike(kind.pattern)

@@ -234,3 +234,11 @@ def test_method_adds_confirmed_spans(spark):
     assert more[17] == ["local"] and more[18] == []
     email = [s for s in found[13] if s.kind == "email"][0]
     assert email.score == 1.0 and email.value == "a@b.co"
+
+
+def test_context_after_a_match_and_before_the_last_one(spark):
+    asked = ["555 123-4567 (phone)", "tel 030 123-4567 or 030 123-4568", "030 123-4567" + " x" * 30 + " phone"]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id int, text string")
+    found = {r.doc_id: [(s.kind, s.value) for s in r.spans if s.kind == "local"]
+             for r in personal_data.find_personal_data(docs).collect()}
+    assert [len(found[k]) for k in range(3)] == [1, 2, 0]
