@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caderneta.llm.tables import load
+from caderneta.llm.tables import load, settled, small_table, stored
 
 # Short notices by which works are put under well-known licences.
 TEMPLATES = {
@@ -121,7 +121,7 @@ def paragraph_words(text: Column) -> Column:
 def _ngrams(words: Column, n: int) -> Column:
     last = F.size(words) - n
     return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(words, i + 1, n), " ")
+        F.sequence(F.lit(0), last), lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)])
     )).otherwise(F.array().cast("array<string>"))
 
 
@@ -249,52 +249,55 @@ def scan_paragraphs(docs: DataFrame, model: Classifier) -> DataFrame:
     spark = docs.sparkSession
     cut = docs.select(
         "doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("paragraph", "line")
-    ).select("doc_id", "text_hash", "paragraph", paragraph_words(F.col("line")).alias("words"))
+    ).withColumn("words", paragraph_words(F.col("line")))
+    cut = settled(cut, "doc_id", "text_hash", "paragraph", values=["words"])
     # Both words of a pair are words of notices; only then are pairs made and looked up.
     own = F.filter("words", lambda w: w.isin(sorted(model.words)))
-    pairs = F.array(*[F.lit(g) for g in model.pairs])
     found = cut.filter(F.size(own) > 1).filter(
-        F.arrays_overlap(_ngrams(F.col("words"), 2), pairs)
-    ).distinct()
-    key = ["doc_id", "text_hash", "paragraph"]
-    grams = _paragraph_grams(F.col("words"))
-    longer = F.size(F.filter(grams, lambda g: F.contains(g, F.lit(" "))))
-    grams = found.select(*key, longer.alias("longer"), F.explode(grams).alias("gram"))
+        F.exists(_ngrams(F.col("words"), 2), lambda g: g.isin(model.pairs))
+    )
+    # Paragraphs of equal words are scored once: only their hashes are kept for each place.
+    key = ["words_a", "words_b"]
+    found = found.withColumns({"words_a": F.xxhash64("words"), "words_b": F.xxhash64(F.lit(1), "words")})
+    found = stored(found, "paragraphs")
+    texts = found.groupBy(*key).agg(F.any_value("words").alias("words"))
+    grams = settled(texts.withColumn("grams", _paragraph_grams(F.col("words"))), *key, "words", values=["grams"])
+    longer = (F.size("grams") - F.size(F.array_distinct("words"))).alias("longer")
+    grams = settled(grams, *key, "grams", values=[longer])
+    grams = grams.select(*key, "longer", F.explode("grams").alias("gram"))
     columns = [f"w{k}" for k in range(NONE + 1)]
     shares = [f"s{k}" for k in range(NONE)]
-    # The word pairs and triples of each notice, and the notices that have each.
+    # Marks: the notices, each with the size of its word pairs and triples, then the families.
     notices = [(k, g) for k, f in enumerate(FAMILIES) for g in map(_long_grams, TEMPLATES[f])]
-    having = defaultdict(list)
-    for number, (_, longs) in enumerate(notices):
+    having = defaultdict(set)
+    for number, (family, longs) in enumerate(notices):
         for gram in longs:
-            having[gram].append(number)
-
-    def family(k: int) -> Column:
-        return F.array(*[F.lit(i) for i, (f, _) in enumerate(notices) if f == k])
-
+            having[gram] |= {number, len(notices) + family}
+    marks = small_table(
+        spark, [(n, f, len(longs)) for n, (f, longs) in enumerate(notices)]
+        + [(len(notices) + f, f, None) for f in range(NONE)],
+        "mark int, family int, size int",
+    )
     # One row per feature of a model of fixed size, or gram of a notice.
     nothing = [0.0] * (NONE + 1)
-    known = spark.createDataFrame(
-        [(g, *(map(float, model.weights[model.index[g]]) if g in model.index else nothing), having.get(g, []))
+    known = small_table(
+        spark, [(g, *(map(float, model.weights[model.index[g]]) if g in model.index else nothing), sorted(having.get(g, ())))
          for g in sorted({*model.index, *having})],
-        "gram string, " + ", ".join(f"{c} double" for c in columns) + ", notices array<int>",
+        "gram string, " + ", ".join(f"{c} double" for c in columns) + ", marks array<int>",
     )
     scored = grams.join(F.broadcast(known), "gram")
     sums = scored.groupBy(*key).agg(
-        F.max("longer").alias("longer"),
-        *[F.count_if(F.array_contains("notices", i)).alias(f"n{i}") for i in range(len(notices))],
-        *[(F.coalesce(F.sum(c), F.lit(0.0)) + float(b)).alias(c) for c, b in zip(columns, model.bias)],
-        *[F.count_if(F.arrays_overlap("notices", family(k))).alias(f"in{k}") for k in range(NONE)],
+        *[(F.sum(c) + float(b)).alias(c) for c, b in zip(columns, model.bias)]
     )
-
-    def share(k: int) -> Column:
-        """Of a notice's word pairs and triples those met, or of the paragraph's those in notices."""
-        whole = [
-            F.col(f"n{i}") / F.lit(len(longs)) for i, (f, longs) in enumerate(notices) if f == k
-        ]
-        return F.greatest(*whole, F.col(f"in{k}") / F.col("longer"))
-
-    sums = sums.select(*key, *columns, *[share(k).alias(s) for k, s in enumerate(shares)])
+    # Of a notice's word pairs and triples those met, or of the paragraph's those in a family's notices.
+    met = scored.select(*key, "longer", F.explode("marks").alias("mark")).groupBy(*key, "mark").agg(
+        F.count(F.lit(1)).alias("n"), F.max("longer").alias("longer")
+    ).join(F.broadcast(marks), "mark")
+    share = F.col("n") / F.coalesce("size", "longer")
+    met = met.groupBy(*key).agg(
+        *[F.max(F.when(F.col("family") == k, share)).alias(s) for k, s in enumerate(shares)]
+    )
+    sums = sums.join(met, key, "left").fillna(0.0, shares)
     top = F.greatest(*columns)
     total = sum((F.exp(F.col(c) - top) for c in columns), F.lit(0.0))
     best = F.array_max(F.array(*[
@@ -306,11 +309,13 @@ def scan_paragraphs(docs: DataFrame, model: Classifier) -> DataFrame:
     }).filter("none < 0.5")
     probability = F.exp(F.col("best.w") - F.col("top")) / F.col("total")
     sure = (probability >= model.least) & (F.col("best.s") >= CONFIRMED)
-    return judged.select(
+    verdicts = judged.select(
         *key, F.col("best.family").alias("family"), probability.alias("probability"),
         F.col("best.s").alias("similarity"),
         F.when(sure, F.col("best.family")).otherwise("unknown").alias("verdict"),
     )
+    places = found.select("doc_id", "text_hash", "paragraph", *key).distinct()
+    return places.join(verdicts, key).drop(*key)
 
 
 def scan_licences(docs: DataFrame, model: Classifier | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caderneta.llm.tables import WORD, load, stored, words
+from caderneta.llm.tables import WORD, load, settled, stored, words
 
 WINDOW = 5
 LEAST_WORDS = 10
@@ -290,12 +290,14 @@ def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that ``judge_quality`` keeps, columns as they come.
 
-    Texts are counted twice, for learning and for judging, rather than stored or shuffled.
+    Texts are counted twice, for learning and for judging, rather than stored or shuffled;
+    the second time only into what the rules test.
     """
-    rule = verdict(_rules_for(_counted(docs), labels))
+    rules = _rules_for(_counted(docs), labels)
+    tested = {"n_words", "n_repeat_words", *(c.feature for rule in rules for c in rule)}
     rows = docs.select(F.struct("*").alias("row"))
-    counted = with_features(text_counts(rows, "row.text"))
-    return counted.filter(~base_failed() & rule.isNull()).select("row.*")
+    counted = settled(with_features(text_counts(rows, "row.text")), "row", values=sorted(tested))
+    return counted.filter(~base_failed() & verdict(rules).isNull()).select("row.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

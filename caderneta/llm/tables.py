@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,28 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, *keys: Column | str, values: list[Column | str]) -> DataFrame:
+    """``keys`` and ``values`` of ``df``, with each value computed once a row.
+
+    Spark moves a filter below the projections it reads and writes their expressions out
+    at every use, so that one on a split text splits it again for each array element.  It
+    moves none below a generator that makes the column.
+    """
+    return df.select(*keys, F.inline(F.array(F.struct(*values))))
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of bounded size from the driver, as one literal that Spark itself reads.
+
+    ``schema`` names its columns as ``name type, ...``; floats keep all their digits.
+    """
+    names = [column.split()[0] for column in schema.split(", ")]
+    listed = json.dumps([dict(zip(names, row)) for row in rows], ensure_ascii=False)
+    typed = ", ".join(": ".join(column.split(" ", 1)) for column in schema.split(", "))
+    one = spark.range(1).select(F.from_json(F.lit(listed), f"array<struct<{typed}>>").alias("rows"))
+    return one.select(F.inline("rows"))
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished jobs.
 
