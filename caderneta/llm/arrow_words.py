@@ -12,12 +12,12 @@ import pyarrow.compute as pc
 PIECE_BYTES = 2 << 20
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text: str = "text", size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch, so that working memory does not follow the batch's size."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    piece = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
+    piece = np.cumsum(sizes, dtype=np.int64) // size
     starts = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
     for begin, end in zip(starts, np.r_[starts[1:], batch.num_rows]):
         yield batch.slice(begin, end - begin)
@@ -51,23 +51,28 @@ class Words:
         self.starts = np.r_[0, np.cumsum(counts)]
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each different word: random numbers for its bytes at their places."""
-        n = len(self.names)
-        if not n:
-            return np.empty(0, np.uint64)
-        offsets = np.frombuffer(self.names.buffers()[1], np.int32)
-        offsets = offsets[self.names.offset : self.names.offset + n + 1].astype(np.int64)
-        data = np.frombuffer(self.names.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        size = np.diff(offsets)
-        place = np.arange(len(data)) - np.repeat(offsets[:-1] - offsets[0], size)
-        drawn = _DRAWN[((place & 63) << 8) | data]
-        if size.max(initial=0) > 64:  # later stretches of long words count differently
-            far = np.flatnonzero(place > 63)
-            drawn[far] *= mixed((place[far] >> 6).astype(np.uint64)) | np.uint64(1)
-        sums = np.zeros(n, np.uint64)
-        full = np.flatnonzero(size)
-        sums[full] = np.add.reduceat(drawn, (offsets[:-1] - offsets[0])[full])
-        return mixed(sums + size.astype(np.uint64))
+        """A 64-bit hash of each different word."""
+        return hashed(self.names)
+
+
+def hashed(names: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each text: random numbers for its bytes at their places."""
+    n = len(names)
+    if not n:
+        return np.empty(0, np.uint64)
+    offsets = np.frombuffer(names.buffers()[1], np.int32)
+    offsets = offsets[names.offset : names.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(names.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    size = np.diff(offsets)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1] - offsets[0], size)
+    drawn = _DRAWN[((place & 63) << 8) | data]
+    if size.max(initial=0) > 64:  # later stretches of long words count differently
+        far = np.flatnonzero(place > 63)
+        drawn[far] *= mixed((place[far] >> 6).astype(np.uint64)) | np.uint64(1)
+    sums = np.zeros(n, np.uint64)
+    full = np.flatnonzero(size)
+    sums[full] = np.add.reduceat(drawn, (offsets[:-1] - offsets[0])[full])
+    return mixed(sums + size.astype(np.uint64))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
