@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("sharding", "mixing", "quality_rules", "personal_data", "near_duplicates", "bpe", "line_dedup", "fingerprints", "masked_lm",
-           "licences", "variants", "chat")
+           "licences", "variants", "chat", "collocations")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
