@@ -14,6 +14,7 @@ each other, so a large family of variants does not meet in all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,16 +25,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from caderneta.llm.arrow_words import Words, mixed, pieces
-from caderneta.llm.tables import load, packed, release, row_key, stored
+from caderneta.llm.tables import discard, load, packed, release, row_key, stored
 
 SIMILAR = 80
 # Every line with a word takes part; one without has an empty set, which is like no other.
 LEAST_WORDS = 1
 # Up to so many words, a set is similar to none but its equals, which are folded before any join.
 ONLY_EQUAL = (SIMILAR - 1) // (100 - SIMILAR)
-CELLS = 1 << 22
+CELLS = 1 << 24
 STAR_WORDS = 2
-FILTER_BITS = 1 << 24
+# Words from so many occurrences on are many lines' words for certain, and their lists are split.
+COMMON = 1 << 12
+SALTS = 16
+LEAST_FILTER, MOST_FILTER = 1 << 20, 1 << 28
 
 
 def _lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -90,12 +94,12 @@ def cells(hashes: np.ndarray) -> np.ndarray:
 
 
 def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(CELLS, np.int64)
+    total = np.zeros(CELLS, np.int32)
     for batch in batches:
         for piece in pieces(batch):
             words = Words(piece.column("text"))
             counts = np.bincount(words.codes, minlength=len(words.names))
-            np.add.at(total, cells(words.hashes()), counts)
+            np.add.at(total, cells(words.hashes()), counts.astype(np.int32))
     used = np.flatnonzero(total)
     for begin in range(0, len(used), 1 << 16):
         part = used[begin : begin + (1 << 16)]
@@ -104,22 +108,26 @@ def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def rank_of(n: int) -> int:
+    return min(1 + math.floor(8 * math.log2(n)), 255)
+
+
 def word_rarity(docs: DataFrame) -> np.ndarray:
     """One byte per cell: eight steps for each doubling of its count; 1 is a single word.
 
     Counts cover all words of all documents; at most ``CELLS`` rows reach the driver.
     """
-    counted = docs.select("text").mapInArrow(_cell_counts, "cell int, n long")
-    table = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counted = docs.select("text").mapInArrow(_cell_counts, "cell int, n int").groupBy("cell")
+    rank = F.least(1 + F.floor(8 * F.log2("n")), F.lit(255)).cast("short")
+    table = counted.agg(F.sum("n").alias("n")).select("cell", rank.alias("rank")).toArrow()
     rarity = np.zeros(CELLS, np.uint8)
-    steps = 1 + np.floor(8 * np.log2(table.column("n").to_numpy()))
-    rarity[table.column("cell").to_numpy()] = np.minimum(steps, 255)
+    rarity[table.column("cell").to_numpy()] = table.column("rank").to_numpy().astype(np.uint8)
     return rarity
 
 
 LINE = (
     "doc_id long, text_hash long, line int, set_a long, set_b long, n int, bits long, "
-    "skipped int, prefix array<int>"
+    "skipped int, common int, prefix array<int>"
 )
 
 
@@ -140,6 +148,7 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
                 again = first & (sets.ranks > 1)
                 line = np.repeat(np.arange(len(sets.sizes)), sets.sizes)
                 taken = np.bincount(line[again], minlength=len(sets.sizes))
+                common = np.bincount(line[again & (sets.ranks >= rank_of(COMMON))], minlength=len(sets.sizes))
                 ends = np.r_[0, np.cumsum(taken)].astype(np.int32)
                 words = (sets.values[again] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 owner = pa.array(sets.owner)
@@ -148,73 +157,101 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
                         piece.column("doc_id").take(owner), piece.column("text_hash").take(owner),
                         pa.array(sets.number.astype(np.int32)), pa.array(a), pa.array(b),
                         pa.array(sets.sizes.astype(np.int32)), pa.array(bits),
-                        pa.array((reach - taken).astype(np.int32)),
+                        pa.array((reach - taken).astype(np.int32)), pa.array(common.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(words)),
                     ],
                     names=["doc_id", "text_hash", "line", "set_a", "set_b", "n", "bits",
-                           "skipped", "prefix"],
+                           "skipped", "common", "prefix"],
                 )
 
     return docs.mapInArrow(run, LINE)
 
 
-PLACES = 1 << 20  # in a packed number, the place in the line and above it the line's size
-
-
 def _may_match(x: str, y: str) -> Column:
     """Length, positional and parity filters on two rows that share a prefix word."""
-    def size(side: str) -> Column:
-        return F.shiftright(F.col(f"{side}.packed"), 20)
+    def of(name: str) -> tuple[Column, Column]:
+        return F.col(f"{x}.{name}").cast("long"), F.col(f"{y}.{name}").cast("long")
 
-    def at(side: str) -> Column:
-        return F.col(f"{side}.packed").bitwiseAND(PLACES - 1)
-
-    total = size(x) + size(y)
-    most = F.least(at(x), at(y)) + F.least(size(x) - at(x), size(y) - at(y))
-    lengths = 100 * F.least(size(x), size(y)) >= SIMILAR * F.greatest(size(x), size(y))
+    (n, m), (i, j) = of("n"), of("at")
+    most = F.least(i, j) + F.least(n - i, m - j)
+    lengths = 100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)
     differing = F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits")))
     return (
-        lengths & ((100 + SIMILAR) * most >= SIMILAR * total)
-        & ((100 + SIMILAR) * differing <= (100 - SIMILAR) * total)
+        lengths & ((100 + SIMILAR) * most >= SIMILAR * (n + m))
+        & ((100 + SIMILAR) * differing <= (100 - SIMILAR) * (n + m))
     )
 
 
 def _posted(rows: DataFrame, prefix: Column, *more: str) -> DataFrame:
-    """(word, cls, packed, bits) for each word of ``prefix``."""
+    """(word, cls, n, at, bits) for each word of ``prefix``, ``at`` its place in the line's order."""
     each = rows.select("cls", "n", "bits", "skipped", *more, F.posexplode(prefix).alias("i", "word"))
-    packed = F.shiftleft(F.col("n").cast("long"), 20) + F.col("skipped") + F.col("i")
-    return each.select("word", "cls", packed.alias("packed"), "bits", *more)
+    return each.select("word", "cls", "n", (F.col("skipped") + F.col("i")).alias("at"), "bits", *more, "i")
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """Pairs of classes, not both ``done``, that pass the filters on a shared prefix word.
+def _candidates(classes: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs of classes, not both ``done``, that pass the filters on a shared prefix word, stored.
 
     The larger line looks with its whole prefix; the smaller is filed under the shorter
-    one that suffices for a partner of at least its size.
+    one that suffices for a partner of at least its size.  Words of one class only go in one
+    shuffle before the join.  A common word may be that of any share of the classes: it
+    skips that step, and its lookers are dealt over several tasks that all get the filed.
     """
     share = 2 * SIMILAR  # of 100 + SIMILAR: the least common part of two lines of one size
-    filed = F.col("n") - F.ceil(share * F.col("n") / (100 + SIMILAR)) + 1 - F.col("skipped")
-    x = _posted(classes, F.col("prefix"), "done").alias("x")
-    y = _posted(
-        classes, F.slice("prefix", F.lit(1), F.greatest(filed, F.lit(0)).cast("int")), "done"
-    ).alias("y")
-    sizes = F.shiftright("x.packed", 20) - F.shiftright("y.packed", 20)
+    filed = F.col("n") - F.ceil(share * F.col("n") / (100 + SIMILAR)) + 1
+    many = (F.col("i") >= F.size("prefix") - F.col("common")).alias("many")
+    whole = classes.select("cls", "n", "bits", "skipped", "common", "prefix")
+    posted = _posted(whole, F.col("prefix"), "common", "prefix").select(
+        "word", "cls", "n", "at", "bits", (F.col("at") < filed).alias("filed"), many
+    )
+    of_word = Window.partitionBy("word")
+    rare = posted.filter(~F.col("many")).withColumns({
+        "least": F.min("cls").over(of_word), "most": F.max("cls").over(of_word),
+    }).filter("least < most").drop("least", "most")
+    rows = rare.unionByName(posted.filter("many")).join(
+        done.withColumn("done", F.lit(1)), "cls", "left"
+    ).fillna(0, ["done"])
+    rows = stored(rows, "posted")
+    salts = F.when(F.col("many"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    own = F.when(F.col("many"), F.pmod(F.col("cls"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    x = rows.withColumn("salt", own).alias("x")
+    y = rows.filter("filed").withColumn("salt", F.explode(salts)).alias("y")
     met = x.join(
         y,
-        (F.col("x.word") == F.col("y.word"))
-        & ((sizes > 0) | ((sizes == 0) & (F.col("x.cls") < F.col("y.cls"))))
+        (F.col("x.word") == F.col("y.word")) & (F.col("x.salt") == F.col("y.salt"))
+        & ((F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls"))))
         & (F.col("x.done") + F.col("y.done") < 2) & _may_match("x", "y"),
     )
+    pairs = stored(met.select(*_pair("x.cls", "y.cls")).distinct(), "pairs")
+    discard(rows)
+    release(classes.sparkSession)
+    return pairs
+
+
+def _star_pairs(classes: DataFrame) -> DataFrame:
+    """Each class with the earliest class of each of its rarest words, if they may match."""
+    early = classes.withColumns({
+        "doc": F.coalesce("first.doc_id", F.lit(2**63 - 1)), "line": F.col("first.line"),
+    })
+    stars = _posted(early, F.slice("prefix", 1, STAR_WORDS), "doc", "line").drop("i")
+    # The least row of a word is found in map tasks first, so a common word gathers nowhere.
+    order = F.struct("doc", "line", "cls", "n", "at", "bits")
+    first = stars.groupBy("word").agg(F.min(order).alias("y"))
+    x, y = stars.alias("x"), first.select("word", "y.cls", "y.n", "y.at", "y.bits").alias("y")
+    met = x.join(y, "word").filter((F.col("x.cls") != F.col("y.cls")) & _may_match("x", "y"))
     return met.select(*_pair("x.cls", "y.cls")).distinct()
 
 
 def _word_filter(wanted: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size over ``cls``: 64-bit words, at most FILTER_BITS / 64 rows."""
-    bit = F.pmod("cls", F.lit(FILTER_BITS))
-    rows = wanted.groupBy(F.shiftright(bit, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(cls, {FILTER_BITS}) % 64 AS INT))")).alias("bits")
+    """A Bloom filter over ``cls``: 64-bit words, two bytes for each class up to 32 MB in all."""
+    size = LEAST_FILTER
+    number = wanted.count()
+    while size < min(16 * number, MOST_FILTER):
+        size *= 2
+    bit = F.pmod("cls", F.lit(size))
+    rows = wanted.groupBy(F.shiftright(bit, 6).cast("int").alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(cls, {size}) % 64 AS INT))")).alias("bits")
     ).toArrow()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits = np.zeros(size // 64, np.int64)
     bits[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
     return bits.view(np.uint64)
 
@@ -229,7 +266,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for piece in pieces(batch):
                 sets = LineSets(piece.column("text"))
                 a, _, _ = sets.set_hashes()
-                bit = a.view(np.uint64) % np.uint64(FILTER_BITS)
+                bit = a.view(np.uint64) % np.uint64(64 * len(bits))
                 hit = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
                 lines = np.flatnonzero(hit)
                 _, once = np.unique(a[lines], return_index=True)
@@ -248,17 +285,20 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _gone(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The later class (cls) of each pair (a, b) whose whole sets are similar."""
+    """The later class (cls) of each pair (a, b) whose whole sets are similar, stored."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     firsts = stored(classes.select("cls", "first").join(wanted, "cls"), "firsts")
-    sets = stored(_whole_sets(docs, firsts).join(firsts, "cls"), "sets")
+    sets = stored(_whole_sets(docs, firsts.select("cls")).join(firsts, "cls"), "sets")
     a = sets.select(F.col("cls").alias("a"), F.col("words").alias("xa"), F.col("first").alias("fa"))
     b = sets.select(F.col("cls").alias("b"), F.col("words").alias("xb"), F.col("first").alias("fb"))
     both = pairs.join(a, "a").join(b, "b").withColumn("shared", F.size(F.array_intersect("xa", "xb")))
     union = F.size("xa") + F.size("xb") - F.col("shared")
     later = F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a"))
     similar = both.filter(100 * F.col("shared") >= SIMILAR * union)
-    return similar.select(later.alias("cls")).distinct()
+    gone = stored(similar.select(later.alias("cls")).distinct(), "gone")
+    discard(firsts, sets)
+    release(docs.sparkSession)
+    return gone
 
 
 def _pair(x: str, y: str) -> list[Column]:
@@ -280,26 +320,17 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         lines.groupBy("set_a", "set_b").agg(
             F.min(place).alias("first"), F.any_value("n").alias("n"),
             F.any_value("bits").alias("bits"), F.any_value("skipped").alias("skipped"),
-            F.any_value("prefix").alias("prefix"),
+            F.any_value("common").alias("common"), F.any_value("prefix").alias("prefix"),
         ).withColumnRenamed("set_a", "cls"),
         "classes",
     )
     release(docs.sparkSession)
-    early = classes.withColumns({
-        "doc": F.coalesce("first.doc_id", F.lit(2**63 - 1)), "at": F.col("first.line"),
-    })
-    stars = _posted(early, F.slice("prefix", 1, STAR_WORDS), "doc", "at")
-    earliest = Window.partitionBy("word").orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, 0)
-    line = F.struct("cls", "packed", "bits")
-    met = stars.select(line.alias("x"), F.first(line).over(earliest).alias("y"))
-    close = met.filter((F.col("x.cls") != F.col("y.cls")) & _may_match("x", "y"))
-    star_pairs = stored(close.select(*_pair("x.cls", "y.cls")).distinct(), "pairs")
-    done = stored(_gone(keyed, classes, star_pairs), "done")
-    release(docs.sparkSession)
-    flagged = classes.join(done.withColumn("done", F.lit(1)), "cls", "left").fillna(0, ["done"])
-    pairs = stored(_candidates(stored(flagged, "flagged")), "pairs")
-    release(docs.sparkSession)
+    star_pairs = stored(_star_pairs(classes), "pairs")
+    done = _gone(keyed, classes, star_pairs)
+    discard(star_pairs)
+    pairs = _candidates(classes, done)
     matched = done.unionByName(_gone(keyed, classes, pairs)).distinct().withColumn("matched", F.lit(True))
+    discard(pairs)
 
     known = classes.select(F.col("cls").alias("set_a"), "set_b", "first", F.col("cls"))
     known = known.join(matched, "cls", "left").drop("cls")

@@ -28,7 +28,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.stored_at = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of stored tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settled(df: DataFrame, *keys: Column | str, values: list[Column | str]) -> DataFrame:
