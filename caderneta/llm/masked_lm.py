@@ -6,10 +6,14 @@ each given both sides.  The network speaks of 1,024 frequent words and 64 classe
 share out all other words by hash; a class word's probability within its class is its own
 count, from a table of all words of the corpus that grows with it and is joined by word.
 
+The output has two levels: the probability of a word's group, and of the word within it.
+Both are exact, and a place costs two small softmaxes instead of one over all words.
+
 Training masks a part of the places of every document in each round, so that all places
-are masked over the rounds.  Each task trains on its own documents with numpy, the weights
-are averaged by trained words in a distributed sum, and the next round starts from the
-average.
+are masked over the rounds.  Documents are dealt to shards by their hash, as many as the
+number of words of the corpus asks for, so results do not depend on how its files are cut.
+Each shard trains with numpy on its own documents, the weights are averaged by trained words
+in a distributed sum, and the next round starts from the average.
 """
 
 from __future__ import annotations
@@ -18,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caderneta.llm.arrow_words import Words, mixed, pieces
-from caderneta.llm.tables import load, stored
+from caderneta.llm.tables import discard, load, release, stored
 
 FREQUENT = 1024
 CLASSES = 64
@@ -30,15 +35,21 @@ OUTPUTS = FREQUENT + CLASSES
 EDGE = OUTPUTS  # what lies beyond a text
 SIDES = (-2, -1, 1, 2)
 HIDDEN = 16
+GROUPS = 32  # of outputs, dealt by frequency
+WIDTH = OUTPUTS // GROUPS
 ROUNDS = 2
 FOLDS = 6  # the parts of the places that take turns in being masked, if there are as many rounds
 BATCH = 2048
-SCORE_BATCH = 256
+SCORE_BATCH = 8192
 RATE = 0.1
-PART = 1024  # weights per row of the distributed average
-
-_SHAPES = [(len(SIDES), OUTPUTS + 1, HIDDEN), (HIDDEN,), (HIDDEN, OUTPUTS), (OUTPUTS,)]
-_ONES = np.ones(OUTPUTS, np.float32)
+SHARD_WORDS = 4_000_000  # words of the corpus for each shard
+PART = 1 << 14  # rows of a batch of weights
+STEPS = 1 << 20  # a weight's unit in the average, which adds whole numbers and so in any order
+
+_SHAPES = [
+    (len(SIDES), OUTPUTS + 1, HIDDEN), (HIDDEN,), (HIDDEN, GROUPS), (GROUPS,),
+    (GROUPS, HIDDEN, WIDTH), (GROUPS, WIDTH),
+]
 _SIZES = [int(np.prod(shape)) for shape in _SHAPES]
 
 
@@ -127,76 +138,101 @@ def _windows(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class Network:
-    """Neighbour embeddings summed into a tanh layer, then a softmax over the outputs."""
+    """Neighbour embeddings summed into a tanh layer, then a softmax over groups and one within.
+
+    Output ``k`` is number ``k // GROUPS`` of group ``k % GROUPS``.
+    """
 
     def __init__(self, weights: np.ndarray | None = None):
         if weights is None:
             draw = np.random.default_rng(7)
             weights = np.concatenate([
-                draw.normal(0, 0.1, _SIZES[0]), np.zeros(_SIZES[1]),
-                draw.normal(0, 0.1, _SIZES[2]), np.zeros(_SIZES[3]),
+                draw.normal(0, 0.1, size) if len(shape) > 1 and shape != _SHAPES[-1] else np.zeros(size)
+                for shape, size in zip(_SHAPES, _SIZES)
             ])
         self.weights = weights.astype(np.float32)
-        cuts = np.cumsum(_SIZES)[:-1]
-        self.sides, self.inner, self.out, self.bias = (
-            part.reshape(shape) for part, shape in zip(np.split(self.weights, cuts), _SHAPES)
+        parts = np.split(self.weights, np.cumsum(_SIZES)[:-1])
+        self.sides, self.inner, self.heads, self.head_bias, self.out, self.bias = (
+            part.reshape(shape) for part, shape in zip(parts, _SHAPES)
         )
         self.squares = np.full(len(self.weights), 1e-3, np.float32)
 
+    def start_from(self, counts: np.ndarray) -> None:
+        """Biases by the outputs' shares, so that training adds what neighbours tell."""
+        shares = (counts / counts.sum()).reshape(WIDTH, GROUPS).T
+        self.head_bias[:] = np.log(shares.sum(axis=1))
+        self.bias[:] = np.log(shares / shares.sum(axis=1, keepdims=True))
+
     def hidden(self, around: np.ndarray) -> np.ndarray:
         total = self.inner + self.sides[0, around[0]]
         for row in range(1, len(SIDES)):
             total += self.sides[row, around[row]]
         return np.tanh(total)
 
-    def _safe_bias(self) -> np.ndarray:
-        # The hidden layer lies in -1 to 1, so no logit is above this: exp cannot overflow.
-        return self.bias - max(0, float((np.abs(self.out).sum(axis=0) + self.bias).max()) - 60)
-
     def log_probabilities(self, around: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The log-probability of each id between its neighbours."""
         found = np.empty(len(ids), np.float32)
-        bias = self._safe_bias()
         for begin in range(0, len(ids), SCORE_BATCH):
             part = slice(begin, begin + SCORE_BATCH)
-            logits = self.hidden(around[:, part]) @ self.out
-            logits += bias
-            chosen = logits[np.arange(len(logits)), ids[part]]
-            np.exp(logits, out=logits)
-            found[part] = chosen - np.log(logits @ _ONES)
+            inner = self.hidden(around[:, part])
+            spot, group = np.divmod(ids[part], GROUPS)
+            _, logs = _softmax(inner @ self.heads + self.head_bias, group)
+            for g, rows in _by_group(group):
+                logs[rows] += _softmax(inner[rows] @ self.out[g] + self.bias[g], spot[rows])[1]
+            found[part] = logs
         return found
 
     def learn(self, around: np.ndarray, ids: np.ndarray) -> None:
-        """Adagrad steps over batches, each worked on in parts that fit the cache."""
+        """Adagrad steps over batches."""
         for begin in range(0, len(ids), BATCH):
-            end = min(begin + BATCH, len(ids))
-            bias = self._safe_bias()
-            sides = np.zeros((len(SIDES), (OUTPUTS + 1) * HIDDEN))
-            inner_step = np.zeros(HIDDEN)
-            out_step, bias_step = np.zeros((HIDDEN, OUTPUTS)), np.zeros(OUTPUTS)
-            for low in range(begin, end, SCORE_BATCH):
-                part = slice(low, min(low + SCORE_BATCH, end))
-                near, wanted = around[:, part], ids[part]
-                inner = self.hidden(near)
-                error = inner @ self.out
-                error += bias
-                np.exp(error, out=error)
-                error *= (1 / (error @ _ONES))[:, None]
-                error[np.arange(len(wanted)), wanted] -= 1
-                back = (error @ self.out.T) * (1 - inner * inner)
-                # Each place adds to the embeddings of its neighbours.
-                spots = near[:, :, None] * HIDDEN + np.arange(HIDDEN)
-                for row, at in enumerate(spots):
-                    sides[row] += np.bincount(at.ravel(), back.ravel(), (OUTPUTS + 1) * HIDDEN)
-                inner_step += back.sum(axis=0)
-                out_step += inner.T @ error
-                bias_step += error.sum(axis=0)
-            step = np.concatenate([sides.ravel(), inner_step, out_step.ravel(), bias_step])
-            step = (step / (end - begin)).astype(np.float32)
+            part = slice(begin, min(begin + BATCH, len(ids)))
+            near = around[:, part]
+            spot, group = np.divmod(ids[part], GROUPS)
+            inner = self.hidden(near)
+            error, _ = _softmax(inner @ self.heads + self.head_bias, group)
+            error[np.arange(len(group)), group] -= 1
+            back = error @ self.heads.T
+            head_step, head_bias_step = inner.T @ error, error.sum(axis=0)
+            out_step, bias_step = np.zeros_like(self.out), np.zeros_like(self.bias)
+            for g, rows in _by_group(group):
+                own = inner[rows]
+                error, _ = _softmax(own @ self.out[g] + self.bias[g], spot[rows])
+                error[np.arange(len(rows)), spot[rows]] -= 1
+                back[rows] += error @ self.out[g].T
+                out_step[g], bias_step[g] = own.T @ error, error.sum(axis=0)
+            back *= 1 - inner * inner
+            # Each place adds to the embeddings of its neighbours.
+            sides = [
+                np.bincount((at[:, None] * HIDDEN + np.arange(HIDDEN)).ravel(), back.ravel(), (OUTPUTS + 1) * HIDDEN)
+                for at in near
+            ]
+            step = np.concatenate([
+                *sides, back.sum(axis=0), head_step.ravel(), head_bias_step, out_step.ravel(), bias_step.ravel()
+            ])
+            step = (step / len(group)).astype(np.float32)
             self.squares += step * step
             self.weights -= RATE * step / np.sqrt(self.squares)
 
 
+def _softmax(logits: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities, log-probability of the wanted one) of each row."""
+    logits -= logits.max(axis=1, keepdims=True)
+    chosen = logits[np.arange(len(logits)), wanted]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=1)
+    logits /= total[:, None]
+    return logits, chosen - np.log(total)
+
+
+def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(group, its rows) of each group there is."""
+    order = np.argsort(group, kind="stable")
+    counts = np.bincount(group, minlength=GROUPS)
+    for g, rows in enumerate(np.split(order, np.cumsum(counts)[:-1])):
+        if len(rows):
+            yield g, rows
+
+
 def _fold(codes_hashes: np.ndarray, starts: np.ndarray, folds: int) -> np.ndarray:
     """The fold of each place: by its word, its place in the text and the next word."""
     n = len(codes_hashes)
@@ -205,56 +241,105 @@ def _fold(codes_hashes: np.ndarray, starts: np.ndarray, folds: int) -> np.ndarra
     return (mixed(mixed(codes_hashes + place) ^ after) % np.uint64(folds)).astype(np.int64)
 
 
-def _train_round(
-    docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, turn: int, folds: int
-) -> np.ndarray:
-    """The average of the networks that the tasks train, weighted by their words.
-
-    The places of the fold whose turn it is are masked.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.parts, weights))
+def coded_texts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, key, shard, ids): each row's words as two-byte ids, and the shard it trains in."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, start = shared.value
-        words, network, trained = Vocabulary(*parts), Network(start.copy()), 0
+        words = Vocabulary(*shared.value)
         for batch in batches:
             for piece in pieces(batch):
                 found = Words(piece.column("text"))
-                hashes = found.hashes()
-                ids = words.places(hashes)[found.codes]
-                picked = np.flatnonzero(_fold(hashes[found.codes], found.starts, folds) == turn % folds)
-                if len(picked):
-                    network.learn(_windows(ids, found.starts)[:, picked], ids[picked])
-                    trained += len(picked)
-        if trained:
-            sums = (network.weights * np.float64(trained)).astype(np.float64)
-            numbers = np.arange(len(sums))
-            for begin in range(0, len(sums), PART):
-                some = slice(begin, begin + PART)
+                ids = words.places(found.hashes())[found.codes].astype(np.uint16)
+                coded = [ids[a:b].tobytes() for a, b in zip(found.starts[:-1], found.starts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers[some].astype(np.int32)), pa.array(sums[some]),
-                     pa.array(np.full(len(sums[some]), trained, np.int64))],
-                    names=["at", "w", "n"],
+                    [piece.column("doc_id"), piece.column("key"), pa.array(coded, pa.binary())],
+                    names=["doc_id", "key", "ids"],
                 )
 
-    rows = docs.select("text").mapInArrow(run, "at int, w double, n long")
-    table = rows.groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow()
+    total = vocabulary.table.agg(F.sum("n")).first()[0] or 0
+    shard = F.pmod("key", F.lit(total // SHARD_WORDS + 1))
+    return _keyed(docs).mapInArrow(run, "doc_id long, key long, ids binary").withColumn("shard", shard)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+
+
+def _read(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, ids of their words, where each row's begin) of pieces of a batch of coded texts."""
+    for piece in pieces(batch, "ids"):
+        column = piece.column("ids")
+        sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+        ids = np.frombuffer(b"".join(column.to_pylist()), np.uint16).astype(np.int64)
+        yield piece, ids, np.r_[0, np.cumsum(sizes)]
+
+
+def _train_round(
+    coded: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, turn: int, folds: int
+) -> np.ndarray:
+    """The average of the networks that the shards train, weighted by their words.
+
+    The places of the fold whose turn it is are masked.  A shard's documents come in the
+    order of their hashes.
+    """
+    shared = coded.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, network, trained = None, Network(shared.value), 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if trained:
+                sums = np.rint(network.weights.astype(np.float64) * STEPS).astype(np.int64) * trained
+                numbers = np.arange(len(sums), dtype=np.int32)
+                for begin in range(0, len(sums), PART):
+                    some = slice(begin, begin + PART)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(numbers[some]), pa.array(sums[some]),
+                         pa.array(np.full(len(sums[some]), trained, np.int64))],
+                        names=["at", "w", "n"],
+                    )
+
+        for batch in batches:
+            shards = batch.column("shard").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.r_[True, shards[1:] != shards[:-1]])[: len(shards)]
+            for begin, end in zip(cuts, np.r_[cuts[1:], len(shards)]):
+                if shards[begin] != at:
+                    yield from told()
+                    at, network, trained = shards[begin], Network(shared.value), 0
+                for _, ids, starts in _read(batch.slice(begin, end - begin)):
+                    picked = np.flatnonzero(_fold(ids.astype(np.uint64), starts, folds) == turn % folds)
+                    if len(picked):
+                        network.learn(_windows(ids, starts)[:, picked], ids[picked])
+                        trained += len(picked)
+        yield from told()
+
+    dealt = coded.select("shard", "key", "ids").repartition("shard").sortWithinPartitions("shard", "key")
+    rows = dealt.mapInArrow(run, "at int, w long, n long")
+    total = F.sum(F.col("w").cast("decimal(20,0)")).cast("double")
+    table = rows.groupBy("at").agg((total / F.sum("n") / STEPS).alias("w")).toArrow()
     averaged = weights.astype(np.float64)
     averaged[table.column("at").to_numpy()] = table.column("w").to_numpy()
     return averaged
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
-    """(vocabulary, weights) from all places of all documents.
+def fit(coded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights from all places of all coded texts; without words they stay as drawn."""
+    network = Network()
+    network.start_from(vocabulary.counts)
+    weights = network.weights.astype(np.float64)
+    for turn in range(rounds):
+        weights = _train_round(coded, vocabulary, weights, turn, min(rounds, FOLDS))
+        release(coded.sparkSession)
+    return weights
 
-    Without words the weights stay as drawn.
-    """
+
+def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
+    """(vocabulary, weights) from all places of all documents."""
     vocabulary = corpus_vocabulary(docs)
-    weights = Network().weights.astype(np.float64)
-    # The output starts at the words' shares, so that training adds what neighbours tell.
-    weights[-OUTPUTS:] = np.log(vocabulary.counts / vocabulary.counts.sum())
-    for turn in range(rounds):
-        weights = _train_round(docs, vocabulary, weights, turn, min(rounds, FOLDS))
+    coded = stored(coded_texts(docs, vocabulary), "coded")
+    weights = fit(coded, vocabulary, rounds)
+    discard(coded)
     return vocabulary, weights
 
 
@@ -282,33 +367,34 @@ def _rare_words(docs: DataFrame, shared) -> DataFrame:
 SCORED = "doc_id long, key long, n_words long, n_rare long, known double"
 
 
-def score(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray) -> DataFrame:
+def score(
+    docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, coded: DataFrame | None = None
+) -> DataFrame:
     """(doc_id, n_words, log_probability): natural logs summed over all words of a text.
 
     A null text, or one without words, has none and scores 0.  Repeated rows score alike.
-    The network and the classes are scored in tasks; the log-counts of words within their
-    classes come from the join with the corpus's words.
+    The network and the classes are scored in tasks, from ``coded`` if the caller has it;
+    the log-counts of words within their classes come from the join with the corpus's words.
     """
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.parts, weights))
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    keyed = _keyed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, trained = shared.value
         words, network = Vocabulary(*parts), Network(trained)
         for batch in batches:
-            for piece in pieces(batch):
-                found = Words(piece.column("text"))
-                ids = words.places(found.hashes())[found.codes]
-                each = network.log_probabilities(_windows(ids, found.starts), ids) + words.class_shares(ids)
+            for piece, ids, starts in _read(batch):
+                each = network.log_probabilities(_windows(ids, starts), ids) + words.class_shares(ids)
                 sums = np.r_[0.0, np.cumsum(each, dtype=np.float64)]
                 rare = np.r_[0, np.cumsum(ids >= FREQUENT)]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), piece.column("key"), pa.array(found.counts.astype(np.int64)),
-                     pa.array(rare[found.starts[1:]] - rare[found.starts[:-1]]),
-                     pa.array(sums[found.starts[1:]] - sums[found.starts[:-1]])],
+                    [piece.column("doc_id"), piece.column("key"), pa.array(np.diff(starts)),
+                     pa.array(rare[starts[1:]] - rare[starts[:-1]]),
+                     pa.array(sums[starts[1:]] - sums[starts[:-1]])],
                     names=["doc_id", "key", "n_words", "n_rare", "known"],
                 )
 
+    coded = coded_texts(docs, vocabulary) if coded is None else coded
     # A word met once has the log-count 0, as one never met.
     again = vocabulary.table.filter("n > 1").select("hash", F.log("n").alias("log_n"))
     counted = _rare_words(keyed, shared).join(again, "hash", "left").groupBy("key").agg(
@@ -317,7 +403,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray) -> DataF
     )
     # Rows of equal id and text are added up under one key: each has its part of the sum.
     within = F.coalesce(F.col("within") * F.col("n_rare") / F.col("times"), F.lit(0.0))
-    return keyed.mapInArrow(run, SCORED).join(counted, "key", "left").select(
+    return coded.select("doc_id", "key", "ids").mapInArrow(run, SCORED).join(counted, "key", "left").select(
         "doc_id", "n_words", (F.col("known") + within).alias("log_probability")
     )
 
@@ -325,7 +411,9 @@ def score(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray) -> DataF
 def op6_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their pseudo-log-likelihood and its mean per word."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score(docs, *train(docs))
+    vocabulary = corpus_vocabulary(docs)
+    coded = stored(coded_texts(docs, vocabulary), "coded")
+    scored = score(docs, vocabulary, fit(coded, vocabulary), coded)
     mean = F.col("log_probability") / F.nullif(F.col("n_words"), F.lit(0))
     return scored.withColumn("per_word", mean)
 

@@ -120,8 +120,11 @@ def test_scores_are_sums_of_logs(spark):
     for k in range(len(ids)):
         near = [ids[k + s] if 0 <= k + s < len(ids) else masked_lm.EDGE for s in masked_lm.SIDES]
         hidden = np.tanh(network.inner + sum(network.sides[i, n] for i, n in enumerate(near)))
-        logits = hidden @ network.out + network.bias
-        total += logits[ids[k]] - np.log(np.exp(logits).sum()) + share[k]
+        g, spot = ids[k] % masked_lm.GROUPS, ids[k] // masked_lm.GROUPS
+        groups = hidden @ network.heads + network.head_bias
+        within = hidden @ network.out[g] + network.bias[g]
+        total += groups[g] - np.log(np.exp(groups).sum())
+        total += within[spot] - np.log(np.exp(within).sum()) + share[k]
     doc = next(d for d, t, *_ in rows() if t == text)
     assert any(abs(r.log_probability - total) < 1e-2 for r in found if r.doc_id == doc)
     assert by_id and masked_lm.score(frame(spark, []), vocabulary, weights).count() == 0
@@ -151,6 +154,18 @@ def test_all_places_are_masked_over_the_rounds(monkeypatch, spark):
     assert set(turns) == set(folds.tolist()) and masked_lm.FREQUENT > 256
 
 
+def test_probabilities_sum_to_one_and_files_do_not_matter(spark):
+    docs = frame(spark)
+    vocabulary, weights = masked_lm.train(docs, rounds=2)
+    network = masked_lm.Network(weights)
+    around = np.repeat(np.array([[1], [2], [masked_lm.EDGE], [5]]), masked_lm.OUTPUTS, axis=1)
+    every = network.log_probabilities(around, np.arange(masked_lm.OUTPUTS))
+    assert abs(np.exp(every.astype(float)).sum() - 1) < 1e-5
+    for parts in (3, 30):
+        _, other = masked_lm.train(docs.repartition(parts), rounds=2)
+        assert np.abs(other - weights).max() < 1e-6
+
+
 def test_model_of_nothing(spark):
     vocabulary, weights = masked_lm.train(frame(spark, []))
     assert np.isfinite(weights).all() and vocabulary.counts.sum() > 0
