@@ -1,19 +1,21 @@
 """Operator 13, phrase collocations: count streams in prefix and in suffix order.
 
 Phrases are counted level by level.  Words of too few occurrences part the text, then pairs
-of words that are too rare do; what is left are windows of up to five words, and the counts
-of all phrases are sums along the sorted windows.  The frequent phrases are then read as two
+and triples of words that are too rare do; what is left are windows of up to five words, and
+the counts of all phrases are sums along the sorted windows.  Pairs and triples are counted
+by a number drawn from their words, which at most makes a rare one look frequent.  The frequent phrases are then read as two
 sorted streams.  In prefix order a phrase follows those it begins with, so one pass with a
 stack of at most five counts tells the counts of all its beginnings and the most frequent
 phrase that extends it to the right; in suffix order the same pass tells its endings and the
-extension to the left.  The two streams meet in a merge join.  Frequent words and pairs are
+extension to the left.  The two streams meet in a merge join.  Frequent words, pairs and triples are
 looked up, when texts are cut, in bit tables of fixed size; what passes by chance is counted
-like the rest and found too rare, so results are exact at every size.
+like the rest, by its words, and found too rare, so results are exact at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,10 @@ LONGEST = 5
 LEAST_TIMES = 100
 BEST = 2000
 COVERED = 100  # percent of a phrase's occurrences that lie in a longer one
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 FILTER_BITS = 1 << 25
+BUCKET_WORDS = 2_000_000  # words of the corpus for each bucket of phrase numbers
+HELD_KEYS = 2_000_000  # phrase numbers a task gathers before it sends them
 BUCKETS = 64
 # Between the words of a phrase: no word has it, and it sorts below all that words have.  The
 # character 0 itself, in a word, is written as a blank, which no word has either.
@@ -87,41 +91,75 @@ def _pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(a * np.uint64(0xD6E8FEB86659FD93) + b)
 
 
+def _bucket_keys(low: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """What stands for a phrase in its bit table: the lower half of its number, and its bucket."""
+    return mixed(low * np.uint64(0x9E3779B97F4A7C15) + bucket)
+
+
 def _spots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys % np.uint64(FILTER_BITS), (keys >> np.uint64(32)) % np.uint64(FILTER_BITS)
 
 
-def _held(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    found = np.ones(len(keys), bool)
+@dataclass(frozen=True)
+class Level:
+    """The frequent phrases of one length as a bit table; words are not counted in buckets."""
+
+    bits: np.ndarray
+    buckets: int = 0
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        if self.buckets:
+            buckets = np.uint64(self.buckets)
+            keys = _bucket_keys(keys & np.uint64(0xFFFFFFFF), (keys >> np.uint64(32)) % buckets)
+        found = np.ones(len(keys), bool)
+        for spot in _spots(keys):
+            words = self.bits[(spot >> np.uint64(6)).astype(np.int64)]
+            found &= (words >> (spot & np.uint64(63)) & np.uint64(1)) == 1
+        return found
+
+
+def _set(bits: np.ndarray, keys: np.ndarray) -> None:
     for spot in _spots(keys):
-        found &= (bits[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63)) & np.uint64(1)) == 1
-    return found
+        np.bitwise_or.at(bits, (spot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (spot & np.uint64(63)))
 
 
-def _bit_table(frequent: DataFrame, *words: str) -> np.ndarray:
-    """Two bits for each row (lang, words): 4 MB, whatever the number of rows."""
+def _bit_rows(bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    used = np.flatnonzero(bits)
+    for begin in range(0, len(used), 1 << 16):
+        at = used[begin : begin + (1 << 16)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at.astype(np.int32)), pa.array(bits[at].view(np.int64))], names=["at", "bits"]
+        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS // 64, np.uint64)
-        for batch in batches:
-            langs = hashed(batch.column("lang"))
-            keys = [_word_keys(hashed(batch.column(w)), langs) for w in words]
-            for spot in _spots(keys[0] if len(keys) == 1 else _pair_keys(*keys)):
-                np.bitwise_or.at(bits, (spot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (spot & np.uint64(63)))
-        used = np.flatnonzero(bits)
-        for begin in range(0, len(used), 1 << 16):
-            at = used[begin : begin + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(bits[at].view(np.int64))], names=["at", "bits"]
-            )
 
-    rows = frequent.select("lang", *words).mapInArrow(run, "at int, bits long")
+def _gathered(rows: DataFrame) -> np.ndarray:
+    """The union of tasks' bit tables (at, bits): 4 MB, whatever they stand for."""
     table = rows.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[table.column("at").to_numpy()] = table.column("bits").to_numpy()
     return bits.view(np.uint64)
 
 
+def word_level(frequent: DataFrame) -> Level:
+    """The bit table of words (lang, word)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_BITS // 64, np.uint64)
+        for batch in batches:
+            _set(bits, _word_keys(hashed(batch.column("word")), hashed(batch.column("lang"))))
+        yield from _bit_rows(bits)
+
+    return Level(_gathered(frequent.select("lang", "word").mapInArrow(run, "at int, bits long")))
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys, ascending, sum of their counts)."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def _unique(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first place, number) of each different row of the columns of small numbers."""
     key = columns[0]
@@ -152,65 +190,129 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _linked(piece: pa.RecordBatch, bits: np.ndarray, pair_bits: np.ndarray | None):
-    """(language names, tokens, each word's language, whether it goes on to the next word)."""
-    names, langs = _languages(piece)
-    tokens = Tokens(piece.column("text"))
-    of = langs[tokens.text]
-    keys = hashed(tokens.names)[tokens.codes]
-    keys = _word_keys(keys, hashed(names)[of]) if len(keys) else keys
-    frequent = _held(bits, keys)
-    goes_on = np.zeros(len(keys), bool)
-    goes_on[:-1] = frequent[:-1] & frequent[1:] & (tokens.piece[:-1] == tokens.piece[1:])
-    if pair_bits is not None:
-        at = np.flatnonzero(goes_on)
-        goes_on[at] = _held(pair_bits, _pair_keys(keys[at], keys[at + 1]))
-    return names, tokens, of, goes_on
-
+class Chains:
+    """The words of a piece of a table, and which phrases that begin at each are frequent.
 
-def pair_counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(lang, a, b, n) of neighbours that are both frequent."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    ``levels`` hold the frequent phrases of one, two, .. words.  ``starts[m]`` are the places of the
+    phrases of m + 1 words whose parts are frequent and which, where there is a table for
+    them, are themselves; ``keys[m]`` are their numbers.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, piece: pa.RecordBatch, levels: list[Level], words: int):
+        self.names, langs = _languages(piece)
+        self.tokens = tokens = Tokens(piece.column("text"))
+        self.of = langs[tokens.text]
+        single = _word_keys(hashed(tokens.names)[tokens.codes], hashed(self.names)[self.of])
+        goes_on = np.r_[tokens.piece[1:] == tokens.piece[:-1], np.zeros(min(len(single), 1), bool)]
+        self.starts, self.keys = [np.arange(len(single))], [single]
+        for m in range(words):
+            if m:
+                last = np.zeros(len(single) + 1, bool)
+                last[self.starts[-1]] = True
+                at = self.starts[-1]
+                kept = last[at + 1] & goes_on[at]
+                at = at[kept]
+                self.starts.append(at)
+                self.keys.append(_pair_keys(self.keys[-1][kept], single[at + m]))
+            if m < len(levels):
+                kept = levels[m].holds(self.keys[-1])
+                self.starts[-1], self.keys[-1] = self.starts[-1][kept], self.keys[-1][kept]
+
+    def place(self, rows: np.ndarray) -> pa.Array:
+        return self.names.take(pa.array(self.of[rows]))
+
+
+def phrase_level(docs: DataFrame, levels: list[Level], total: int, least: int) -> Level:
+    """The bit table of phrases one word longer than the last level's, from ``least`` occurrences on.
+
+    ``total`` is the number of words of the corpus.  Phrases go by 32 bits of their number
+    in buckets by its other bits, so a task sends four bytes for each and one for how often;
+    counts stop at ``least``.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
+    number = total // BUCKET_WORDS + 1
+    buckets = np.uint64(number)
+    kind = np.uint8 if least < 256 else np.uint32
+
+    def sent(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, counts = (np.concatenate(x) for x in zip(*held))
+        # A key's upper half names its bucket.
+        keys = ((keys >> np.uint64(32)) % buckets << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
+        keys, counts = _summed(keys, counts)
+        bucket = (keys >> np.uint64(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])[: len(bucket)]
+        ends = [*cuts[1:], len(bucket)]
+        low = keys.astype(np.uint32)
+        often = np.minimum(counts, least).astype(kind)
+        spans = list(zip(cuts, ends))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[cuts]), pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
+             pa.array([often[a:b].tobytes() for a, b in spans], pa.binary())],
+            names=["bucket", "keys", "counts"],
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for piece in pieces(batch, size=PIECE_BYTES):
-                names, tokens, of, goes_on = _linked(piece, shared.value, None)
-                at = np.flatnonzero(goes_on)
-                first, count = _unique(tokens.codes[at], tokens.codes[at + 1], of[at])
-                at = at[first]
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(of[at])), tokens.names.take(pa.array(tokens.codes[at])),
-                     tokens.names.take(pa.array(tokens.codes[at + 1])), pa.array(count.astype(np.int64))],
-                    names=["lang", "a", "b", "n"],
-                )
+                keys = Chains(piece, shared.value, len(shared.value) + 1).keys[-1]
+                held.append(_summed(keys, np.ones(len(keys), np.int64)))
+                size += len(held[-1][0])
+                if size >= HELD_KEYS:
+                    yield sent(held)
+                    held, size = [], 0
+        if held:
+            yield sent(held)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_BITS // 64, np.uint64)
+        at, held = None, []
+
+        def close() -> None:
+            if held:
+                keys, counts = _summed(*(np.concatenate(x) for x in zip(*held)))
+                keys = keys[counts >= least].astype(np.uint64)
+                _set(bits, _bucket_keys(keys, np.full(len(keys), at, np.uint64)))
+                held.clear()
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                if (bucket := batch.column("bucket")[row].as_py()) != at:
+                    close()
+                    at = bucket
+                keys, counts = (batch.column(c)[row].as_py() for c in ("keys", "counts"))
+                held.append((np.frombuffer(keys, np.uint32), np.frombuffer(counts, kind).astype(np.int64)))
+        close()
+        yield from _bit_rows(bits)
+
+    rows = docs.select("lang", "text").mapInArrow(count, "bucket long, keys binary, counts binary")
+    dealt_out = rows.repartition("bucket").sortWithinPartitions("bucket")
+    return Level(_gathered(dealt_out.mapInArrow(gather, "at int, bits long")), number)
 
-    rows = docs.select("lang", "text").mapInArrow(run, "lang string, a string, b string, n long")
-    return rows.groupBy("lang", "a", "b").agg(F.sum("n").alias("n"))
 
+def windows(docs: DataFrame, levels: list[Level]) -> DataFrame:
+    """(lang, phrase, n): the windows of two to five words that begin at each word.
 
-def windows(docs: DataFrame, bits: np.ndarray, pair_bits: np.ndarray) -> DataFrame:
-    """(lang, phrase, n): from each word on, the words that go on from one to the next, up to five."""
-    shared = docs.sparkSession.sparkContext.broadcast((bits, pair_bits))
+    A window goes on while its next three words are a frequent phrase.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, size=PIECE_BYTES):
-                names, tokens, of, goes_on = _linked(piece, *shared.value)
-                at = np.flatnonzero(goes_on)
-                goes_on = np.r_[goes_on, np.zeros(LONGEST, bool)]
-                codes = np.r_[tokens.codes, np.zeros(LONGEST, np.int64)] + 1
+                chains = Chains(piece, shared.value, 3)
+                names, at = chains.tokens.names, chains.starts[1]
+                codes = np.r_[chains.tokens.codes, np.zeros(LONGEST, np.int64)] + 1
+                threes = np.zeros(len(codes), bool)
+                threes[chains.starts[2]] = True
                 columns, still = [codes[at], codes[at + 1]], np.ones(len(at), bool)
                 for k in range(2, LONGEST):
-                    still = still & goes_on[at + k - 1]
+                    still = still & threes[at + k - 2]
                     columns.append(np.where(still, codes[at + k], 0))
-                first, count = _unique(*columns, of[at])
-                parts = [
-                    tokens.names.take(pa.array(c[first] - 1, mask=c[first] == 0)) for c in columns
-                ]
+                first, count = _unique(*columns, chains.of[at])
+                parts = [names.take(pa.array(c[first] - 1, mask=c[first] == 0)) for c in columns]
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(of[at][first])),
-                     pc.binary_join_element_wise(*parts, JOIN, null_handling="skip"),
+                    [chains.place(at[first]), pc.binary_join_element_wise(*parts, JOIN, null_handling="skip"),
                      pa.array(count.astype(np.int64))],
                     names=["lang", "phrase", "n"],
                 )
@@ -371,10 +473,12 @@ def collocations(docs: DataFrame, least: int = LEAST_TIMES, best: int = BEST) ->
     counts = stored(word_counts(docs), "words")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = stored(counts.filter(F.col("n") >= least), "frequent")
-    bits = _bit_table(frequent, "word")
-    pairs = stored(pair_counts(docs, bits).filter(F.col("n") >= least), "pairs")
-    release(spark)
-    counted = stored(windows(docs, bits, _bit_table(pairs, "a", "b")), "windows")
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    levels = [word_level(frequent)]
+    while len(levels) < 3:
+        levels.append(phrase_level(docs, levels, total, least))
+        release(spark)
+    counted = stored(windows(docs, levels), "windows")
     release(spark)
     phrases = phrase_counts(counted, least)
     phrases = stored(
