@@ -155,7 +155,7 @@ class Network:
         self.sides, self.inner, self.heads, self.head_bias, self.out, self.bias = (
             part.reshape(shape) for part, shape in zip(parts, _SHAPES)
         )
-        self.squares = np.full(len(self.weights), 1e-3, np.float32)
+        self.squares = [np.full(shape, 1e-3, np.float32) for shape in _SHAPES]
 
     def start_from(self, counts: np.ndarray) -> None:
         """Biases by the outputs' shares, so that training adds what neighbours tell."""
@@ -169,68 +169,96 @@ class Network:
             total += self.sides[row, around[row]]
         return np.tanh(total)
 
+    def _safe(self) -> tuple[np.ndarray, np.ndarray]:
+        """Both biases, lowered where a logit could pass 60, so that no power overflows."""
+        # The hidden layer lies in -1 to 1, so no logit is above these.
+        heads = (np.abs(self.heads).sum(axis=0) + self.head_bias).max()
+        within = (np.abs(self.out).sum(axis=1) + self.bias).max(axis=1, keepdims=True)
+        return self.head_bias - max(heads - 60, 0), self.bias - np.maximum(within - 60, 0)
+
     def log_probabilities(self, around: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The log-probability of each id between its neighbours."""
         found = np.empty(len(ids), np.float32)
+        head_bias, bias = self._safe()
         for begin in range(0, len(ids), SCORE_BATCH):
             part = slice(begin, begin + SCORE_BATCH)
-            inner = self.hidden(around[:, part])
-            spot, group = np.divmod(ids[part], GROUPS)
-            _, logs = _softmax(inner @ self.heads + self.head_bias, group)
-            for g, rows in _by_group(group):
-                logs[rows] += _softmax(inner[rows] @ self.out[g] + self.bias[g], spot[rows])[1]
-            found[part] = logs
+            order, spot, group = _by_group(ids[part])
+            inner = self.hidden(around[:, part][:, order])
+            logs = _log_share(inner @ self.heads + head_bias, group)
+            for g, rows in _groups(group):
+                logs[rows] += _log_share(inner[rows] @ self.out[g] + bias[g], spot[rows])
+            found[begin + order] = logs
         return found
 
     def learn(self, around: np.ndarray, ids: np.ndarray) -> None:
-        """Adagrad steps over batches."""
+        """Adagrad steps over batches; weights that a batch does not use do not move."""
+        numbers = np.arange(BATCH)
+        offsets = (np.arange(len(SIDES)) * (OUTPUTS + 1))[:, None]
+        sides, side_squares = self.sides.reshape(-1, HIDDEN), self.squares[0].reshape(-1, HIDDEN)
         for begin in range(0, len(ids), BATCH):
             part = slice(begin, min(begin + BATCH, len(ids)))
-            near = around[:, part]
-            spot, group = np.divmod(ids[part], GROUPS)
+            order, spot, group = _by_group(ids[part])
+            near, size = around[:, part][:, order], part.stop - begin
+            head_bias, bias = self._safe()
             inner = self.hidden(near)
-            error, _ = _softmax(inner @ self.heads + self.head_bias, group)
-            error[np.arange(len(group)), group] -= 1
+            error = _error(inner @ self.heads + head_bias, group, numbers)
             back = error @ self.heads.T
-            head_step, head_bias_step = inner.T @ error, error.sum(axis=0)
-            out_step, bias_step = np.zeros_like(self.out), np.zeros_like(self.bias)
-            for g, rows in _by_group(group):
+            steps = [inner.T @ error, error.sum(axis=0), np.zeros_like(self.out), np.zeros_like(self.bias)]
+            for g, rows in _groups(group):
                 own = inner[rows]
-                error, _ = _softmax(own @ self.out[g] + self.bias[g], spot[rows])
-                error[np.arange(len(rows)), spot[rows]] -= 1
+                error = _error(own @ self.out[g] + bias[g], spot[rows], numbers)
                 back[rows] += error @ self.out[g].T
-                out_step[g], bias_step[g] = own.T @ error, error.sum(axis=0)
+                steps[2][g], steps[3][g] = own.T @ error, error.sum(axis=0)
             back *= 1 - inner * inner
             # Each place adds to the embeddings of its neighbours.
-            sides = [
-                np.bincount((at[:, None] * HIDDEN + np.arange(HIDDEN)).ravel(), back.ravel(), (OUTPUTS + 1) * HIDDEN)
-                for at in near
-            ]
-            step = np.concatenate([
-                *sides, back.sum(axis=0), head_step.ravel(), head_bias_step, out_step.ravel(), bias_step.ravel()
-            ])
-            step = (step / len(group)).astype(np.float32)
-            self.squares += step * step
-            self.weights -= RATE * step / np.sqrt(self.squares)
+            spots = (near + offsets).astype(np.uint16).ravel()
+            order = np.argsort(spots, kind="stable")
+            spots = spots[order]
+            first = np.flatnonzero(np.r_[True, spots[1:] != spots[:-1]])
+            used = spots[first]
+            step = np.add.reduceat(back[order % size], first, axis=0) / size
+            squares = side_squares[used] + step * step
+            side_squares[used] = squares
+            sides[used] -= RATE * step / np.sqrt(squares)
+            others = (self.inner, self.heads, self.head_bias, self.out, self.bias)
+            for weights, squares, step in zip(others, self.squares[1:], [back.sum(axis=0), *steps]):
+                step /= size
+                squares += step * step
+                weights -= RATE * step / np.sqrt(squares)
+
+
+_ONES = np.ones(max(GROUPS, WIDTH), np.float32)
+
+
+def _log_share(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The log of the wanted one's share of each row's powers."""
+    chosen = logits[np.arange(len(logits)), wanted]
+    np.exp(logits, out=logits)
+    return chosen - np.log(logits @ _ONES[: logits.shape[1]])
 
 
-def _softmax(logits: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log-probability of the wanted one) of each row."""
-    logits -= logits.max(axis=1, keepdims=True)
-    chosen = logits[np.arange(len(logits)), wanted]
+def _error(logits: np.ndarray, wanted: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Each row's probabilities, less one at the wanted one."""
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    logits /= total[:, None]
-    return logits, chosen - np.log(total)
-
-
-def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(group, its rows) of each group there is."""
-    order = np.argsort(group, kind="stable")
-    counts = np.bincount(group, minlength=GROUPS)
-    for g, rows in enumerate(np.split(order, np.cumsum(counts)[:-1])):
-        if len(rows):
-            yield g, rows
+    logits *= (1 / (logits @ _ONES[: logits.shape[1]]))[:, None]
+    logits[numbers[: len(logits)], wanted] -= 1
+    return logits
+
+
+def _by_group(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the order in which the ids stand by group, their numbers within it, their groups)."""
+    spot, group = np.divmod(ids, GROUPS)
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    return order, spot[order], group[order]
+
+
+def _groups(group: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(group, its rows) of each group there is, of rows that stand by group."""
+    begin = 0
+    for g, end in enumerate(np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()):
+        if end > begin:
+            yield g, slice(begin, end)
+        begin = end
 
 
 def _fold(codes_hashes: np.ndarray, starts: np.ndarray, folds: int) -> np.ndarray:
