@@ -35,6 +35,7 @@ PIECE_BYTES = 4 << 20
 FILTER_BITS = 1 << 25
 BUCKET_WORDS = 2_000_000  # words of the corpus for each bucket of phrase numbers
 HELD_KEYS = 2_000_000  # phrase numbers a task gathers before it sends them
+HELD_WINDOWS = 500_000  # windows likewise
 BUCKETS = 64
 # Between the words of a phrase: no word has it, and it sorts below all that words have.  The
 # character 0 itself, in a word, is written as a blank, which no word has either.
@@ -297,7 +298,12 @@ def windows(docs: DataFrame, levels: list[Level]) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
+    def together(held: list[pa.Table]) -> pa.Table:
+        summed = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        return summed.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for piece in pieces(batch, size=PIECE_BYTES):
                 chains = Chains(piece, shared.value, 3)
@@ -311,11 +317,20 @@ def windows(docs: DataFrame, levels: list[Level]) -> DataFrame:
                     columns.append(np.where(still, codes[at + k], 0))
                 first, count = _unique(*columns, chains.of[at])
                 parts = [names.take(pa.array(c[first] - 1, mask=c[first] == 0)) for c in columns]
-                yield pa.RecordBatch.from_arrays(
+                held.append(pa.table(
                     [chains.place(at[first]), pc.binary_join_element_wise(*parts, JOIN, null_handling="skip"),
                      pa.array(count.astype(np.int64))],
                     names=["lang", "phrase", "n"],
-                )
+                ))
+                size += len(first)
+                if size >= HELD_WINDOWS:
+                    held = [together(held)]
+                    size = len(held[0])
+                    if size >= HELD_WINDOWS // 2:
+                        yield from held[0].to_batches()
+                        held, size = [], 0
+        if held:
+            yield from together(held).to_batches()
 
     rows = docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, n long")
     return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ STAR_WORDS = 2
 # Words from so many occurrences on are many lines' words for certain, and their lists are split.
 COMMON = 1 << 12
 SALTS = 16
+ROUNDS = 4  # candidates are searched by a part of the words at a time, so that less disk is in use at once
 LEAST_FILTER, MOST_FILTER = 1 << 20, 1 << 28
 
 
@@ -183,62 +185,50 @@ def _may_match(x: str, y: str) -> Column:
 
 
 def _posted(rows: DataFrame, prefix: Column, *more: str) -> DataFrame:
-    """(word, cls, n, at, bits) for each word of ``prefix``, ``at`` its place in the line's order."""
-    each = rows.select("cls", "n", "bits", "skipped", *more, F.posexplode(prefix).alias("i", "word"))
-    return each.select("word", "cls", "n", (F.col("skipped") + F.col("i")).alias("at"), "bits", *more, "i")
+    """(word, id, n, at, bits) for each word of ``prefix``, ``at`` its place in the line's order."""
+    each = rows.select("id", "n", "bits", "skipped", *more, F.posexplode(prefix).alias("i", "word"))
+    return each.select("word", "id", "n", (F.col("skipped") + F.col("i")).alias("at"), "bits", *more, "i")
 
 
-def _candidates(classes: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of classes, not both ``done``, that pass the filters on a shared prefix word, stored.
+def _candidates(prefixes: DataFrame, turn: int) -> DataFrame:
+    """Pairs of classes, not both ``done``, that pass the filters on a shared prefix word of this turn.
 
     The larger line looks with its whole prefix; the smaller is filed under the shorter
-    one that suffices for a partner of at least its size.  Words of one class only go in one
-    shuffle before the join.  A common word may be that of any share of the classes: it
-    skips that step, and its lookers are dealt over several tasks that all get the filed.
+    one that suffices for a partner of at least its size.  A common word may be that of any
+    share of the classes: its lookers are dealt over several tasks that all get the filed.
     """
     share = 2 * SIMILAR  # of 100 + SIMILAR: the least common part of two lines of one size
     filed = F.col("n") - F.ceil(share * F.col("n") / (100 + SIMILAR)) + 1
-    many = (F.col("i") >= F.size("prefix") - F.col("common")).alias("many")
-    whole = classes.select("cls", "n", "bits", "skipped", "common", "prefix")
-    posted = _posted(whole, F.col("prefix"), "common", "prefix").select(
-        "word", "cls", "n", "at", "bits", (F.col("at") < filed).alias("filed"), many
-    )
-    of_word = Window.partitionBy("word")
-    rare = posted.filter(~F.col("many")).withColumns({
-        "least": F.min("cls").over(of_word), "most": F.max("cls").over(of_word),
-    }).filter("least < most").drop("least", "most")
-    rows = rare.unionByName(posted.filter("many")).join(
-        done.withColumn("done", F.lit(1)), "cls", "left"
-    ).fillna(0, ["done"])
-    rows = stored(rows, "posted")
+    first_common = F.size("prefix") - F.col("common")
+    rows = prefixes.withColumn("first_common", first_common)
+    posted = _posted(rows, F.col("prefix"), "done", "first_common").withColumn(
+        "many", F.col("i") >= F.col("first_common")
+    ).drop("i", "first_common").filter(F.pmod("word", F.lit(ROUNDS)) == turn)
     salts = F.when(F.col("many"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    own = F.when(F.col("many"), F.pmod(F.col("cls"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    x = rows.withColumn("salt", own).alias("x")
-    y = rows.filter("filed").withColumn("salt", F.explode(salts)).alias("y")
+    own = F.when(F.col("many"), F.pmod("id", F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    x = posted.withColumn("salt", own).drop("many").alias("x")
+    y = posted.filter(F.col("at") < filed).withColumn("salt", F.explode(salts)).drop("many").alias("y")
     met = x.join(
         y,
         (F.col("x.word") == F.col("y.word")) & (F.col("x.salt") == F.col("y.salt"))
-        & ((F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls"))))
+        & ((F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id"))))
         & (F.col("x.done") + F.col("y.done") < 2) & _may_match("x", "y"),
     )
-    pairs = stored(met.select(*_pair("x.cls", "y.cls")).distinct(), "pairs")
-    discard(rows)
-    release(classes.sparkSession)
-    return pairs
+    return met.select(*_pair("x.id", "y.id")).distinct()
 
 
-def _star_pairs(classes: DataFrame) -> DataFrame:
+def _star_pairs(classes: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Each class with the earliest class of each of its rarest words, if they may match."""
-    early = classes.withColumns({
-        "doc": F.coalesce("first.doc_id", F.lit(2**63 - 1)), "line": F.col("first.line"),
-    })
-    stars = _posted(early, F.slice("prefix", 1, STAR_WORDS), "doc", "line").drop("i")
+    place = classes.select(
+        "id", F.coalesce("first.doc_id", F.lit(2**63 - 1)).alias("doc"), F.col("first.line").alias("line")
+    )
+    stars = _posted(prefixes, F.slice("prefix", 1, STAR_WORDS)).drop("i").join(place, "id")
     # The least row of a word is found in map tasks first, so a common word gathers nowhere.
-    order = F.struct("doc", "line", "cls", "n", "at", "bits")
+    order = F.struct("doc", "line", "id", "n", "at", "bits")
     first = stars.groupBy("word").agg(F.min(order).alias("y"))
-    x, y = stars.alias("x"), first.select("word", "y.cls", "y.n", "y.at", "y.bits").alias("y")
-    met = x.join(y, "word").filter((F.col("x.cls") != F.col("y.cls")) & _may_match("x", "y"))
-    return met.select(*_pair("x.cls", "y.cls")).distinct()
+    x, y = stars.alias("x"), first.select("word", "y.id", "y.n", "y.at", "y.bits").alias("y")
+    met = x.join(y, "word").filter((F.col("x.id") != F.col("y.id")) & _may_match("x", "y"))
+    return met.select(*_pair("x.id", "y.id")).distinct()
 
 
 def _word_filter(wanted: DataFrame) -> np.ndarray:
@@ -285,17 +275,17 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _gone(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The later class (cls) of each pair (a, b) whose whole sets are similar, stored."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    firsts = stored(classes.select("cls", "first").join(wanted, "cls"), "firsts")
-    sets = stored(_whole_sets(docs, firsts.select("cls")).join(firsts, "cls"), "sets")
-    a = sets.select(F.col("cls").alias("a"), F.col("words").alias("xa"), F.col("first").alias("fa"))
-    b = sets.select(F.col("cls").alias("b"), F.col("words").alias("xb"), F.col("first").alias("fb"))
+    """The later class (id) of each pair (a, b) whose whole sets are similar, stored."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    firsts = stored(classes.select("id", "cls", "first").join(wanted, "id"), "firsts")
+    sets = stored(_whole_sets(docs, firsts.select("cls").distinct()).join(firsts, "cls"), "sets")
+    a = sets.select(F.col("id").alias("a"), F.col("words").alias("xa"), F.col("first").alias("fa"))
+    b = sets.select(F.col("id").alias("b"), F.col("words").alias("xb"), F.col("first").alias("fb"))
     both = pairs.join(a, "a").join(b, "b").withColumn("shared", F.size(F.array_intersect("xa", "xb")))
     union = F.size("xa") + F.size("xb") - F.col("shared")
     later = F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a"))
     similar = both.filter(100 * F.col("shared") >= SIMILAR * union)
-    gone = stored(similar.select(later.alias("cls")).distinct(), "gone")
+    gone = stored(similar.select(later.alias("id")).distinct(), "gone")
     discard(firsts, sets)
     release(docs.sparkSession)
     return gone
@@ -316,24 +306,29 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rarity = word_rarity(keyed)
     lines = stored(_line_rows(keyed, rarity), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line")
-    classes = stored(
-        lines.groupBy("set_a", "set_b").agg(
-            F.min(place).alias("first"), F.any_value("n").alias("n"),
-            F.any_value("bits").alias("bits"), F.any_value("skipped").alias("skipped"),
-            F.any_value("common").alias("common"), F.any_value("prefix").alias("prefix"),
-        ).withColumnRenamed("set_a", "cls"),
-        "classes",
+    told = ("n", "bits", "skipped", "common", "prefix")
+    folded = lines.groupBy("set_a", "set_b").agg(
+        F.min(place).alias("first"), *[F.any_value(c).alias(c) for c in told]
     )
+    numbered = stored(folded.withColumn("id", F.monotonically_increasing_id()), "classes")
     release(docs.sparkSession)
-    star_pairs = stored(_star_pairs(classes), "pairs")
+    classes = numbered.select("id", F.col("set_a").alias("cls"), "set_b", "first")
+    prefixes = numbered.select("id", *told).filter(F.size("prefix") > 0)
+    star_pairs = stored(_star_pairs(classes, prefixes), "pairs")
     done = _gone(keyed, classes, star_pairs)
     discard(star_pairs)
-    pairs = _candidates(classes, done)
+    flagged = prefixes.join(done.withColumn("done", F.lit(1)), "id", "left").fillna(0, ["done"])
+    flagged = stored(flagged, "flagged")
+    found = []
+    for turn in range(ROUNDS):
+        release(docs.sparkSession)
+        found.append(stored(_candidates(flagged, turn), "pairs"))
+    discard(flagged)
+    pairs = reduce(DataFrame.unionByName, found).distinct()
     matched = done.unionByName(_gone(keyed, classes, pairs)).distinct().withColumn("matched", F.lit(True))
-    discard(pairs)
+    discard(*found)
 
-    known = classes.select(F.col("cls").alias("set_a"), "set_b", "first", F.col("cls"))
-    known = known.join(matched, "cls", "left").drop("cls")
+    known = classes.withColumnRenamed("cls", "set_a").join(matched, "id", "left").drop("id")
     judged = lines.select("doc_id", "text_hash", "line", "set_a", "set_b").join(known, ["set_a", "set_b"])
     return judged.filter(F.col("matched") | (F.col("first") != place)).select(
         "doc_id", "text_hash", "line"
