@@ -402,7 +402,7 @@ def _in_order(phrases: DataFrame, backwards: bool) -> DataFrame:
     extensions reach into.
     """
     turn = F.array_join(F.reverse(F.split("phrase", JOIN)), JOIN) if backwards else F.col("phrase")
-    keyed = phrases.select(F.concat_ws(JOIN, F.translate("lang", JOIN, " "), turn).alias("key"), "lang", "phrase", "n")
+    keyed = phrases.select(F.concat_ws(JOIN, F.replace("lang", F.lit(JOIN), F.lit(" ")), turn).alias("key"), "lang", "phrase", "n")
     bounds = draw_bounds(keyed, "key")
     above: dict[str, list[int]] = {}
     for number, bound in enumerate(bounds, 1):
@@ -521,7 +521,8 @@ def collocations(docs: DataFrame, least: int = LEAST_TIMES, best: int = BEST) ->
     scored = each.groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("cut"), F.max("a").alias("a"), F.max("n").alias("n")
     ).select("lang", "phrase", "a", "n", "cut.score", "cut.l", "cut.r")
-    scored = scored.withColumn("phrase", F.translate("phrase", JOIN + " ", " " + JOIN))
+    shown = F.transform(F.split("phrase", JOIN), lambda word: F.replace(word, F.lit(" "), F.lit(JOIN)))
+    scored = scored.withColumn("phrase", F.array_join(shown, " "))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # A language may have any share of the phrases: the best of each bucket, then of those.
     scored = scored.withColumn("bucket", F.pmod(F.xxhash64("phrase"), F.lit(BUCKETS)))

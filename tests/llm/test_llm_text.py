@@ -5,11 +5,13 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from caderneta.llm import bpe, fingerprints, licences, masked_lm
+from caderneta.llm import bpe, fingerprints, licences, masked_lm, quality_rules
 from caderneta.llm.arrow_words import Words, pieces
 from caderneta.llm.lexicon import Lexicon, compile_words
+from caderneta.llm.tables import settled
 from corpus import frame, rows, saved, texts, words
 
 
@@ -84,6 +86,58 @@ def test_text_around_a_notice_does_not_void_it(spark, model):
     for k, (text, family) in enumerate(NOTICES):
         assert found[k].families == family, text
 
+def plain_licences(text, model):
+    """Families that the paragraphs of a text name, from n-grams and weights one by one."""
+    out = []
+    for line in (text or "").split("\n"):
+        found = licences._words(line)
+        grams = licences._grams(found)
+        if not any(g in grams for g in model.pairs):
+            continue
+        logits = model.bias.astype(float).copy()
+        for g in grams & set(model.index):
+            logits += model.weights[model.index[g]].astype(float)
+        odds = np.exp(logits - logits.max())
+        odds /= odds.sum()
+        if odds[licences.NONE] >= 0.5:
+            continue
+        longer = {g for g in grams if " " in g}
+        shares = []
+        for k, family in enumerate(licences.FAMILIES):
+            notices = [licences._long_grams(t) for t in licences.TEMPLATES[family]]
+            own = len(longer & set().union(*notices)) / len(longer)
+            shares.append(max([own, *(len(longer & n) / len(n) for n in notices)]))
+        top = max(range(licences.NONE), key=lambda k: (logits[k], licences.FAMILIES[k]))
+        sure = odds[top] >= model.least and shares[top] >= licences.CONFIRMED
+        out.append(licences.FAMILIES[top] if sure else "unknown")
+    return len(out), ",".join(sorted(set(out))), out.count("unknown")
+
+
+def test_every_paragraph_is_scored(spark, model):
+    notices = [t for f in licences.TEMPLATES.values() for t in f] + list(licences.UNSEEN)
+    some = texts()[7:20]
+    mixed = [f"{n} {(some[k % 13] or '')[:40]}\n{some[(k + 5) % 13]}\n{n[: len(n) // 2]}" for k, n in enumerate(notices)]
+    data = list(enumerate([*texts(), *mixed, *mixed[:5], "the license of the software\n" * 4]))
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r for r in licences.scan_licences(docs, model).collect()}
+    for k, text in data:
+        row = found[k]
+        assert (row.n_paragraphs, row.families, row.n_unknown) == plain_licences(text, model), text
+
+
+def test_no_filter_splits_texts_again(spark, model):
+    docs = frame(spark)
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rules = [(quality_rules.Condition("repeated_words", True, 0.2), quality_rules.Condition("duplicate_lines", True, 0.3))]
+    counted = settled(
+        quality_rules.with_features(quality_rules.text_counts(docs.select(F.struct("*").alias("row")), "row.text")),
+        "row", values=["n_words", "n_repeat_words", "repeated_words", "duplicate_lines"],
+    ).filter(~quality_rules.base_failed() & quality_rules.verdict(rules).isNull())
+    for df in (counted, licences.scan_paragraphs(keyed, model)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.split("\n") if line.lstrip(" :+-").startswith("Filter")]
+        assert filters and not any("split(" in line or "regexp_replace(" in line for line in filters)
+
 
 # --- language model ----------------------------------------------------------
 
