@@ -321,6 +321,8 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'supplier.parquet', count(*) FROM supplier""",
     "ingest_union": f"""WITH {GRID}
       SELECT * FROM grid_items UNION ALL BY NAME SELECT * FROM flat_items""",
+    "incremental_ingest": f"""WITH {GRID}
+      SELECT * FROM grid_items UNION ALL BY NAME SELECT * FROM flat_items""",
     "layout_dispatch": f"""WITH {GRID}
       SELECT upper(arquivo_origem) AS arquivo_origem, 'hierarquico' AS layout,
         count(*) AS linhas FROM grid_items GROUP BY ALL
@@ -476,6 +478,10 @@ ORACLES: dict[str, str] = {
         WHEN '3' THEN '' WHEN '4' THEN NULL ELSE unidade_medida END AS unidade_medida, """),
     "bi_csv_rows": f"""WITH {CLEAN}
       SELECT '{CSV_HEADER}' AS cabecalho, {CSV_LINE} AS linha FROM clean""",
+    "bi_csv_roundtrip": f"""WITH {CLEAN}
+      SELECT protocolo, CASE protocolo WHEN '1' THEN 'a' || chr(10) || 'b'
+        WHEN '2' THEN 'a "b",' || chr(10) WHEN '3' THEN chr(1) WHEN '4' THEN ''
+        ELSE unidade_medida END AS unidade_medida, quantidade FROM clean""",
     "json_rows": f"WITH {CLEAN} SELECT {JSON_LINE} AS value FROM clean",
     "report_lines": REPORT,
     "pipeline_run": f"""WITH {GRID},
@@ -539,6 +545,25 @@ ORACLES: dict[str, str] = {
       FROM p a LEFT JOIN p b ON a.arquivo_origem <> b.arquivo_origem
         AND a.inicio <= b.fim AND b.inicio <= a.fim
       GROUP BY ALL""",
+    "overlapping_files": f"""WITH {ITEMS},
+      p AS (SELECT arquivo_origem, min(data_emissao) AS inicio, max(data_emissao) AS fim
+            FROM items WHERE data_emissao IS NOT NULL GROUP BY ALL),
+      m AS (SELECT a.arquivo_origem AS arquivo_a, b.arquivo_origem AS arquivo_b,
+              greatest(a.inicio, b.inicio) AS inicio, least(a.fim, b.fim) AS fim
+            FROM p a JOIN p b ON a.arquivo_origem < b.arquivo_origem
+              AND a.inicio <= b.fim AND b.inicio <= a.fim)
+      SELECT arquivo_a, arquivo_b, CAST(inicio AS VARCHAR) AS inicio, CAST(fim AS VARCHAR) AS fim,
+        date_diff('day', CAST(inicio AS DATE), CAST(fim AS DATE)) + 1 AS dias FROM m""",
+    "replaced_months": f"""WITH {ITEMS},
+      counted AS (SELECT {MONTH} AS mes, arquivo_origem, count(*) AS n FROM items
+        WHERE data_emissao IS NOT NULL GROUP BY ALL),
+      winners AS (SELECT mes, arquivo_origem FROM (SELECT *, row_number() OVER (
+        PARTITION BY mes ORDER BY n DESC, arquivo_origem DESC) AS r FROM counted) WHERE r = 1)
+      SELECT coalesce({MONTH}, 'NaT') AS mes, arquivo_origem, count(*) AS linhas,
+        round(sum(valor_total_venda), 2) AS valor
+      FROM items WHERE data_emissao IS NULL
+        OR ({MONTH}, arquivo_origem) IN (SELECT (mes, arquivo_origem) FROM winners)
+      GROUP BY ALL""",
     "supersede_partial": f"""WITH {ITEMS},
       counted AS (SELECT {MONTH} AS mes, arquivo_origem, count(*) AS n FROM items
         WHERE data_emissao IS NOT NULL GROUP BY ALL),

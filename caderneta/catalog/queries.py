@@ -27,15 +27,19 @@ from caderneta.operators.consolidate import (
     consolidation_report,
 )
 from caderneta.operators.standardize import standardize
+from caderneta.plans import months
 from caderneta.plans.audit import audit_summary
+from caderneta.plans.incremental import ingest_new
 from caderneta.plans.pipeline import run_items, run_pipeline
 from caderneta.schemas import ITEM
 from caderneta.scratch import work_dir
 from caderneta.sinks.files import (
     bi_csv_lines,
+    export_bi_csv,
     export_csv,
     export_parquet,
     json_lines,
+    read_bi_csv,
     read_csv,
 )
 from caderneta.sinks.report import kpi_report_lines
@@ -131,6 +135,36 @@ def _ingest_union(spark, sf_dir):
     return ingest_grid(both).select(*ITEM.fieldNames())
 
 
+@query("incremental_ingest")
+def _incremental_ingest(spark, sf_dir):
+    """Half of the workbooks first, and of the others an old version; then all as they are."""
+    both = tables.hierarchical_grid(spark, sf_dir).unionByName(tables.flat_grid(spark, sf_dir))
+    odd = F.regexp_extract("arquivo_origem", "([0-9]+)", 1).cast("int") % 2 == 1
+    folder, state = work_dir(spark, "pasta"), work_dir(spark, "estado")
+
+    def put(rows, name):
+        rows.repartition(2, "arquivo_origem").write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    put(both.filter(odd), "a")
+    put(both.filter(~odd & (F.col("row_no") <= 500)), "b")
+    ingest_new(spark, folder, state)
+    put(both.filter(~odd), "b")
+    return ingest_new(spark, folder, state).itens.select(*ITEM.fieldNames())
+
+
+@query("replaced_months")
+def _replaced_months(spark, sf_dir):
+    """The stored table after an update with half of the files and one with all of them."""
+    items = tables.sales_items(spark, sf_dir).select(*ITEM.fieldNames())
+    table = work_dir(spark, "meses")
+    half = F.substring("arquivo_origem", 1, 4).try_cast("int") % 2 == 0
+    months.replace_months(items.filter(half), table)
+    months.replace_months(items, table)
+    return months.stored_months(spark, table).groupBy("mes", "arquivo_origem").agg(
+        F.count(F.lit(1)).alias("linhas"), F.round(F.sum("valor_total_venda"), 2).alias("valor")
+    )
+
+
 @query("layout_dispatch")
 def _layout_dispatch(spark, sf_dir):
     """Layout chosen per file whatever the case of its suffix."""
@@ -368,10 +402,26 @@ def _csv_roundtrip(spark, sf_dir):
 
 @query("bi_csv_rows")
 def _bi_csv_rows(spark, sf_dir):
-    """The finished CSV lines; the header is checked with them, as a column."""
-    lines = bi_csv_lines(_clean(spark, sf_dir))
-    header = lines.columns[0]
-    return lines.select(F.lit(header).alias("cabecalho"), F.col(f"`{header}`").alias("linha"))
+    """The lines of the file written, header and rows."""
+    items = _clean(spark, sf_dir)
+    header = bi_csv_lines(items).columns[0]
+    lines = spark.read.text(export_bi_csv(items, work_dir(spark, "bi")))
+    return lines.filter(F.col("value") != header).select(
+        F.lit(header).alias("cabecalho"), F.col("value").alias("linha")
+    )
+
+
+@query("bi_csv_roundtrip")
+def _bi_csv_roundtrip(spark, sf_dir):
+    """BI CSV there and back; some texts have breaks, quotes or odd signs, or are null."""
+    unit = (
+        F.when(F.col("protocolo") == "1", "a\nb").when(F.col("protocolo") == "2", 'a "b",\n')
+        .when(F.col("protocolo") == "3", "\u0001").when(F.col("protocolo") == "4", F.lit(None))
+        .otherwise(F.col("unidade_medida"))
+    )
+    items = _clean(spark, sf_dir).withColumn("unidade_medida", unit)
+    path = export_bi_csv(items, work_dir(spark, "bi"))
+    return read_bi_csv(spark, path, items.schema).select("protocolo", "unidade_medida", "quantidade")
 
 
 @query("json_rows")
@@ -490,6 +540,11 @@ def _period_overlaps(spark, sf_dir):
     return calendar.period_overlaps(_items(spark, sf_dir))
 
 
+@query("overlapping_files")
+def _overlapping_files(spark, sf_dir):
+    return calendar.overlapping_files(_items(spark, sf_dir))
+
+
 @query("supersede_partial")
 def _supersede_partial(spark, sf_dir):
     """Partial files go first, then the copies that are left."""

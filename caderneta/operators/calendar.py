@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caderneta.functions.dates import month_text
 from caderneta.functions.numbers import money_mean, skip_nan
-from caderneta.operators.ordered import carry
+from caderneta.operators.ordered import carry, never_null
 
 FILE = "arquivo_origem"
 DATE = "data_emissao"
@@ -73,6 +73,37 @@ def period_overlaps(items: DataFrame) -> DataFrame:
     )
 
 
+BUCKET_DAYS = 32
+SALTS = 8
+
+
+def overlapping_files(items: DataFrame) -> DataFrame:
+    """Every two files whose periods meet, and on how many days.
+
+    For items as ingested, like ``period_overlaps``.  (arquivo_a, arquivo_b) are by name.  A
+    period stands in each bucket of 32 days that it touches; two periods are paired in the
+    first bucket that both touch, so once.  All files may share a bucket: one side is
+    dealt over eight tasks a bucket, which all get the other.
+    """
+    periods = file_periods(items.withColumn(FILE, never_null(FILE))).withColumns({
+        "de": F.floor(F.unix_date("inicio") / BUCKET_DAYS), "ate": F.floor(F.unix_date("fim") / BUCKET_DAYS),
+    })
+    placed = periods.withColumn("faixa", F.explode(F.sequence("de", "ate")))
+    a = placed.withColumn("parte", F.pmod(F.xxhash64(FILE), F.lit(SALTS)).cast("int")).alias("a")
+    b = placed.withColumn("parte", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).alias("b")
+    begin, end = F.greatest("a.inicio", "b.inicio"), F.least("a.fim", "b.fim")
+    met = a.join(
+        b,
+        (F.col("a.faixa") == F.col("b.faixa")) & (F.col("a.parte") == F.col("b.parte"))
+        & (F.col(f"a.{FILE}") < F.col(f"b.{FILE}"))
+        & (F.col("a.faixa") == F.greatest("a.de", "b.de")) & (begin <= end),
+    )
+    return met.select(
+        F.col(f"a.{FILE}").alias("arquivo_a"), F.col(f"b.{FILE}").alias("arquivo_b"),
+        begin.alias("inicio"), end.alias("fim"), (F.date_diff(end, begin) + 1).cast("long").alias("dias"),
+    )
+
+
 def supersede_partial(items: DataFrame) -> DataFrame:
     """Keep, for each month, only the file that holds most of it.
 
@@ -80,9 +111,11 @@ def supersede_partial(items: DataFrame) -> DataFrame:
     file, which would then lose to the partial one.  Consolidate what this leaves.
 
     The fullest version replaces partial ones and no month is counted twice; equal
-    counts go to the name that sorts last.  Undated items stay.
+    counts go to the name that sorts last.  Undated items stay.  A dated item without a
+    file name fails the job.
     """
-    months = items.withColumn("mes", month_text(F.col(DATE)))
+    named = F.when(F.col(DATE).isNull(), F.col(FILE)).otherwise(never_null(FILE))
+    months = items.withColumns({"mes": month_text(F.col(DATE)), FILE: named})
     winners = (
         months.filter(F.col(DATE).isNotNull())
         .groupBy("mes", FILE)
