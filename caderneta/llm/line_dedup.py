@@ -38,7 +38,10 @@ STAR_WORDS = 2
 # Words from so many occurrences on are many lines' words for certain, and their lists are split.
 COMMON = 1 << 12
 SALTS = 16
-ROUNDS = 4  # candidates are searched by a part of the words at a time, so that less disk is in use at once
+# Candidates are searched by a part of the words at a time, and verified by a part of the
+# lines, whose sets go with each pair: so less disk is in use at once.
+ROUNDS = 2
+VERIFY_ROUNDS = 4
 LEAST_FILTER, MOST_FILTER = 1 << 20, 1 << 28
 
 
@@ -281,13 +284,18 @@ def _gone(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     sets = stored(_whole_sets(docs, firsts.select("cls").distinct()).join(firsts, "cls"), "sets")
     a = sets.select(F.col("id").alias("a"), F.col("words").alias("xa"), F.col("first").alias("fa"))
     b = sets.select(F.col("id").alias("b"), F.col("words").alias("xb"), F.col("first").alias("fb"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("shared", F.size(F.array_intersect("xa", "xb")))
+    shared = F.size(F.array_intersect("xa", "xb"))
     union = F.size("xa") + F.size("xb") - F.col("shared")
     later = F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a"))
-    similar = both.filter(100 * F.col("shared") >= SIMILAR * union)
-    gone = stored(similar.select(later.alias("id")).distinct(), "gone")
-    discard(firsts, sets)
-    release(docs.sparkSession)
+    found = []
+    for turn in range(VERIFY_ROUNDS):
+        some = pairs.filter(F.pmod(F.xxhash64("a"), F.lit(VERIFY_ROUNDS)) == turn)
+        both = some.join(a, "a").join(b, "b").withColumn("shared", shared)
+        similar = both.filter(100 * F.col("shared") >= SIMILAR * union)
+        found.append(stored(similar.select(later.alias("id")).distinct(), "gone"))
+        release(docs.sparkSession)
+    gone = stored(reduce(DataFrame.unionByName, found).distinct(), "gone")
+    discard(firsts, sets, *found)
     return gone
 
 
