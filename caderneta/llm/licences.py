@@ -125,8 +125,31 @@ def _ngrams(words: Column, n: int) -> Column:
     )).otherwise(F.array().cast("array<string>"))
 
 
-def _paragraph_grams(words: Column) -> Column:
-    return F.array_distinct(F.concat(*[_ngrams(words, n) for n in LENGTHS]))
+def _shared_grams(words: Column, own: list[str], shared: list[str]) -> Column:
+    """The different n-grams of a paragraph that are among ``shared``, in order.
+
+    Those all begin with a word of ``own``, so n-grams are made at such words only.  Past the
+    last word they come out shorter, which repeats one that is there anyway.
+    """
+    starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(own))
+
+    def made(n: int) -> Column:
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)]))
+
+    grams = F.concat(*[made(n) for n in LENGTHS])
+    return F.array_sort(F.array_distinct(F.filter(grams, lambda g: g.isin(shared))))
+
+
+def _long_size(words: Column) -> Column:
+    """How many different word pairs and triples a paragraph of two words or more has, by hash."""
+    def different(n: int) -> Column:
+        hashes = F.transform(
+            F.sequence(F.lit(0), F.size(words) - n),
+            lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)]),
+        )
+        return F.size(F.array_distinct(hashes))
+
+    return different(2) + F.when(F.size(words) > 2, different(3)).otherwise(0)
 
 
 def _varied(text: str, draw: random.Random) -> list[str]:
@@ -256,15 +279,6 @@ def scan_paragraphs(docs: DataFrame, model: Classifier) -> DataFrame:
     found = cut.filter(F.size(own) > 1).filter(
         F.exists(_ngrams(F.col("words"), 2), lambda g: g.isin(model.pairs))
     )
-    # Paragraphs of equal words are scored once: only their hashes are kept for each place.
-    key = ["words_a", "words_b"]
-    found = found.withColumns({"words_a": F.xxhash64("words"), "words_b": F.xxhash64(F.lit(1), "words")})
-    found = stored(found, "paragraphs")
-    texts = found.groupBy(*key).agg(F.any_value("words").alias("words"))
-    grams = settled(texts.withColumn("grams", _paragraph_grams(F.col("words"))), *key, "words", values=["grams"])
-    longer = (F.size("grams") - F.size(F.array_distinct("words"))).alias("longer")
-    grams = settled(grams, *key, "grams", values=[longer])
-    grams = grams.select(*key, "longer", F.explode("grams").alias("gram"))
     columns = [f"w{k}" for k in range(NONE + 1)]
     shares = [f"s{k}" for k in range(NONE)]
     # Marks: the notices, each with the size of its word pairs and triples, then the families.
@@ -278,11 +292,26 @@ def scan_paragraphs(docs: DataFrame, model: Classifier) -> DataFrame:
         + [(len(notices) + f, f, None) for f in range(NONE)],
         "mark int, family int, size int",
     )
+    # A paragraph is judged by the n-grams it shares with the model or the notices, and by how many
+    # pairs and triples it has.  Only these leave the task, and equal ones are scored once.
+    shared = sorted({*model.index, *having})
+    at = ["doc_id", "text_hash", "paragraph"]
+    found = settled(found, *at, values=[
+        _long_size(F.col("words")).alias("longer"),
+        _shared_grams(F.col("words"), sorted(model.words), shared).alias("features"),
+    ])
+    key = ["set_a", "set_b"]
+    found = stored(found.withColumns({
+        "set_a": F.xxhash64("longer", "features"), "set_b": F.xxhash64(F.lit(1), "longer", "features"),
+    }), "paragraphs")
+    grams = found.select(*key, "longer", "features").distinct().select(
+        *key, "longer", F.explode("features").alias("gram")
+    )
     # One row per feature of a model of fixed size, or gram of a notice.
     nothing = [0.0] * (NONE + 1)
     known = small_table(
         spark, [(g, *(map(float, model.weights[model.index[g]]) if g in model.index else nothing), sorted(having.get(g, ())))
-         for g in sorted({*model.index, *having})],
+         for g in shared],
         "gram string, " + ", ".join(f"{c} double" for c in columns) + ", marks array<int>",
     )
     scored = grams.join(F.broadcast(known), "gram")
@@ -314,7 +343,7 @@ def scan_paragraphs(docs: DataFrame, model: Classifier) -> DataFrame:
         F.col("best.s").alias("similarity"),
         F.when(sure, F.col("best.family")).otherwise("unknown").alias("verdict"),
     )
-    places = found.select("doc_id", "text_hash", "paragraph", *key).distinct()
+    places = found.select(*at, *key).distinct()
     return places.join(verdicts, key).drop(*key)
 
 
