@@ -454,6 +454,24 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 3, 'Duplicatas encontradas em id_venda'
           WHERE EXISTS (SELECT 1 FROM items GROUP BY id_venda HAVING count(*) > 1))
       SELECT row_number() OVER (ORDER BY k) - 1 AS ord, error FROM found""",
+    "quarantined_items": f"""WITH {ITEMS},
+      changed AS (SELECT * REPLACE (
+          CASE WHEN protocolo = '3' THEN ' ' ELSE numero_documento END AS numero_documento,
+          CASE WHEN protocolo = '5' THEN NULL ELSE valor_total_venda END AS valor_total_venda),
+          count(*) OVER (PARTITION BY id_venda) AS vezes FROM items),
+      judged AS (SELECT valor_total_venda, concat_ws('; ',
+          CASE WHEN coalesce(trim(produto), '') = ''
+            THEN 'Campo obrigatório vazio: produto' END,
+          CASE WHEN data_emissao IS NULL THEN 'Campo obrigatório vazio: data_emissao' END,
+          CASE WHEN coalesce(trim(numero_documento), '') = ''
+            THEN 'Campo obrigatório vazio: numero_documento' END,
+          CASE WHEN valor_total_venda IS NULL
+            THEN 'Campo obrigatório vazio: valor_total_venda' END,
+          CASE WHEN vezes > 1 THEN 'Duplicatas encontradas em id_venda' END) AS motivos
+        FROM changed)
+      SELECT CASE WHEN motivos = '' THEN 'aceito' ELSE 'rejeitado' END AS situacao, motivos,
+        count(*) AS linhas, round(sum(valor_total_venda), 2) AS valor
+      FROM judged GROUP BY ALL""",
     "consolidate": CLEAN_ROWS,
     "consolidation_report": f"""WITH {STAGES}
       SELECT o AS total_original, f AS total_final, o - f AS linhas_removidas FROM n""",

@@ -38,6 +38,7 @@ from caderneta.sinks.files import (
     export_bi_csv,
     export_csv,
     export_parquet,
+    export_quarantine,
     json_lines,
     read_bi_csv,
     read_csv,
@@ -340,6 +341,23 @@ def _validation_missing_column(spark, sf_dir):
     return quality.validation_errors(_items(spark, sf_dir).drop("numero_documento"))
 
 
+@query("quarantined_items")
+def _quarantined_items(spark, sf_dir):
+    """Items and value by what the written folders say of them; some lack a number or a value."""
+    document, value = F.col("numero_documento"), F.col("valor_total_venda")
+    items = _items(spark, sf_dir).withColumns({
+        "numero_documento": F.when(F.col("protocolo") == "3", " ").otherwise(document),
+        "valor_total_venda": F.when(F.col("protocolo") == "5", None).otherwise(value),
+    })
+    path = export_quarantine(items, work_dir(spark, "quarentena"))
+    return spark.read.parquet(path).groupBy(
+        "situacao", F.concat_ws("; ", "motivos").alias("motivos")
+    ).agg(
+        F.count(F.lit(1)).alias("linhas"),
+        F.round(F.sum("valor_total_venda"), 2).alias("valor"),
+    )
+
+
 @query("consolidate")
 def _consolidated(spark, sf_dir):
     return consolidate(_items(spark, sf_dir))

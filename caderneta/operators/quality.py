@@ -65,6 +65,31 @@ def duplicate_ids(items: DataFrame) -> DataFrame:
     )
 
 
+def with_reasons(items: DataFrame) -> DataFrame:
+    """Adds ``motivos``, why each item fails: the messages of ``validate`` that hold for it.
+
+    An item without findings has an empty array.  Of a repeated sale id every row is marked;
+    a null id counts as one value.  Ids are counted in map tasks first, and rows meet only
+    the ids that repeat; adaptive execution splits the rows of a hot id, which stand on the
+    side of that join that may be cut.
+    """
+    missing = [
+        F.when(_is_missing(items, name), EMPTY + name) if name in items.columns
+        else F.lit(ABSENT + name)
+        for name in REQUIRED
+    ]
+    if "id_venda" not in items.columns:
+        return items.withColumn("motivos", F.array_compact(F.array(*missing)))
+    repeated = duplicate_ids(items).select(
+        F.col("id_venda").alias("_id"), F.lit(True).alias("_repetido")
+    )
+    joined = items.join(repeated, F.col("id_venda").eqNullSafe(F.col("_id")), "left")
+    twice = F.when(F.col("_repetido"), DUPLICATED)
+    return joined.withColumn("motivos", F.array_compact(F.array(*missing, twice))).drop(
+        "_id", "_repetido"
+    )
+
+
 def validate(items: DataFrame) -> DataFrame:
     """One row: total_rows, has_errors, total_errors, errors, summary."""
     checks = []

@@ -17,9 +17,12 @@ from caderneta.operators.consolidate import (
 )
 from caderneta.operators.kpis import compute_kpis, kpi_global, sales_by_month, top_products
 from caderneta.operators.ordered import number_rows, running_max
-from caderneta.operators.quality import duplicate_ids, required_violations, validate
+from caderneta.operators.quality import (
+    duplicate_ids, required_violations, validate, with_reasons,
+)
 from caderneta.operators.standardize import standardize
 from caderneta.schemas import ITEM, RAW_GRID
+from caderneta.sinks.files import export_quarantine
 from caderneta.sources.grid import ingest_grid, parse_grid
 
 ITEM_ROW = (
@@ -377,6 +380,33 @@ def test_validate(spark):
                       "valor_total_venda": 0}
 
 
+def test_quarantine_against_row_by_row(spark, tmp_path):
+    """Each row once, in its folder, with the reasons that hold for it; a hot id included."""
+    rng = random.Random(8)
+    rows = [item(protocolo=str(k), numero_documento=rng.choice(["001-1", "", None, f"001-{k + 9}"]),
+                 produto=rng.choice(["A - B", " \t", None]),
+                 valor_total_venda=rng.choice([1.0, 0.0, None, float("nan")])) for k in range(90)]
+    rows += [item(protocolo=f"h{k}", data_emissao=None) for k in range(60)]
+    df = standardize(items(spark, *rows))
+    expected, ids = {}, Counter(r.id_venda for r in df.collect())
+    for r in df.collect():
+        checks = [(not (r.produto or "").strip(), "vazio: produto"),
+                  (r.data_emissao is None, "vazio: data_emissao"),
+                  (not (r.numero_documento or "").strip(), "vazio: numero_documento"),
+                  (r.valor_total_venda is None or r.valor_total_venda != r.valor_total_venda,
+                   "vazio: valor_total_venda")]
+        found = ["Campo obrigatório " + text for wrong, text in checks if wrong]
+        found += ["Duplicatas encontradas em id_venda"] * (ids[r.id_venda] > 1)
+        expected[r.protocolo] = ("rejeitado" if found else "aceito", found)
+    path = export_quarantine(df, str(tmp_path / "q"))
+    got = spark.read.parquet(path).collect()
+    assert len(got) == len(rows) and {s for s, _ in expected.values()} == {"aceito", "rejeitado"}
+    assert {r.protocolo: (r.situacao, r.motivos) for r in got} == expected
+    absent = with_reasons(df.drop("produto", "id_venda")).first()
+    assert absent.motivos[0] == "Campo obrigatório ausente: produto"
+    assert with_reasons(df.filter("false")).count() == 0
+
+
 def test_consolidate(spark):
     a, b = item(), item(protocolo="2")
     copy = item(arquivo_origem="q2.xlsx")
