@@ -17,6 +17,7 @@ from caderneta.functions.dates import br_date_parts, valid_date
 from caderneta.functions.numbers import br_number, br_percent
 from caderneta.functions.text import PRODUCT_SEPARATOR, is_digits, strip
 from caderneta.operators.ordered import carry, local_number, never_null, row_offsets, running_max
+from caderneta.scratch import written
 
 FILE = "arquivo_origem"
 ORDER = ["blk", "seq"]
@@ -211,9 +212,11 @@ def with_running_year(documents: DataFrame) -> DataFrame:
 def analytic_sales(lines: DataFrame) -> DataFrame:
     """Items of the analytic layout: resolved dates, numbered within the document.
 
-    Impossible dates drop the line, after it has had its say on the year.
+    Impossible dates drop the line, after it has had its say on the year.  Lines are parsed
+    once into a working table: the years, the numbers and the items then read its columns.
     """
     documents = document_lines(lines, ANALYTIC).filter(F.col("descricao") != "")
+    documents = written(documents, "vendas")
     dated = (
         with_running_year(documents)
         .withColumn("data_emissao", valid_date(F.col("ano"), F.col("mes"), F.col("dia")))
@@ -332,9 +335,10 @@ def purchases(lines: DataFrame) -> DataFrame:
     """Items of the purchase layout with dates repaired from the document number.
 
     What a document resolves to is attached to its blocks first, so the line-level
-    join runs on (file, document, block) and one huge document still spreads out.
+    join runs on (file, document, block) and one huge document still spreads out.  Lines are
+    parsed once into a working table, which blocks, dates, spans and items then read.
     """
-    documents = document_lines(lines, PURCHASE)
+    documents = written(document_lines(lines, PURCHASE), "compras")
     blocks = documents.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("antes"))
     offsets = carry(blocks, [FILE, "ci"], [["blk"]], ["antes"], "sum").fillna(0, ["antes"])
     resolved = offsets.join(
