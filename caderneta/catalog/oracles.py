@@ -488,6 +488,15 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'top_produtos_valor', codigo, total FROM v
       UNION ALL SELECT 'top_produtos_qtd', codigo, total FROM q
       UNION ALL SELECT 'vendas_por_mes', mes, total FROM m""",
+    "distinct_by_months": f"""WITH {CLEAN},
+      seen AS (SELECT DISTINCT strftime(data_emissao, '%Y-%m') AS mes, id_venda, codigo_produto
+        FROM clean WHERE data_emissao IS NOT NULL),
+      ranges AS (SELECT DISTINCT
+          strftime(CAST(mes || '-01' AS DATE) - to_months(antes), '%Y-%m') AS inicio, mes AS fim
+        FROM seen CROSS JOIN (VALUES (0), (11)) AS t(antes))
+      SELECT inicio, fim, count(DISTINCT id_venda) AS notas,
+        count(DISTINCT codigo_produto) AS produtos
+      FROM ranges JOIN seen ON mes BETWEEN inicio AND fim GROUP BY inicio, fim""",
     # sinks and audit
     "parquet_roundtrip": CLEAN_ROWS,
     "csv_roundtrip": CLEAN_ROWS.replace("* REPLACE (", """* REPLACE (

@@ -26,13 +26,14 @@ from caderneta.operators.consolidate import (
     consolidate_counted,
     consolidation_report,
 )
+from caderneta.operators.distinct import distinct_in_ranges, month_bitmaps
 from caderneta.operators.standardize import standardize
 from caderneta.plans import months
 from caderneta.plans.audit import audit_summary
 from caderneta.plans.incremental import ingest_new
 from caderneta.plans.pipeline import run_items, run_pipeline
 from caderneta.schemas import ITEM
-from caderneta.scratch import work_dir
+from caderneta.scratch import work_dir, written
 from caderneta.sinks.files import (
     bi_csv_lines,
     export_bi_csv,
@@ -116,7 +117,7 @@ def _rel_file_purchases(spark, sf_dir):
     numbers is left out.
     """
     lines = tables.purchase_lines(spark, sf_dir)
-    whole = lines.repartition(F.col("seq.l_orderkey")).sortWithinPartitions(
+    whole = lines.repartition(fixed.PURCHASE.text("ci")).sortWithinPartitions(
         "arquivo_origem", "blk", "seq"
     )
     items = read_purchases(spark, _printed(spark, whole), glob="*.csv")
@@ -396,6 +397,27 @@ def _kpi_bundle(spark, sf_dir):
     return kpis.kpi_bundle(_clean(spark, sf_dir))
 
 
+@query("distinct_by_months")
+def _distinct_by_months(spark, sf_dir):
+    """Sales and products of each month and of the twelve months it ends, from bitmaps."""
+    items = written(
+        _clean(spark, sf_dir).select("data_emissao", "id_venda", "codigo_produto"), "itens"
+    )
+    ends = items.select(F.trunc("data_emissao", "month").alias("dia")).distinct().filter("dia IS NOT NULL")
+    ranges = ends.select(
+        F.explode(F.array(F.lit(0), F.lit(11))).alias("antes"), "dia"
+    ).select(
+        F.date_format(F.expr("add_months(dia, -antes)"), "yyyy-MM").alias("inicio"),
+        F.date_format("dia", "yyyy-MM").alias("fim"),
+    )
+    ranges = written(ranges, "periodos")
+    counts = [
+        distinct_in_ranges(month_bitmaps(items, column), ranges).withColumnRenamed("distintos", name)
+        for column, name in (("id_venda", "notas"), ("codigo_produto", "produtos"))
+    ]
+    return counts[0].join(counts[1], ["inicio", "fim"])
+
+
 # --- sinks and audit ---------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caderneta.functions.text import document_type
@@ -173,12 +173,15 @@ def _printed(rows: DataFrame, line: Column) -> DataFrame:
         "((l_linenumber div 6) * 2147483648 + l_orderkey div 4096) * 4096"
         " + l_partkey div 1048576"
     )
+    within = Window.partitionBy("arquivo_origem", "blk").orderBy(*LINE_COLUMNS, "pos")
     return rows.select(
         F.concat(F.lit("vendas_"), "l_returnflag", F.lit(".rel")).alias("arquivo_origem"),
         block.alias("blk"),
         *LINE_COLUMNS,
         F.posexplode(lines).alias("pos", "line"),
-    ).select("arquivo_origem", "blk", F.struct(*LINE_COLUMNS, "pos").alias("seq"), "line")
+    ).select(
+        "arquivo_origem", "blk", F.row_number().over(within).cast("bigint").alias("seq"), "line"
+    )
 
 
 @stored

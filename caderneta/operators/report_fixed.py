@@ -256,11 +256,30 @@ def document_stats(documents: DataFrame) -> DataFrame:
     )
 
 
+PRINTED = ["dia", "mes", "aa"]
+
+
+def block_dates(documents: DataFrame) -> DataFrame:
+    """Per document, block and printed date: its lines ``n`` and the ``primeira`` of them.
+
+    The only pass over lines that dates need.  It folds in map tasks into hash tables, and a
+    document that fills many blocks is many groups.
+    """
+    return documents.groupBy(*SPOT, *PRINTED).agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("primeira")
+    )
+
+
 def modal_dates(documents: DataFrame) -> DataFrame:
     """Per document: its most frequent printed date, ties going to the first seen."""
-    printed = ["dia", "mes", "aa"]
-    by_date = documents.groupBy(FILE, "ci", *printed).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*ORDER)).alias("primeira")
+    return _modes(block_dates(documents))
+
+
+def _modes(blocks: DataFrame) -> DataFrame:
+    """``modal_dates`` from ``block_dates``."""
+    printed = PRINTED
+    by_date = blocks.groupBy(FILE, "ci", *printed).agg(
+        F.sum("n").alias("n"), F.min(F.struct("blk", "primeira")).alias("primeira")
     )
     best = F.min_by(F.struct(*printed, "n"), F.struct(-F.col("n"), "primeira"))
     picked = by_date.groupBy(FILE, "ci").agg(
@@ -324,8 +343,16 @@ def corrected_date() -> Column:
 
 
 def document_dates(documents: DataFrame) -> DataFrame:
-    """Per document: modal date, inferred year, confidence and corrected date."""
-    groups = with_inferred_year(modal_dates(documents), document_spans(documents))
+    """Per document: modal date, inferred year, confidence and corrected date.
+
+    Lines are folded into a working table of dates once, when this is called.
+    """
+    return _resolved(written(block_dates(documents), "datas"))
+
+
+def _resolved(blocks: DataFrame) -> DataFrame:
+    """``document_dates`` from ``block_dates``."""
+    groups = with_inferred_year(_modes(blocks), document_spans(blocks))
     return groups.withColumns(
         {"confianca": confidence(), "data_emissao": corrected_date()}
     )
@@ -336,13 +363,15 @@ def purchases(lines: DataFrame) -> DataFrame:
 
     What a document resolves to is attached to its blocks first, so the line-level
     join runs on (file, document, block) and one huge document still spreads out.  Lines are
-    parsed once into a working table, which blocks, dates, spans and items then read.
+    parsed once into a working table and folded once into their blocks' dates; offsets,
+    modes and spans read those, the items the lines.
     """
     documents = written(document_lines(lines, PURCHASE), "compras")
-    blocks = documents.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("antes"))
+    dates = written(block_dates(documents), "datas")
+    blocks = dates.groupBy(*SPOT).agg(F.sum("n").alias("antes"))
     offsets = carry(blocks, [FILE, "ci"], [["blk"]], ["antes"], "sum").fillna(0, ["antes"])
     resolved = offsets.join(
-        document_dates(documents).select(
+        _resolved(dates).select(
             FILE, "ci", "data_emissao", "ano_inferido", "confianca", "data_original"
         ),
         [FILE, "ci"],

@@ -15,7 +15,10 @@ from caderneta.operators.calendar import (
 from caderneta.operators.consolidate import (
     consolidate, consolidate_counted, consolidation_report,
 )
-from caderneta.operators.kpis import compute_kpis, kpi_global, sales_by_month, top_products
+from caderneta.operators.distinct import distinct_in_ranges, month_bitmaps, value_numbers
+from caderneta.operators.kpis import (
+    compute_kpis, kpi_bundle, kpi_cube, kpi_global, sales_by_month, top_products,
+)
 from caderneta.operators.ordered import number_rows, running_max
 from caderneta.operators.quality import (
     duplicate_ids, required_violations, validate, with_reasons,
@@ -297,6 +300,18 @@ def test_purchases_against_brute_force(spark):
              r.protocolo) for r in got} == expected
 
 
+def test_a_mode_spread_over_blocks(spark):
+    """Ties go to the date seen first: lower block, then lower place in it; lines only hash."""
+    rows = [("f", 7, 2, 1, 1, 1, 10), ("f", 7, 1, 9, 2, 2, 11), ("f", 7, 1, 3, 3, 3, 12),
+            ("f", 7, 2, 5, 2, 2, 11), ("f", 7, 2, 9, 3, 3, 12), ("f", 8, 4, 0, 9, 9, 9)]
+    documents = spark.createDataFrame(
+        rows, "arquivo_origem string, ci long, blk long, seq long, dia int, mes int, aa int")
+    plan = fixed.block_dates(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort " not in plan
+    got = {r.ci: (r.data_original, r.freq_data, r.total_datas) for r in fixed.modal_dates(documents).collect()}
+    assert got == {7: ("03/03/12", 2, 5), 8: ("09/09/09", 1, 1)}
+
+
 def test_year_slices_on_edges(spark):
     cases = []
     for low, span in [(10, n) for n in range(18, 400, 3)] + [(10005, 24059), (7, 10**9 + 7)]:
@@ -462,6 +477,54 @@ def test_kpis_skip_missing(spark):
     assert kpis["vendas_por_mes"].collect()[-1] == ("NaT", 0.0)
 
 
+def test_kpis_read_the_items_once(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(f"{rng.randrange(9)}", rng.choice(["X", None]), rng.choice([f"id{rng.randrange(50)}", None]),
+             date(2025, rng.randrange(1, 5), 1) if rng.random() < 0.9 else None,
+             rng.choice([1.25, None, float("nan"), -3.0]), float(rng.randrange(5))) for _ in range(400)]
+    path = str(tmp_path / "items")
+    spark.createDataFrame(rows, KPI_SCHEMA).write.parquet(path)
+    stored = spark.read.parquet(path)
+    plan = kpi_cube(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "SortAggregate" not in plan
+    assert not any(path in name for name in kpi_bundle(stored).inputFiles())
+    kpis = compute_kpis(stored)
+    assert kpis["global"].collect() == kpi_global(stored).collect()
+    assert kpis["vendas_por_mes"].collect() == sales_by_month(stored).collect()
+    for name, measure in (("top_produtos_valor", "valor_total_venda"), ("top_produtos_qtd", "quantidade")):
+        assert kpis[name].collect() == top_products(stored, measure).collect()
+    empty = compute_kpis(stored.filter("false"))
+    assert empty["global"].first() == (0.0, 0, 0, 0.0)
+    assert all(empty[name].count() == 0 for name in list(empty)[1:])
+
+
+@pytest.mark.parametrize("part_values", [1 << 20, 40])
+def test_distinct_counts_of_ranges(spark, monkeypatch, part_values):
+    monkeypatch.setattr("caderneta.operators.distinct.PART_VALUES", part_values)
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        value = "hot" if i % 3 == 0 else rng.choice([f"v{rng.randrange(400)}", None, "", "é"])
+        day = date(2024 + rng.randrange(2), rng.randrange(1, 13), rng.randrange(1, 29))
+        rows.append((value, day if rng.random() < 0.9 else None))
+    df = spark.createDataFrame(rows, "v string, data_emissao date")
+    numbers = value_numbers(df, "v").collect()
+    assert len({(r.parte, r.numero) for r in numbers}) == len(numbers) == len({v for v, _ in rows} - {None})
+    assert (len({r.parte for r in numbers}) > 1) == (part_values == 40)
+    asked = [("2024-01", "2024-01"), ("2024-03", "2025-02"), ("2024-01", "2025-12"), ("2030-01", "2030-02"),
+             ("2024-05", "2024-04"), ("2024-01", "2024-01")]
+    ranges = spark.createDataFrame(asked, "inicio string, fim string")
+    bitmaps = month_bitmaps(df, "v")
+    got = {(r.inicio, r.fim): r.distintos for r in distinct_in_ranges(bitmaps, ranges).collect()}
+    assert got == {
+        (a, b): len({v for v, d in rows if v is not None and d and a <= d.strftime("%Y-%m") <= b})
+        for a, b in asked
+    }
+    undated = bitmaps.filter("mes = 'NaT'").agg(F.sum(F.bitmap_count("bits"))).first()[0]
+    assert undated == len({v for v, d in rows if v is not None and d is None})
+    assert month_bitmaps(df.filter("false"), "v").count() == 0
+
+
 def test_period_overlaps_against_pairs(spark):
     rng = random.Random(5)
     start, rows, spans = date(2024, 12, 1), [], {}
