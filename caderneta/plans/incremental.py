@@ -22,6 +22,7 @@ from caderneta.sources.grid import FILE, ingest_grid
 
 PATH = "caminho"
 MANIFEST = "caminho string, tamanho long, modificado timestamp, sha256 string, lote string"
+FILES = "path string, modificationTime timestamp, length long, content binary"
 # Parts a path from the name of a workbook; no file name holds it.
 _PART = "\u0001"
 
@@ -40,7 +41,11 @@ class Ingested:
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """(caminho, tamanho, modificado) of the Parquet files below a folder; contents are not read."""
     found = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet", recursiveFileLookup="true").load(folder)
-    return found.select(F.col("path").alias(PATH), F.col("length").alias("tamanho"),
+    return _listed(found)
+
+
+def _listed(files: DataFrame) -> DataFrame:
+    return files.select(F.col("path").alias(PATH), F.col("length").alias("tamanho"),
                         F.col("modificationTime").alias("modificado"))
 
 
@@ -78,20 +83,12 @@ def _parsed(spark: SparkSession, paths: list[str]) -> DataFrame:
     })
 
 
-def ingest_new(spark: SparkSession, folder: str, state: str) -> Ingested:
-    """Brings the state up to the folder's grid files, parsing only new and changed ones.
-
-    A workbook stands in one file, whole.  A file counts as unchanged if its length and time
-    are those known, or, failing that, its content is.  Items of changed files replace the
-    old ones, those of files that are gone go too, so ``itens`` equals a full run.  The
-    names of the files to be read pass the driver, as in any read of a list of files.
-    """
-    state = state.rstrip("/")
+def _bring_up(spark: SparkSession, state: str, listed: DataFrame, whole: bool) -> Ingested:
+    """Takes the files ``listed`` into the state; if they are the ``whole`` folder, others go."""
     known = manifest(spark, state)
-    listed = list_files(spark, folder)
     unseen = listed.join(known, listed.columns, "left_anti")
     paths = sorted(r[PATH] for r in unseen.select(PATH).collect())
-    gone = known.join(listed, PATH, "left_anti").count()
+    gone = known.join(listed, PATH, "left_anti").count() if whole else 0
     total = listed.count()
     batch = uuid.uuid4().hex
     fresh = spark.createDataFrame([], MANIFEST)
@@ -109,7 +106,50 @@ def ingest_new(spark: SparkSession, folder: str, state: str) -> Ingested:
         if changed:
             _parsed(spark, changed).write.parquet(f"{state}/itens/lote={batch}")
     if paths or gone:
-        unchanged = known.join(listed, listed.columns, "left_semi")
-        write_version(unchanged.unionByName(fresh), f"{state}/manifesto")
+        others = known.join(unseen, PATH, "left_anti")
+        if whole:
+            others = others.join(listed, PATH, "left_semi")
+        write_version(others.unionByName(fresh), f"{state}/manifesto")
     versions = finished_versions(spark, f"{state}/manifesto")
     return Ingested(known_items(spark, state), read, total - read, gone, versions[-1] if versions else 0)
+
+
+def ingest_new(spark: SparkSession, folder: str, state: str) -> Ingested:
+    """Brings the state up to the folder's grid files, parsing only new and changed ones.
+
+    A workbook stands in one file, whole.  A file counts as unchanged if its length and time
+    are those known, or, failing that, its content is.  Items of changed files replace the
+    old ones, those of files that are gone go too, so ``itens`` equals a full run.  The
+    names of the files to be read pass the driver, as in any read of a list of files.
+    """
+    return _bring_up(spark, state.rstrip("/"), list_files(spark, folder), whole=True)
+
+
+def ingest_stream(spark: SparkSession, folder: str, state: str, checkpoint: str, files: int = 1000) -> Ingested:
+    """Takes the files that came since the last call into the state, ``files`` at a time.
+
+    The file stream remembers in ``checkpoint`` what it has seen, so the folder's known files
+    are not compared.  Each batch writes its items and then the manifest; a batch that is
+    repeated after a failure finds its files in the manifest and parses nothing.  A stream
+    meets a path once: files that change or go are for ``ingest_new``, on the same state.
+    """
+    state = state.rstrip("/")
+    read = kept = 0
+
+    def take(batch: DataFrame, _: int) -> None:
+        nonlocal read, kept
+        done = _bring_up(batch.sparkSession, state, _listed(batch), whole=False)
+        read, kept = read + done.lidos, kept + done.mantidos
+
+    found = (
+        spark.readStream.format("binaryFile").schema(FILES)
+        .options(pathGlobFilter="*.parquet", recursiveFileLookup="true", maxFilesPerTrigger=str(files))
+        .load(folder)
+    )
+    query = (
+        found.select("path", "modificationTime", "length").writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    versions = finished_versions(spark, f"{state}/manifesto")
+    return Ingested(known_items(spark, state), read, kept, 0, versions[-1] if versions else 0)

@@ -204,3 +204,38 @@ def test_an_empty_folder(spark, tmp_path):
     result = incremental.ingest_new(spark, folder, str(tmp_path / "state"))
     assert (result.lidos, result.mantidos, result.removidos, result.versao) == (0, 0, 0, 0)
     assert result.itens.count() == 0
+
+
+# --- stream ----------------------------------------------------------------------
+
+
+def test_a_stream_of_files_equals_a_full_run(spark, tmp_path, monkeypatch):
+    folder, parsed = str(tmp_path / "in"), []
+    for k in range(4):
+        one_workbook(spark, f"{k}.xlsx", 2 + k).coalesce(1).write.parquet(f"{folder}/{k}")
+    columns = ITEM.fieldNames()
+    full = sorted(map(str, ingest_grid(spark.read.schema(RAW_GRID).parquet(*glob.glob(f"{folder}/*"))).select(*columns).collect()))
+    plain = incremental._parsed
+    monkeypatch.setattr(incremental, "_parsed", lambda spark, paths: parsed.extend(paths) or plain(spark, paths))
+    for files in (3, 100):
+        done = incremental.ingest_stream(spark, folder, str(tmp_path / f"s{files}"), str(tmp_path / f"c{files}"), files)
+        assert (done.lidos, done.mantidos) == (4, 0)
+        assert sorted(map(str, done.itens.select(*columns).collect())) == full
+    # A batch whose manifest is written, but which the stream does not know as done, is not parsed again.
+    parsed.clear()
+    state, checkpoint = str(tmp_path / "s"), str(tmp_path / "c")
+    write = incremental.write_version
+
+    def dies_after(table, path):
+        if write(table, path) == 2:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(incremental, "write_version", dies_after)
+    with pytest.raises(Exception, match="lost"):
+        incremental.ingest_stream(spark, folder, state, checkpoint, 1)
+    monkeypatch.setattr(incremental, "write_version", write)
+    again = incremental.ingest_stream(spark, folder, state, checkpoint, 1)
+    assert (again.lidos, again.mantidos) == (2, 1) and len(parsed) == len(set(parsed)) == 4
+    assert sorted(map(str, again.itens.select(*columns).collect())) == full
+    assert incremental.ingest_stream(spark, folder, state, checkpoint).lidos == 0
+    assert incremental.ingest_new(spark, folder, state).lidos == 0
