@@ -323,6 +323,8 @@ ORACLES: dict[str, str] = {
       SELECT * FROM grid_items UNION ALL BY NAME SELECT * FROM flat_items""",
     "incremental_ingest": f"""WITH {GRID}
       SELECT * FROM grid_items UNION ALL BY NAME SELECT * FROM flat_items""",
+    "streamed_ingest": f"""WITH {GRID}
+      SELECT * FROM grid_items UNION ALL BY NAME SELECT * FROM flat_items""",
     "layout_dispatch": f"""WITH {GRID}
       SELECT upper(arquivo_origem) AS arquivo_origem, 'hierarquico' AS layout,
         count(*) AS linhas FROM grid_items GROUP BY ALL

@@ -30,7 +30,7 @@ from caderneta.operators.distinct import distinct_in_ranges, month_bitmaps
 from caderneta.operators.standardize import standardize
 from caderneta.plans import months
 from caderneta.plans.audit import audit_summary
-from caderneta.plans.incremental import ingest_new
+from caderneta.plans.incremental import ingest_new, ingest_stream
 from caderneta.plans.pipeline import run_items, run_pipeline
 from caderneta.schemas import ITEM
 from caderneta.scratch import work_dir, written
@@ -154,6 +154,17 @@ def _incremental_ingest(spark, sf_dir):
     return ingest_new(spark, folder, state).itens.select(*ITEM.fieldNames())
 
 
+@query("streamed_ingest")
+def _streamed_ingest(spark, sf_dir):
+    """Four grid files taken in as a stream, two at a time."""
+    both = tables.hierarchical_grid(spark, sf_dir).unionByName(tables.flat_grid(spark, sf_dir))
+    folder, state = work_dir(spark, "entrada"), work_dir(spark, "estado")
+    # A workbook stands in one file, whole.
+    both.repartition(4, "arquivo_origem").write.parquet(folder)
+    done = ingest_stream(spark, folder, state, work_dir(spark, "fluxo"), files=2)
+    return done.itens.select(*ITEM.fieldNames())
+
+
 @query("replaced_months")
 def _replaced_months(spark, sf_dir):
     """The stored table after an update with half of the files and one with all of them."""
