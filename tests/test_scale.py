@@ -7,6 +7,7 @@ import pytest
 from caderneta.catalog import tables
 from caderneta.operators import report_grid as grid
 from caderneta.schemas import RAW_GRID
+from caderneta.sinks.files import export_bi_csv
 
 
 def _plan(df):
@@ -60,6 +61,26 @@ def test_the_grid_is_joined_once(spark, sf_dir):
     assert titles == block("T1", ["000001 - bolt"] * 6) + block("T2", ["000002 - nut"] * 4)
 
 
+def test_bi_csv_computes_its_items_once(spark, tmp_path):
+    looked_at = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            looked_at.add(batch.num_rows)
+            yield batch
+
+    shown = spark.range(0, 100, 1, 1).mapInArrow(rows, "id long").repartition(1)
+    path = export_bi_csv(shown, f"{tmp_path}/bi")
+    assert looked_at.value == 100
+    assert spark.read.text(path).count() == 101
+    # Nothing is left of the rows before when there are none any more.
+    assert [r.value for r in spark.read.text(export_bi_csv(shown.filter("id < 0"), path)).collect()] == ['"id"']
+    for mode in ("append", "ignore"):
+        more = export_bi_csv(shown.filter("id < 0"), f"{tmp_path}/{mode}", mode=mode)
+        assert [r.value for r in spark.read.text(more).collect()] == ['"id"']
+    assert spark.read.text(export_bi_csv(shown, path, mode="append")).count() == 102
+
+
 def test_tasks_grow_with_the_blocks(spark, monkeypatch):
     monkeypatch.setattr(grid, "BLOCK_ROWS", 3)
     monkeypatch.setattr(grid, "TASK_BLOCKS", 1)
