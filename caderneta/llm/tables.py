@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import gc
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caderneta.scratch import work_dir
+from caderneta.scratch import release, work_dir
 
 # The white space of the contract: blank and U+0009 to U+000D.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -63,16 +62,6 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return one.select(F.inline("rows"))
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished jobs.
-
-    It does so when the driver's JVM collects their plans as garbage, which in a short
-    run of large shuffles may otherwise not happen before the disks fill.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def words(text: Column) -> Column:
     """The words of a text; a null text has none."""
     split = F.split(F.coalesce(text, F.lit("")), BLANK)

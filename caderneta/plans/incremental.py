@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from caderneta.plans.versions import finished_versions, read_version, write_version
 from caderneta.schemas import ITEM, RAW_GRID
+from caderneta.scratch import release
 from caderneta.sources.grid import FILE, ingest_grid
 
 PATH = "caminho"
@@ -105,6 +106,7 @@ def _bring_up(spark: SparkSession, state: str, listed: DataFrame, whole: bool) -
         read = len(changed)
         if changed:
             _parsed(spark, changed).write.parquet(f"{state}/itens/lote={batch}")
+            release(spark)
     if paths or gone:
         others = known.join(unseen, PATH, "left_anti")
         if whole:

@@ -1,13 +1,20 @@
 """Steps that must not shuffle, sort or gather more than their input: their plans, and their rows."""
 
 import datetime
+import os
+import time
 
 import pytest
 
 from caderneta.catalog import tables
 from caderneta.operators import report_grid as grid
-from caderneta.schemas import RAW_GRID
+from caderneta.operators.consolidate import consolidate
+from caderneta.operators.standardize import standardize
+from caderneta.plans import pipeline
+from caderneta.schemas import ITEM, RAW_GRID
+from caderneta.scratch import written
 from caderneta.sinks.files import export_bi_csv
+from test_operators import item, items
 
 
 def _plan(df):
@@ -81,6 +88,43 @@ def test_bi_csv_computes_its_items_once(spark, tmp_path):
     assert spark.read.text(export_bi_csv(shown, path, mode="append")).count() == 102
 
 
+def test_a_run_keeps_its_items_twice_at_most(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipeline, "work_dir", lambda _, purpose: f"{tmp_path}/{purpose}")
+    seen = []
+    write = pipeline.export_bi_csv
+
+    def written_last(data, path):
+        seen.append(os.path.exists(f"{tmp_path}/contadas"))
+        return write(data, path)
+
+    monkeypatch.setattr(pipeline, "export_bi_csv", written_last)
+    rows = items(spark, item(), item(arquivo_origem="b.xlsx"), item(protocolo="9"))
+    assert pipeline.consolidated_items(rows).columns == [*ITEM.fieldNames(), "copias"]
+    result = pipeline.run_items(rows, f"{tmp_path}/out")
+    assert seen == [False] and not os.path.exists(f"{tmp_path}/contadas")
+    assert result.etapas["consolidacao"]["linhas"] == 2 and result.etapas["consolidacao"]["removidas"] == 1
+    whole = sorted(map(str, standardize(consolidate(rows)).collect()))
+    assert sorted(map(str, result.dados.collect())) == whole
+    assert spark.read.text(f"{tmp_path}/out/{pipeline.CSV}").filter("value LIKE '%001-100001%'").count() == 2
+
+
+def _shuffles(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffles_behind_a_working_table_are_deleted(spark):
+    before = _shuffles(spark)
+    table = written(spark.range(10_000).repartition(7), "teste")
+    made = _shuffles(spark) - before
+    assert written(table, "teste").count() == 10_000
+    end = time.monotonic() + 20
+    while _shuffles(spark) & made and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not _shuffles(spark) & made
+
+
 def test_tasks_grow_with_the_blocks(spark, monkeypatch):
     monkeypatch.setattr(grid, "BLOCK_ROWS", 3)
     monkeypatch.setattr(grid, "TASK_BLOCKS", 1)
