@@ -170,7 +170,7 @@ def _streamed_ingest(spark, sf_dir):
 @query("replaced_months")
 def _replaced_months(spark, sf_dir):
     """The stored table after an update with half of the files and one with all of them."""
-    items = tables.sales_items(spark, sf_dir).select(*ITEM.fieldNames())
+    items = written(tables.sales_items(spark, sf_dir).select(*ITEM.fieldNames()), "itens")
     table = work_dir(spark, "meses")
     half = F.substring("arquivo_origem", 1, 4).try_cast("int") % 2 == 0
     months.replace_months(items.filter(half), table)

@@ -123,7 +123,8 @@ def supersede_partial(items: DataFrame) -> DataFrame:
         .groupBy("mes")
         .agg(F.max_by(FILE, F.struct("n", FILE)).alias("vencedor"))
     )
-    ranked = months.join(winners, "mes", "left")
+    # One row a month, whatever the number of items.
+    ranked = months.join(F.broadcast(winners), "mes", "left")
     return ranked.filter(F.col(DATE).isNull() | (F.col(FILE) == F.col("vencedor"))).drop(
         "mes", "vencedor"
     )

@@ -18,6 +18,7 @@ from caderneta.functions.dates import month_text
 from caderneta.operators.calendar import DATE, FILE, supersede_partial
 from caderneta.plans.versions import read_version, write_version
 from caderneta.schemas import ITEM
+from caderneta.scratch import discard, put_away, release, work_dir
 
 MONTH = "mes"
 MANIFEST = "mes string, arquivos string, linhas long, soma decimal(38,0), lote string"
@@ -51,11 +52,15 @@ def replace_months(items: DataFrame, table: str) -> list[str]:
 
     Partial files give way to full ones first (``supersede_partial``).  A month is written
     if its rows differ from those stored, counted with their copies.  A month that ``items``
-    has no rows of leaves the manifest.
+    has no rows of leaves the manifest.  What is kept of the items goes into a working table, from
+    which sums and months are read, so the items are computed for ``supersede_partial`` alone.
     """
     spark = items.sparkSession
     table = table.rstrip("/")
-    kept = supersede_partial(items.select(*ITEM.fieldNames())).withColumn(MONTH, month_text(F.col(DATE)))
+    path = work_dir(spark, "mantidos")
+    superseded = supersede_partial(items.select(*ITEM.fieldNames()))
+    put_away(superseded, path)
+    kept = spark.read.schema(superseded.schema).parquet(path).withColumn(MONTH, month_text(F.col(DATE)))
     known = read_version(spark, f"{table}/manifesto", MANIFEST)
     now = month_sums(kept)
     batch = uuid.uuid4().hex
@@ -68,6 +73,8 @@ def replace_months(items: DataFrame, table: str) -> list[str]:
     if changed:
         fresh = kept.filter(F.col(MONTH).isin(changed))
         fresh.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(f"{table}/dados/lote={batch}")
+    discard(spark, path)
+    release(spark)
     if changed or len(rows) != known.count():
         write_version(spark.createDataFrame(rows, MANIFEST), f"{table}/manifesto")
     return changed

@@ -8,9 +8,10 @@ import pytest
 
 from caderneta.catalog import tables
 from caderneta.operators import report_grid as grid
+from caderneta.operators.calendar import supersede_partial
 from caderneta.operators.consolidate import consolidate
 from caderneta.operators.standardize import standardize
-from caderneta.plans import pipeline
+from caderneta.plans import months, pipeline
 from caderneta.schemas import ITEM, RAW_GRID
 from caderneta.scratch import written
 from caderneta.sinks.files import export_bi_csv
@@ -125,6 +126,23 @@ def test_shuffles_behind_a_working_table_are_deleted(spark):
     assert not _shuffles(spark) & made
 
 
+def test_an_update_computes_its_items_for_two_readings(spark, tmp_path):
+    looked_at = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            looked_at.add(batch.num_rows)
+            yield batch
+
+    many = items(spark, *[item(protocolo=str(k)) for k in range(50)]).coalesce(1).mapInArrow(rows, ITEM)
+    table = f"{tmp_path}/meses"
+    assert months.replace_months(many, table) == ["2025-01"]
+    assert looked_at.value == 100  # supersede_partial reads them twice
+    # A month's winner is one row: the items are not shuffled to meet it.
+    assert "rightHint=(strategy=broadcast)" in _plan(supersede_partial(many))
+    assert months.stored_months(spark, table).count() == 50
+
+
 def test_tasks_grow_with_the_blocks(spark, monkeypatch):
     monkeypatch.setattr(grid, "BLOCK_ROWS", 3)
     monkeypatch.setattr(grid, "TASK_BLOCKS", 1)
