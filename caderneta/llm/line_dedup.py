@@ -4,18 +4,18 @@ A line is the set of its words.  Words are ordered by rarity, known from a count
 words hashed into a fixed number of cells; any fixed order gives exact results, a good
 one gives short candidate lists.  Two lines of enough similarity share a word among the
 first few of each (prefix filter), have similar lengths, leave enough words after that
-place (positional filter), and differ in few bits of a 64-bit parity of their words.
+place (positional filter), and differ in few bits of a 256-bit parity of their words.
 Pairs that pass are verified on whole sets.  A line goes if an earlier one matches it.
 
 Equal sets are folded first.  A star round then compares each line with the earliest
-line of its rarest words only; lines that this removes are compared no further among
-each other, so a large family of variants does not meet in all pairs.
+lines of some of its words only.  A line that this removes looks for no earlier one any more,
+so a large family of variants does not meet in all pairs.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -34,14 +34,19 @@ LEAST_WORDS = 1
 # Up to so many words, a set is similar to none but its equals, which are folded before any join.
 ONLY_EQUAL = (SIMILAR - 1) // (100 - SIMILAR)
 CELLS = 1 << 24
-STAR_WORDS = 2
+# The rarest words of a changed copy may be its changes, the last of its prefix are those of its family.
+STAR_FIRST, STAR_LAST = 2, 4
+STAR_CENTRES = 4
 # Words from so many occurrences on are many lines' words for certain, and their lists are split.
 COMMON = 1 << 12
 SALTS = 16
 # Candidates are searched by a part of the words at a time, and verified by a part of the
 # lines, whose sets go with each pair: so less disk is in use at once.
-ROUNDS = 2
+ROUNDS = 4
 VERIFY_ROUNDS = 4
+# The parity of a set's words, in so many columns of 64 bits each.  In 64 bits alone, those of
+# any two lines of a hundred words are as close as the filter allows.
+PARITY = ("bits0", "bits1", "bits2", "bits3")
 LEAST_FILTER, MOST_FILTER = 1 << 20, 1 << 28
 
 
@@ -58,11 +63,18 @@ class LineSets:
     """The different words of each line of a piece, lines without words left out.
 
     ``values[starts[i]:starts[i + 1]]`` are the hashes of line ``i`` by ``rarity``, then
-    by hash; ``owner`` and ``number`` tell where the line is.
+    by hash; ``owner`` and ``number`` tell where the line is.  ``only`` says of these two
+    which lines are wanted.
     """
 
-    def __init__(self, texts: pa.Array, rarity: np.ndarray | None = None):
+    def __init__(
+        self, texts: pa.Array, rarity: np.ndarray | None = None,
+        only: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    ):
         lines, owner, number = _lines(texts)
+        if only is not None:
+            asked = only(owner, number)
+            lines, owner, number = lines.filter(pa.array(asked)), owner[asked], number[asked]
         words = Words(lines)
         hashes = words.hashes()
         rank = np.zeros(len(hashes), np.uint8) if rarity is None else rarity[cells(hashes)]
@@ -82,16 +94,26 @@ class LineSets:
         self.starts = np.r_[0, np.cumsum(self.sizes)]
         self.owner, self.number = owner[large], number[large]
 
-    def set_hashes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of each set, and the 64-bit parity of its words."""
+    def set_hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit hashes of each set."""
         if not len(self.sizes):
             none = np.empty(0, np.int64)
-            return none, none, none
+            return none, none
         at = self.starts[:-1]
         a = np.add.reduceat(mixed(self.values), at)
         b = np.add.reduceat(mixed(self.values ^ np.uint64(0x5BD1E995)), at)
-        bits = np.bitwise_xor.reduceat(np.uint64(1) << (self.values >> np.uint64(58)), at)
-        return a.view(np.int64), b.view(np.int64), bits.view(np.int64)
+        return a.view(np.int64), b.view(np.int64)
+
+    def parities(self) -> list[np.ndarray]:
+        """The parity of each set's words, 64 bits at a time."""
+        if not len(self.sizes):
+            return [np.empty(0, np.int64) for _ in PARITY]
+        one = np.uint64(1) << ((self.values >> np.uint64(56)) & np.uint64(63))
+        column = self.values >> np.uint64(62)
+        return [
+            np.bitwise_xor.reduceat(np.where(column == k, one, np.uint64(0)), self.starts[:-1]).view(np.int64)
+            for k in range(len(PARITY))
+        ]
 
 
 def cells(hashes: np.ndarray) -> np.ndarray:
@@ -131,8 +153,8 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
 
 
 LINE = (
-    "doc_id long, text_hash long, line int, set_a long, set_b long, n int, bits long, "
-    "skipped int, common int, prefix array<int>"
+    "doc_id long, text_hash long, line int, set_a long, set_b long, n int, "
+    + "".join(f"{name} long, " for name in PARITY) + "skipped int, common int, prefix array<int>"
 )
 
 
@@ -144,7 +166,7 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch):
                 sets = LineSets(piece.column("text"), shared.value)
-                a, b, bits = sets.set_hashes()
+                a, b = sets.set_hashes()
                 reach = sets.sizes - -(-SIMILAR * sets.sizes // 100) + 1
                 within = np.arange(len(sets.values)) - np.repeat(sets.starts[:-1], sets.sizes)
                 joined = np.repeat(sets.sizes > ONLY_EQUAL, sets.sizes)
@@ -161,11 +183,11 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
                     [
                         piece.column("doc_id").take(owner), piece.column("text_hash").take(owner),
                         pa.array(sets.number.astype(np.int32)), pa.array(a), pa.array(b),
-                        pa.array(sets.sizes.astype(np.int32)), pa.array(bits),
+                        pa.array(sets.sizes.astype(np.int32)), *map(pa.array, sets.parities()),
                         pa.array((reach - taken).astype(np.int32)), pa.array(common.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(words)),
                     ],
-                    names=["doc_id", "text_hash", "line", "set_a", "set_b", "n", "bits",
+                    names=["doc_id", "text_hash", "line", "set_a", "set_b", "n", *PARITY,
                            "skipped", "common", "prefix"],
                 )
 
@@ -180,7 +202,9 @@ def _may_match(x: str, y: str) -> Column:
     (n, m), (i, j) = of("n"), of("at")
     most = F.least(i, j) + F.least(n - i, m - j)
     lengths = 100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)
-    differing = F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits")))
+    differing = sum(
+        (F.bit_count(F.col(f"{x}.{bits}").bitwiseXOR(F.col(f"{y}.{bits}"))) for bits in PARITY), F.lit(0)
+    )
     return (
         lengths & ((100 + SIMILAR) * most >= SIMILAR * (n + m))
         & ((100 + SIMILAR) * differing <= (100 - SIMILAR) * (n + m))
@@ -188,13 +212,13 @@ def _may_match(x: str, y: str) -> Column:
 
 
 def _posted(rows: DataFrame, prefix: Column, *more: str) -> DataFrame:
-    """(word, id, n, at, bits) for each word of ``prefix``, ``at`` its place in the line's order."""
-    each = rows.select("id", "n", "bits", "skipped", *more, F.posexplode(prefix).alias("i", "word"))
-    return each.select("word", "id", "n", (F.col("skipped") + F.col("i")).alias("at"), "bits", *more, "i")
+    """(word, id, n, at, parity) for each word of ``prefix``, ``at`` its place in the line's order."""
+    each = rows.select("id", "n", *PARITY, "skipped", *more, F.posexplode(prefix).alias("i", "word"))
+    return each.select("word", "id", "n", (F.col("skipped") + F.col("i")).alias("at"), *PARITY, *more, "i")
 
 
 def _candidates(prefixes: DataFrame, turn: int) -> DataFrame:
-    """Pairs of classes, not both ``done``, that pass the filters on a shared prefix word of this turn.
+    """Pairs of classes, the later not ``done``, that pass the filters on a shared prefix word of this turn.
 
     The larger line looks with its whole prefix; the smaller is filed under the shorter
     one that suffices for a partner of at least its size.  A common word may be that of any
@@ -215,34 +239,39 @@ def _candidates(prefixes: DataFrame, turn: int) -> DataFrame:
         y,
         (F.col("x.word") == F.col("y.word")) & (F.col("x.salt") == F.col("y.salt"))
         & ((F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id"))))
-        & (F.col("x.done") + F.col("y.done") < 2) & _may_match("x", "y"),
+        & (F.when(F.col("x.id") > F.col("y.id"), F.col("x.done")).otherwise(F.col("y.done")) == 0)
+        & _may_match("x", "y"),
     )
     return met.select(*_pair("x.id", "y.id")).distinct()
 
 
-def _star_pairs(classes: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Each class with the earliest class of each of its rarest words, if they may match."""
-    place = classes.select(
-        "id", F.coalesce("first.doc_id", F.lit(2**63 - 1)).alias("doc"), F.col("first.line").alias("line")
+def _star_pairs(prefixes: DataFrame, turn: int) -> DataFrame:
+    """Each class with a few of the earliest of some of its prefix words of this turn, if they may match.
+
+    Numbers are dealt into remainders, and the least of each is a centre of the word.
+    """
+    posted = _posted(prefixes.withColumn("last", F.size("prefix") - STAR_LAST), F.col("prefix"), "last")
+    stars = posted.filter((F.col("i") < STAR_FIRST) | (F.col("i") >= F.col("last"))).drop("i", "last")
+    stars = stars.filter(F.pmod("word", F.lit(ROUNDS)) == turn)
+    # The least row is found in map tasks first, so a common word gathers nowhere.
+    told = [F.min_by(c, "id").alias(c) for c in ("n", "at", *PARITY)]
+    centres = stars.groupBy("word", F.pmod("id", F.lit(STAR_CENTRES)).alias("rest")).agg(
+        F.min("id").alias("id"), *told
     )
-    stars = _posted(prefixes, F.slice("prefix", 1, STAR_WORDS)).drop("i").join(place, "id")
-    # The least row of a word is found in map tasks first, so a common word gathers nowhere.
-    order = F.struct("doc", "line", "id", "n", "at", "bits")
-    first = stars.groupBy("word").agg(F.min(order).alias("y"))
-    x, y = stars.alias("x"), first.select("word", "y.id", "y.n", "y.at", "y.bits").alias("y")
-    met = x.join(y, "word").filter((F.col("x.id") != F.col("y.id")) & _may_match("x", "y"))
+    x, y = stars.alias("x"), centres.drop("rest").alias("y")
+    met = x.join(y, "word").filter((F.col("y.id") < F.col("x.id")) & _may_match("x", "y"))
     return met.select(*_pair("x.id", "y.id")).distinct()
 
 
-def _word_filter(wanted: DataFrame) -> np.ndarray:
-    """A Bloom filter over ``cls``: 64-bit words, two bytes for each class up to 32 MB in all."""
+def _line_filter(wanted: DataFrame) -> np.ndarray:
+    """A Bloom filter over ``key``: 64-bit words, two bytes for each key up to 32 MB in all."""
     size = LEAST_FILTER
     number = wanted.count()
     while size < min(16 * number, MOST_FILTER):
         size *= 2
-    bit = F.pmod("cls", F.lit(size))
+    bit = F.pmod("key", F.lit(size))
     rows = wanted.groupBy(F.shiftright(bit, 6).cast("int").alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(cls, {size}) % 64 AS INT))")).alias("bits")
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(key, {size}) % 64 AS INT))")).alias("bits")
     ).toArrow()
     bits = np.zeros(size // 64, np.int64)
     bits[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
@@ -250,20 +279,24 @@ def _word_filter(wanted: DataFrame) -> np.ndarray:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, words): the whole sets of the wanted classes, from another look at the texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(_word_filter(wanted))
+    """(cls, words): the whole sets of the wanted classes, from another look at their first lines."""
+    key = F.col("first.text_hash").bitwiseXOR(F.col("first.line").cast("long"))
+    shared = docs.sparkSession.sparkContext.broadcast(_line_filter(wanted.select(key.alias("key"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
             for piece in pieces(batch):
-                sets = LineSets(piece.column("text"))
-                a, _, _ = sets.set_hashes()
-                bit = a.view(np.uint64) % np.uint64(64 * len(bits))
-                hit = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
-                lines = np.flatnonzero(hit)
-                _, once = np.unique(a[lines], return_index=True)
-                lines = lines[once]
+                texts = piece.column("text_hash").to_numpy()
+
+                def hit(owner: np.ndarray, number: np.ndarray) -> np.ndarray:
+                    bit = (texts[owner] ^ number).view(np.uint64) % np.uint64(64 * len(bits))
+                    found = bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))
+                    return (found & np.uint64(1)).astype(bool)
+
+                sets = LineSets(piece.column("text"), only=hit)
+                a, _ = sets.set_hashes()
+                _, lines = np.unique(a, return_index=True)
                 parts = [sets.values[sets.starts[i] : sets.starts[i + 1]] for i in lines]
                 ends = np.r_[0, np.cumsum(sets.sizes[lines])].astype(np.int32)
                 flat = np.concatenate(parts) if parts else sets.values[:0]
@@ -273,26 +306,26 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     names=["cls", "words"],
                 )
 
-    found = docs.select("text").mapInArrow(run, "cls long, words array<long>")
-    return found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+    found = docs.select("text", "text_hash").mapInArrow(run, "cls long, words array<long>")
+    return found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
 def _gone(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The later class (id) of each pair (a, b) whose whole sets are similar, stored."""
+    """The later class (b) of each pair (a, b) whose whole sets are similar, stored as ids."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     firsts = stored(classes.select("id", "cls", "first").join(wanted, "id"), "firsts")
-    sets = stored(_whole_sets(docs, firsts.select("cls").distinct()).join(firsts, "cls"), "sets")
-    a = sets.select(F.col("id").alias("a"), F.col("words").alias("xa"), F.col("first").alias("fa"))
-    b = sets.select(F.col("id").alias("b"), F.col("words").alias("xb"), F.col("first").alias("fb"))
+    told = firsts.select("id", "cls")
+    sets = stored(_whole_sets(docs, firsts.select("cls", "first")).join(told, "cls"), "sets")
+    a = sets.select(F.col("id").alias("a"), F.col("words").alias("xa"))
+    b = sets.select(F.col("id").alias("b"), F.col("words").alias("xb"))
     shared = F.size(F.array_intersect("xa", "xb"))
     union = F.size("xa") + F.size("xb") - F.col("shared")
-    later = F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a"))
     found = []
     for turn in range(VERIFY_ROUNDS):
         some = pairs.filter(F.pmod(F.xxhash64("a"), F.lit(VERIFY_ROUNDS)) == turn)
         both = some.join(a, "a").join(b, "b").withColumn("shared", shared)
         similar = both.filter(100 * F.col("shared") >= SIMILAR * union)
-        found.append(stored(similar.select(later.alias("id")).distinct(), "gone"))
+        found.append(stored(similar.select(F.col("b").alias("id")).distinct(), "gone"))
         release(docs.sparkSession)
     gone = stored(reduce(DataFrame.unionByName, found).distinct(), "gone")
     discard(firsts, sets, *found)
@@ -303,6 +336,18 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _in_turns(search: Callable[[int], DataFrame], spark: SparkSession) -> DataFrame:
+    """The different pairs that the search finds by a part of the words at a time, stored."""
+    found = []
+    for turn in range(ROUNDS):
+        release(spark)
+        found.append(stored(search(turn), "pairs"))
+    release(spark)
+    pairs = stored(reduce(DataFrame.unionByName, found).distinct(), "pairs")
+    discard(*found)
+    return pairs
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, line) of every line that an earlier line matches.
 
@@ -314,27 +359,27 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rarity = word_rarity(keyed)
     lines = stored(_line_rows(keyed, rarity), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line")
-    told = ("n", "bits", "skipped", "common", "prefix")
+    told = ("n", *PARITY, "skipped", "common", "prefix")
     folded = lines.groupBy("set_a", "set_b").agg(
         F.min(place).alias("first"), *[F.any_value(c).alias(c) for c in told]
     )
-    numbered = stored(folded.withColumn("id", F.monotonically_increasing_id()), "classes")
+    # An earlier class has the lesser id.
+    numbered = folded.orderBy("first").withColumn("id", F.monotonically_increasing_id())
+    numbered = stored(numbered, "classes")
     release(docs.sparkSession)
     classes = numbered.select("id", F.col("set_a").alias("cls"), "set_b", "first")
     prefixes = numbered.select("id", *told).filter(F.size("prefix") > 0)
-    star_pairs = stored(_star_pairs(classes, prefixes), "pairs")
+    star_pairs = _in_turns(lambda turn: _star_pairs(prefixes, turn), docs.sparkSession)
     done = _gone(keyed, classes, star_pairs)
-    discard(star_pairs)
     flagged = prefixes.join(done.withColumn("done", F.lit(1)), "id", "left").fillna(0, ["done"])
     flagged = stored(flagged, "flagged")
-    found = []
-    for turn in range(ROUNDS):
-        release(docs.sparkSession)
-        found.append(stored(_candidates(flagged, turn), "pairs"))
+    found = _in_turns(lambda turn: _candidates(flagged, turn), docs.sparkSession)
     discard(flagged)
-    pairs = reduce(DataFrame.unionByName, found).distinct()
+    # What the star round has compared, similar or not, is not compared again.
+    pairs = stored(found.join(star_pairs, ["a", "b"], "left_anti"), "pairs")
+    discard(star_pairs, found)
     matched = done.unionByName(_gone(keyed, classes, pairs)).distinct().withColumn("matched", F.lit(True))
-    discard(*found)
+    discard(pairs)
 
     known = classes.withColumnRenamed("cls", "set_a").join(matched, "id", "left").drop("id")
     judged = lines.select("doc_id", "text_hash", "line", "set_a", "set_b").join(known, ["set_a", "set_b"])

@@ -156,6 +156,41 @@ def test_short_lines_go_too(spark, tmp_path):
     assert found == {1: "", 2: "0,1", 3: "0,1", 4: "0,2"}
 
 
+def compared(spark, monkeypatch, lines):
+    """(pairs of lines verified, numbers of the lines removed) of one line a document."""
+    counts, verify = [], line_dedup._gone
+
+    def counted(docs, classes, pairs):
+        counts.append(pairs.count())
+        return verify(docs, classes, pairs)
+
+    monkeypatch.setattr(line_dedup, "_gone", counted)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    gone = {r.doc_id for r in line_dedup.removed_lines(docs).collect()}
+    return sum(counts), gone
+
+
+def test_long_unlike_lines_are_not_compared(spark, monkeypatch):
+    draw = random.Random(5)
+    lines = [" ".join(f"v{draw.randrange(600)}" for _ in range(160)) for _ in range(250)]
+    pairs, gone = compared(spark, monkeypatch, lines)
+    assert not gone and pairs < len(lines)
+
+
+def test_a_family_of_near_copies_does_not_meet_in_all_pairs(spark, monkeypatch):
+    draw = random.Random(6)
+    base, lines = [f"f{k}" for k in range(60)], []
+    for _ in range(300):
+        held = list(base)
+        for _ in range(5):
+            held[draw.randrange(60)] = f"v{draw.randrange(500)}"
+        lines.append(" ".join(held))
+    pairs, gone = compared(spark, monkeypatch, lines)
+    expected = expected_lines(enumerate(lines))
+    assert gone == {number for number, removed in expected.items() if removed}
+    assert pairs < 20 * len(lines)
+
+
 def test_odd_rows_of_lines(spark):
     docs = frame(spark)
     assert line_dedup.drop_repeated_lines(docs).count() == len(rows())
