@@ -178,7 +178,8 @@ def _printed(rows: DataFrame, line: Column) -> DataFrame:
         "((l_linenumber div 6) * 2147483648 + l_orderkey div 4096) * 4096"
         " + l_partkey div 1048576"
     )
-    within = Window.partitionBy("arquivo_origem", "blk").orderBy(*LINE_COLUMNS)
+    # The number leads the sort key: all file names begin alike.
+    within = Window.partitionBy("blk", "arquivo_origem").orderBy(*LINE_COLUMNS)
     equal = within.rangeBetween(Window.currentRow, Window.currentRow)
     so_far = within.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.withColumns(

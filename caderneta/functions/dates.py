@@ -28,12 +28,21 @@ def br_date_parts(text: Column) -> Column:
     printed: resolving it takes the document number.
     """
     trimmed = strip(text)
+    numbers = [number.alias(name) for name, number in date_numbers(trimmed).items()]
+    return F.when(is_br_date(trimmed), F.struct(*numbers))
+
+
+def is_br_date(trimmed: Column) -> Column:
+    """Whether ``br_date_parts`` has parts for a text that is trimmed already."""
+    return (F.length(trimmed) >= 8) & trimmed.rlike(BR_DATE)
+
+
+def date_numbers(trimmed: Column) -> dict[str, Column]:
+    """The three parts of a text that ``is_br_date``."""
     parts = F.split(trimmed, "/")
-    numbers = [
-        F.get(parts, F.lit(i)).try_cast("bigint").alias(name)
-        for i, name in enumerate(("dia", "mes", "aa"))
-    ]
-    return F.when((F.length(trimmed) >= 8) & trimmed.rlike(BR_DATE), F.struct(*numbers))
+    return {
+        name: F.get(parts, F.lit(i)).try_cast("bigint") for i, name in enumerate(("dia", "mes", "aa"))
+    }
 
 
 def valid_date(year: Column, month: Column, day: Column) -> Column:

@@ -1,6 +1,7 @@
 """Operators against small brute-force restatements and exact values."""
 
 import random
+import re
 from collections import Counter
 from datetime import date, timedelta
 
@@ -312,6 +313,30 @@ def test_a_mode_spread_over_blocks(spark):
     assert got == {7: ("03/03/12", 2, 5), 8: ("09/09/09", 1, 1)}
 
 
+def test_modes_of_lines_fold_in_hash_tables(spark):
+    """Dates of lines are hashed, the few left are sorted by the number; blocks give the same."""
+    rows = [("f", 7, None, 8, 4, 4, 10), ("f", 7, 1 << 40, 1, 5, 5, 11), ("f", 7, 1, 1 << 60, 6, 6, 12),
+            ("g", 7, (1 << 40) + 1, 0, 5, 5, 11), ("g", 7, 1 << 40, 1 << 62, 6, 6, 12)]
+    documents = spark.createDataFrame(
+        rows, "arquivo_origem string, ci long, blk long, seq long, dia int, mes int, aa int")
+    modes = fixed.modal_dates(documents)
+    plan = modes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "Sort [arquivo_origem" not in plan
+    found = modes.collect()
+    assert {(r.arquivo_origem, r.data_original, r.total_datas) for r in found} == {
+        ("f", "04/04/10", 3), ("g", "06/06/12", 2)}
+    assert sorted(found) == sorted(fixed._modes(fixed.block_dates(documents)).collect())
+
+
+def test_deciding_texts_are_cut_once(spark):
+    lines = spark.createDataFrame([], "arquivo_origem string, blk long, seq long, line string")
+    documents = fixed.document_lines(lines, fixed.PURCHASE).select("ci", "dia", "mes", "aa")
+    plan = documents._jdf.queryExecution().optimizedPlan().toString()
+    for name in ("item", "data", "ci"):
+        start, end = fixed.PURCHASE.fields[name]
+        assert len(re.findall(rf"substring\(line#\d+, {start + 1}, {end - start}\)", plan)) == 1
+
+
 def test_year_slices_on_edges(spark):
     cases = []
     for low, span in [(10, n) for n in range(18, 400, 3)] + [(10005, 24059), (7, 10**9 + 7)]:
