@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from caderneta.llm.arrow_words import Words, mixed, pieces
-from caderneta.llm.tables import discard, load, packed, release, row_key, stored
+from caderneta.llm.tables import discard, load, packed, release, row_key, settled, stored
 
 SIMILAR = 80
 # Every line with a word takes part; one without has an empty set, which is like no other.
@@ -37,6 +37,8 @@ CELLS = 1 << 24
 # The rarest words of a changed copy may be its changes, the last of its prefix are those of its family.
 STAR_FIRST, STAR_LAST = 2, 4
 STAR_CENTRES = 4
+# A word of fewer occurrences is that of a few lines, which may as well meet in all pairs.
+STAR_LEAST = 16
 # Words from so many occurrences on are many lines' words for certain, and their lists are split.
 COMMON = 1 << 12
 SALTS = 16
@@ -154,7 +156,7 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
 
 LINE = (
     "doc_id long, text_hash long, line int, set_a long, set_b long, n int, "
-    + "".join(f"{name} long, " for name in PARITY) + "skipped int, common int, prefix array<int>"
+    + "".join(f"{name} long, " for name in PARITY) + "skipped int, few int, common int, prefix array<int>"
 )
 
 
@@ -175,6 +177,7 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
                 again = first & (sets.ranks > 1)
                 line = np.repeat(np.arange(len(sets.sizes)), sets.sizes)
                 taken = np.bincount(line[again], minlength=len(sets.sizes))
+                few = np.bincount(line[again & (sets.ranks < rank_of(STAR_LEAST))], minlength=len(sets.sizes))
                 common = np.bincount(line[again & (sets.ranks >= rank_of(COMMON))], minlength=len(sets.sizes))
                 ends = np.r_[0, np.cumsum(taken)].astype(np.int32)
                 words = (sets.values[again] >> np.uint64(32)).astype(np.uint32).view(np.int32)
@@ -184,11 +187,12 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
                         piece.column("doc_id").take(owner), piece.column("text_hash").take(owner),
                         pa.array(sets.number.astype(np.int32)), pa.array(a), pa.array(b),
                         pa.array(sets.sizes.astype(np.int32)), *map(pa.array, sets.parities()),
-                        pa.array((reach - taken).astype(np.int32)), pa.array(common.astype(np.int32)),
+                        pa.array((reach - taken).astype(np.int32)), pa.array(few.astype(np.int32)),
+                        pa.array(common.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(words)),
                     ],
                     names=["doc_id", "text_hash", "line", "set_a", "set_b", "n", *PARITY,
-                           "skipped", "common", "prefix"],
+                           "skipped", "few", "common", "prefix"],
                 )
 
     return docs.mapInArrow(run, LINE)
@@ -245,14 +249,15 @@ def _candidates(prefixes: DataFrame, turn: int) -> DataFrame:
     return met.select(*_pair("x.id", "y.id")).distinct()
 
 
-def _star_pairs(prefixes: DataFrame, turn: int) -> DataFrame:
-    """Each class with a few of the earliest of some of its prefix words of this turn, if they may match.
+def _star_pairs(prefixes: DataFrame) -> DataFrame:
+    """Each class with a few of the earliest of some of its prefix words, if they may match.
 
-    Numbers are dealt into remainders, and the least of each is a centre of the word.
+    Words of few occurrences, the first of a prefix, have no star.  Numbers are dealt into
+    remainders, and the least of each is a centre of the word.
     """
-    posted = _posted(prefixes.withColumn("last", F.size("prefix") - STAR_LAST), F.col("prefix"), "last")
-    stars = posted.filter((F.col("i") < STAR_FIRST) | (F.col("i") >= F.col("last"))).drop("i", "last")
-    stars = stars.filter(F.pmod("word", F.lit(ROUNDS)) == turn)
+    rows = prefixes.filter(F.size("prefix") > F.col("few")).withColumn("last", F.size("prefix") - STAR_LAST)
+    posted = _posted(rows, F.col("prefix"), "few", "last").filter(F.col("i") >= F.col("few"))
+    stars = posted.filter((F.col("i") < STAR_FIRST) | (F.col("i") >= F.col("last"))).drop("i", "few", "last")
     # The least row is found in map tasks first, so a common word gathers nowhere.
     told = [F.min_by(c, "id").alias(c) for c in ("n", "at", *PARITY)]
     centres = stars.groupBy("word", F.pmod("id", F.lit(STAR_CENTRES)).alias("rest")).agg(
@@ -318,13 +323,14 @@ def _gone(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     sets = stored(_whole_sets(docs, firsts.select("cls", "first")).join(told, "cls"), "sets")
     a = sets.select(F.col("id").alias("a"), F.col("words").alias("xa"))
     b = sets.select(F.col("id").alias("b"), F.col("words").alias("xb"))
-    shared = F.size(F.array_intersect("xa", "xb"))
-    union = F.size("xa") + F.size("xb") - F.col("shared")
+    # Above a generator the sets are intersected once a pair; in the filter it would be twice.
+    both_sizes = (F.size("xa") + F.size("xb")).alias("both")
+    shared = F.size(F.array_intersect("xa", "xb")).alias("shared")
     found = []
     for turn in range(VERIFY_ROUNDS):
         some = pairs.filter(F.pmod(F.xxhash64("a"), F.lit(VERIFY_ROUNDS)) == turn)
-        both = some.join(a, "a").join(b, "b").withColumn("shared", shared)
-        similar = both.filter(100 * F.col("shared") >= SIMILAR * union)
+        compared = settled(some.join(a, "a").join(b, "b"), "b", values=[both_sizes, shared])
+        similar = compared.filter((100 + SIMILAR) * F.col("shared") >= SIMILAR * F.col("both"))
         found.append(stored(similar.select(F.col("b").alias("id")).distinct(), "gone"))
         release(docs.sparkSession)
     gone = stored(reduce(DataFrame.unionByName, found).distinct(), "gone")
@@ -359,7 +365,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rarity = word_rarity(keyed)
     lines = stored(_line_rows(keyed, rarity), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line")
-    told = ("n", *PARITY, "skipped", "common", "prefix")
+    told = ("n", *PARITY, "skipped", "few", "common", "prefix")
     folded = lines.groupBy("set_a", "set_b").agg(
         F.min(place).alias("first"), *[F.any_value(c).alias(c) for c in told]
     )
@@ -369,7 +375,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     release(docs.sparkSession)
     classes = numbered.select("id", F.col("set_a").alias("cls"), "set_b", "first")
     prefixes = numbered.select("id", *told).filter(F.size("prefix") > 0)
-    star_pairs = _in_turns(lambda turn: _star_pairs(prefixes, turn), docs.sparkSession)
+    star_pairs = stored(_star_pairs(prefixes), "pairs")
+    release(docs.sparkSession)
     done = _gone(keyed, classes, star_pairs)
     flagged = prefixes.join(done.withColumn("done", F.lit(1)), "id", "left").fillna(0, ["done"])
     flagged = stored(flagged, "flagged")

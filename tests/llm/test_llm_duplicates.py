@@ -191,6 +191,21 @@ def test_a_family_of_near_copies_does_not_meet_in_all_pairs(spark, monkeypatch):
     assert pairs < 20 * len(lines)
 
 
+def test_words_of_few_lines_have_no_star(spark, monkeypatch):
+    """Two copies of a line meet once, in the search itself; a star for them is work for nothing."""
+    searched, search = [], line_dedup._star_pairs
+
+    def counted(*given):
+        searched.append(search(*given))
+        return searched[-1]
+
+    monkeypatch.setattr(line_dedup, "_star_pairs", counted)
+    lines = [" ".join(f"w{k % 20}x{j}" for j in range(20)) + f" y{k}" for k in range(40)]
+    pairs, gone = compared(spark, monkeypatch, lines)
+    assert gone == set(range(20, 40)) and pairs == 20
+    assert sum(found.count() for found in searched) == 0
+
+
 def test_odd_rows_of_lines(spark):
     docs = frame(spark)
     assert line_dedup.drop_repeated_lines(docs).count() == len(rows())
