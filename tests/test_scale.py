@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import re
 import time
 
 import pytest
@@ -15,6 +16,7 @@ from caderneta.plans import months, pipeline
 from caderneta.schemas import ITEM, RAW_GRID
 from caderneta.scratch import written
 from caderneta.sinks.files import export_bi_csv
+from caderneta.sources.grid import ingest_grid
 from test_operators import item, items
 
 
@@ -69,6 +71,24 @@ def test_the_grid_is_joined_once(spark, sf_dir):
     assert titles == block("T1", ["000001 - bolt"] * 6) + block("T2", ["000002 - nut"] * 4)
 
 
+def _methods(spark, df):
+    """Bytes of the largest method of each piece of whole-stage code."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution()
+        code = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:([0-9]+)", code)]
+
+
+def test_cells_are_read_by_methods_that_the_jvm_compiles(spark):
+    sheet = spark.createDataFrame([("a.xlsx", 1, [("Artigo: A", None, None, None)])], RAW_GRID)
+    for items in (grid.hierarchical_items(sheet), grid.flat_items(sheet), ingest_grid(sheet)):
+        sizes = _methods(spark, items.drop("row_no"))
+        assert sizes and max(sizes) <= 8000
+
+
 def test_bi_csv_computes_its_items_once(spark, tmp_path):
     looked_at = spark.sparkContext.accumulator(0)
 
