@@ -1,3 +1,4 @@
+import functools
 import glob
 import os
 from datetime import date, timedelta
@@ -5,6 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from caderneta.catalog.queries import _put_workbooks
 from caderneta.operators.calendar import overlapping_files, supersede_partial
 from caderneta.operators.report_grid import flat_items
 from caderneta.plans import incremental, months
@@ -206,6 +208,20 @@ def test_an_empty_folder(spark, tmp_path):
     assert result.itens.count() == 0
 
 
+def test_workbooks_are_dealt_out_whole(spark, tmp_path):
+    sheets = [one_workbook(spark, name, 2) for name in "abcdefg"]
+    rows = functools.reduce(lambda x, y: x.unionByName(y), [*sheets, sheets[0].withColumn("arquivo_origem", F.lit(None).cast("string"))])
+    for files, count in ((None, 8), (4, 4)):
+        path = f"{tmp_path}/{files}"
+        _put_workbooks(rows, path, files)
+        found = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.collect_set("arquivo_origem").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+        assert len(found) == count and sum(r.rows for r in found) == rows.count()
+        names = [n for r in found for n in r.n]
+        assert sorted(names) == list("abcdefg") and max(len(r.n) for r in found) <= -(-7 // count)
+    _put_workbooks(rows.filter("row_no < 0"), f"{tmp_path}/none")
+    assert spark.read.schema(RAW_GRID).parquet(f"{tmp_path}/none").count() == 0
+
+
 # --- stream ----------------------------------------------------------------------
 
 
