@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from caderneta.catalog.queries import _put_workbooks
+from caderneta.catalog.queries import _printed, _put_workbooks
 from caderneta.operators.calendar import overlapping_files, supersede_partial
 from caderneta.operators.report_grid import flat_items
 from caderneta.plans import incremental, months
@@ -14,6 +14,7 @@ from caderneta.plans.pipeline import run_pipeline
 from caderneta.schemas import ITEM, RAW_GRID
 from caderneta.sinks.files import export_bi_csv, export_csv, read_bi_csv, read_csv
 from caderneta.sources.grid import ingest_grid, parse_grid
+from caderneta.sources.report_text import read_report_lines
 from test_operators import _cells, _workbook, item, items
 
 
@@ -59,6 +60,27 @@ def test_odd_texts_in_files(spark, tmp_path):
     assert text.startswith('"produto",') and text.count("\n") == 1
 
 
+def test_compressed_files_are_read_back(spark, tmp_path):
+    """The tables written to be read back; plain files stay the usual."""
+    rows = items(spark, *[item(responsavel=t, protocolo=str(k)) for k, t in enumerate(ODD * 50)]).coalesce(2)
+
+    def size(path, suffix):
+        found = glob.glob(f"{path}/part-*")
+        assert found and all(f.endswith(suffix) for f in found)
+        return sum(map(os.path.getsize, found))
+
+    for name, write, read in (("csv", export_csv, read_csv), ("bi", export_bi_csv, read_bi_csv)):
+        plain, packed = write(rows, f"{tmp_path}/{name}"), write(rows, f"{tmp_path}/{name}-gz", compression="gzip")
+        assert size(packed, ".gz") * 3 < size(plain, (".csv", ".txt"))
+        back = [sorted(map(str, read(spark, path, rows.schema).collect())) for path in (plain, packed)]
+        assert back[0] == back[1] and len(back[0]) == 400
+    lines = spark.range(0, 5000, 1, 3).select(F.rpad(F.col("id").cast("string"), 132, " ").alias("line"))
+    found = read_report_lines(spark, _printed(spark, lines, "gzip"), glob="*.csv.gz")
+    assert found.select("arquivo_origem", "blk").distinct().count() == 3
+    told = found.orderBy("arquivo_origem", "blk", "seq").collect()
+    assert [int(r.line) for r in told] == list(range(5000))
+
+
 def test_whole_error_is_kept(spark, tmp_path):
     name = "x" * 3000 + ".xlsx"
     broken = [(name, n, [("Artigo: A", None, None, None)]) for n in (1, 3)]
