@@ -27,7 +27,16 @@ def br_number(text: Column) -> Column:
 
     Blank or invalid text is 0.0.
     """
-    plain = F.translate(strip(text), ",.", ".")  # comma to point, points dropped
+    return plain_number(br_plain(text))
+
+
+def br_plain(text: Column) -> Column:
+    """The plain text that ``br_number`` reads: comma to point, points dropped."""
+    return F.translate(strip(text), ",.", ".")
+
+
+def plain_number(plain: Column) -> Column:
+    """``br_number`` of what ``br_plain`` made."""
     return F.coalesce(_parse(plain), F.lit(0.0))
 
 

@@ -8,6 +8,7 @@ import time
 import pytest
 
 from caderneta.catalog import tables
+from caderneta.operators import report_fixed as fixed
 from caderneta.operators import report_grid as grid
 from caderneta.operators.calendar import supersede_partial
 from caderneta.operators.consolidate import consolidate
@@ -56,6 +57,16 @@ def test_lines_are_printed_after_they_are_ordered(spark, sf_dir):
     assert [t[:6] for t in texts[28:]] == ["000002", "000002"] and (late, 1) in got
 
 
+def test_number_texts_are_made_once(spark, sf_dir):
+    lines = tables.analytic_lines(spark, sf_dir)
+    documents = fixed.document_lines(lines, fixed.ANALYTIC)
+    assert _plan(documents).count("translate(") == 3
+    read = {name: fixed.ANALYTIC.number(field) for name, field in (("quantidade", "quantidade"), ("qtd_estoque", "estoque"), ("valor", "total"))}
+    plain = lines.filter("length(trim(line)) > 100").select("blk", "seq", *[number.alias(name) for name, number in read.items()])
+    kept = documents.select("blk", "seq", *read)
+    assert kept.count() == 5 and kept.exceptAll(plain).count() == 0
+
+
 def test_the_grid_is_joined_once(spark, sf_dir):
     assert _plan(tables.hierarchical_rows.__wrapped__(spark, sf_dir)).count("Relation [") == 4
     rows = sorted(tables.hierarchical_grid(spark, sf_dir).collect(), key=lambda r: r.row_no)
